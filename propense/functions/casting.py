@@ -1,4 +1,4 @@
-"""Strict "can this value be read as ..." tests.
+"""Strict "can this value be read as ..." tests, as SQL conditions.
 
 Spark's own text casts accept forms a data check must reject (``'1d'`` as a double, ``'2024'`` as a
 date) and reject some it must accept (``'2024/01/05'``), so text is matched against a pattern first.
@@ -6,8 +6,6 @@ date) and reject some it must accept (``'2024/01/05'``), so text is matched agai
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The text forms accepted as a number and as a date or timestamp.
@@ -23,24 +21,29 @@ DATE_TAIL_PATTERN = (
 )
 DATE_WORDS = ("epoch", "infinity", "-infinity")
 
+TEXT = (T.StringType, T.CharType, T.VarcharType)
 
-def reads_as_number(col: Column, dtype: T.DataType) -> Column:
+
+def reads_as_number(field: str, dtype: T.DataType) -> str:
     """True where a non-null value can be read as a double."""
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return col.isNotNull()
-    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        return col.rlike(NUMBER_PATTERN)
-    return F.lit(False)
+        return f"{field} IS NOT NULL"
+    if isinstance(dtype, TEXT):
+        return f"{field} RLIKE r'{NUMBER_PATTERN}'"
+    return "false"
 
 
-def reads_as_datetime(col: Column, dtype: T.DataType) -> Column:
+def reads_as_datetime(field: str, dtype: T.DataType) -> str:
     """True where a non-null value can be read as a date or as a timestamp."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return col.isNotNull()
-    if not isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        return F.lit(False)
-    part = lambda i: F.regexp_extract(col, DATE_PATTERN, i)
-    year = F.when(F.length(part(1)) < 4, F.lpad(part(1), 4, "0")).otherwise(part(1))
-    day = F.concat_ws("-", year, part(3), part(4)).try_cast("date")
-    shaped = col.rlike(DATE_PATTERN + DATE_TAIL_PATTERN) & day.isNotNull()
-    return F.lower(F.trim(col)).isin(*DATE_WORDS) | shaped
+        return f"{field} IS NOT NULL"
+    if not isinstance(dtype, TEXT):
+        return "false"
+    year, month, day = (f"regexp_extract({field}, r'{DATE_PATTERN}', {i})" for i in (1, 3, 4))
+    # Years below 1000 need leading zeros to be cast.
+    date = f"concat_ws('-', lpad({year}, greatest(4, length({year})), '0'), {month}, {day})"
+    words = ", ".join(f"'{w}'" for w in DATE_WORDS)
+    return (
+        f"(lower(trim({field})) IN ({words}) OR ({field} RLIKE r'{DATE_PATTERN}{DATE_TAIL_PATTERN}' "
+        f"AND try_cast({date} AS DATE) IS NOT NULL))"
+    )

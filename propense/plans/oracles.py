@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from propense.plans import checks
+
 PRODUCTS = {"o": "O", "f": "F", "p": "P"}
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -169,5 +171,70 @@ def silver() -> dict[str, str]:
     }
 
 
+def _passes(field: str, rule) -> str:
+    """Condition of a passing row, written out per rule."""
+    f, arg = field, rule.argument
+    if rule.kind == "enum":
+        values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in arg)
+        return f"{f} IN ({values}) OR {f} IS NULL"
+    if rule.kind == "type":
+        tests = {
+            "numerical": f"TRY_CAST({f} AS DOUBLE) IS NOT NULL",
+            "datetime": f"TRY_CAST({f} AS DATE) IS NOT NULL OR TRY_CAST({f} AS TIMESTAMP) IS NOT NULL",
+            "string": f"TRY_CAST({f} AS VARCHAR) IS NOT NULL",
+        }
+        return f"({tests[arg]}) OR {f} IS NULL"
+    return {
+        "positive": f"{f} >= 0 OR {f} IS NULL",
+        "non_null": f"{f} IS NOT NULL",
+        "sync_null": f"({f} IS NULL AND {arg} IS NULL) OR ({f} IS NOT NULL AND {arg} IS NOT NULL)",
+        "sync_zero": f"({f} = 0 AND {arg} = 0) OR ({f} <> 0 AND {arg} <> 0) OR {f} IS NULL OR {arg} IS NULL",
+        "non_zero": f"{f} <> 0 OR {f} IS NULL",
+    }[rule.kind]
+
+
+def quality_results(specs) -> str:
+    parts = []
+    for spec in specs:
+        for rule in spec.rules:
+            if rule.kind == "unique":
+                passed = (
+                    f"(SELECT count(*) FROM (SELECT {spec.field} FROM {spec.table} "
+                    f"GROUP BY {spec.field} HAVING count(*) = 1))"
+                )
+            else:
+                passed = f"count(*) FILTER ({_passes(spec.field, rule)})"
+            named = rule.kind in ("type", "sync_null", "sync_zero")
+            suffix = f"{rule.kind}_{rule.argument}" if named else rule.kind
+            parts.append(
+                f"SELECT '{spec.database}' AS database_name, '{spec.layer}' AS schema_name, "
+                f"'{spec.table}' AS table_name, '{spec.field}' AS data_field_name, "
+                f"count(*) AS total_records, '{rule.kind}' AS check_type, "
+                f"{passed} AS records_passed, count(*) - {passed} AS records_failed, "
+                f"'{spec.name}_{suffix}' AS check_name FROM {spec.table}"
+            )
+    return " UNION ALL ".join(parts)
+
+
+def quality() -> dict[str, str]:
+    roles = [s for s in checks.role_specs()]
+    used = sorted({s.table for s in roles})
+    everything = quality_results(roles + checks.raw_specs())
+    sql = {
+        "dq_all": with_roles(everything, *used),
+        "dq_summary": with_roles(
+            "SELECT check_type, count(*) AS total_checks, "
+            "CAST(sum(records_failed) AS BIGINT) AS total_failures, "
+            "CAST(sum(total_records) AS BIGINT) AS total_records_checked "
+            f"FROM ({everything}) GROUP BY check_type",
+            *used,
+        ),
+    }
+    for name, specs in checks.by_rule().items():
+        tables = sorted({s.table for s in specs if s.layer == "roles"})
+        sql[name] = with_roles(quality_results(specs), *tables)
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**decision(), **silver()}
+    return {**decision(), **silver(), **quality()}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propense.operators import decision
+from propense.operators import decision, quality
+from propense.plans import checks
 from propense.plans.roles import PRODUCTS, Roles
 from propense.sources import tables
 
@@ -50,5 +51,29 @@ SILVER = {
 }
 
 
+def _quality_results(roles: Roles, specs) -> DataFrame:
+    def read(layer: str, table: str) -> DataFrame:
+        return getattr(roles, table) if layer == "roles" else roles.table(table)
+
+    results, failures = quality.run_checks(read, specs)
+    if failures:
+        raise ValueError(f"specs that cannot run: {failures}")
+    return results.drop("check_timestamp")
+
+
+def _all_specs():
+    return checks.role_specs() + checks.raw_specs()
+
+
+QUALITY = {
+    "dq_all": lambda r: _quality_results(r, _all_specs()),
+    "dq_summary": lambda r: quality.summary(_quality_results(r, _all_specs())),
+    **{
+        name: (lambda r, specs=specs: _quality_results(r, specs))
+        for name, specs in checks.by_rule().items()
+    },
+}
+
+
 def queries() -> dict[str, Query]:
-    return {name: _on_roles(build) for name, build in {**DECISION, **SILVER}.items()}
+    return {name: _on_roles(build) for name, build in {**DECISION, **SILVER, **QUALITY}.items()}
