@@ -1,17 +1,20 @@
-"""Exact order statistics without sorting a whole group in one task.
+"""Exact ranks and order statistics without sorting a whole group in one task.
 
-A global rank needs a running total over sorted values. Here values are first counted into slots by
-a monotone function of the value, the few slot totals are accumulated, and only the rows inside a
-slot are ever ordered. The slot function decides the speed only: the result is exact whatever the
-distribution, as rows that share a slot are ordered among themselves.
+Values are first counted into slots by a monotone function of the value. Only the slot totals are
+accumulated, and only the rows inside one slot are ever put in order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOTS = 1 << 14
+# A piece of a column is ordered by one task only once it has no more distinct values than this.
+MAX_ORDERED = 1 << 20
 
 
 def slot_of(value: Column, lo: Column, hi: Column, slots: int = SLOTS) -> Column:
@@ -26,67 +29,121 @@ def log_scale(value: Column) -> Column:
     return F.signum(value) * F.log1p(F.abs(value))
 
 
-def values_at_ranks(freq: DataFrame, targets: DataFrame, bounds: DataFrame, by: str) -> DataFrame:
-    """The value at each wanted 0-based rank.
+def small_table(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> DataFrame:
+    """A handful of numbers held by the driver, as a local relation. ``columns``: "a int, b double"."""
+    types = [c.split() for c in columns.split(",")]
 
-    ``freq``: (by, value, weight) with one row per distinct value; ``targets``: (by, rank), a dozen
-    rows per group; ``bounds``: (by, lo, hi), one row per group. Returns (by, rank, value).
+    def literal(value, kind: str) -> str:
+        return f"CAST({'NULL' if value is None else repr(str(value))} AS {kind})"
 
-    Two rounds narrow each target down to the slot that holds it (by log scale, then linearly inside
-    that slot), and the last round orders what is left. ``bounds``, ``targets`` and the slots found
-    are a fixed few rows per group, so broadcasting them does not grow with the data.
-    """
-    located = freq.join(F.broadcast(bounds), by).select(
-        by,
-        "value",
-        "weight",
-        slot_of(log_scale(F.col("value")), log_scale(F.col("lo")), log_scale(F.col("hi"))).alias("slot1"),
+    body = ", ".join(
+        "(" + ", ".join(literal(v, kind) for v, (_, kind) in zip(row, types)) + ")" for row in rows
     )
-    first = _hit(_histogram(located, [by], "slot1"), targets.withColumn("base", F.lit(0)), [by], "slot1")
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(name for name, _ in types)})")
 
-    inside = _inside(freq, first, by, ["slot1"]).withColumn(
-        "slot2", slot_of(F.col("value"), F.col("lo"), F.col("hi"))
-    )
-    second = _hit(_histogram(inside, [by, "slot1"], "slot2"), first, [by, "slot1"], "slot2")
 
-    left = _inside(freq, second, by, ["slot1", "slot2"])
-    piece = Window.partitionBy(by, "slot1", "slot2").orderBy("value")
-    ordered = left.select(
-        by, "slot1", "slot2", "value", "weight", F.sum("weight").over(piece).alias("end")
-    )
-    wanted = second.select(by, "rank", "slot1", "slot2", "base")
-    return (
-        ordered.join(F.broadcast(wanted), [by, "slot1", "slot2"])
-        .where(
-            (F.col("rank") - F.col("base") < F.col("end"))
-            & (F.col("rank") - F.col("base") >= F.col("end") - F.col("weight"))
-        )
-        .select(by, "rank", "value")
-    )
+@dataclass
+class _Piece:
+    """A range of one group's values that holds wanted ranks; ``base`` weights lie below it."""
 
+    group: int
+    lo: float
+    hi: float
+    base: int
+    ranks: list[int]
+    size: int | None = None  # distinct values, once counted
 
-def _histogram(rows: DataFrame, group: list[str], slot: str) -> DataFrame:
-    counts = rows.groupBy(*group, slot).agg(
-        F.sum("weight").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    # At most SLOTS rows per group are ordered here.
-    end = F.sum("n").over(Window.partitionBy(*group).orderBy(slot))
-    return counts.withColumn("end", end).withColumn("start", end - F.col("n"))
 
+def values_at_ranks(
+    freq: DataFrame, by: str, wanted: Mapping[int, Iterable[int]], bounds: Mapping[int, tuple[float, float]]
+) -> dict[tuple[int, int], float]:
+    """The value at each wanted 0-based rank of each group.
 
-def _hit(histogram: DataFrame, targets: DataFrame, group: list[str], slot: str) -> DataFrame:
-    wanted = targets.select(*group, "rank", "base")
-    local_rank = F.col("rank") - F.col("base")
-    return (
-        histogram.join(F.broadcast(wanted), group)
-        .where((local_rank >= F.col("start")) & (local_rank < F.col("end")))
-        .select(*group, slot, "rank", "lo", "hi", (F.col("base") + F.col("start")).alias("base"))
+    ``freq`` has one row (by, value, weight) per distinct value; ``by`` is a small integer with a fixed
+    few groups. Each round cuts the pieces that hold a wanted rank into SLOTS parts and keeps the part
+    with the rank, until a piece is one value or has few enough values to be ordered. Only that
+    handful of pieces travels through the driver; ``freq`` itself is never sorted or moved.
+    """
+    spark = freq.sparkSession
+    pieces = [_Piece(g, *bounds[g], 0, sorted(set(r))) for g, r in wanted.items()]
+    found: dict[tuple[int, int], float] = {}
+    first = True
+    while True:
+        for p in (p for p in pieces if p.lo == p.hi):
+            found.update({(p.group, r): p.lo for r in p.ranks})
+        pieces = [p for p in pieces if p.lo != p.hi]
+        if not pieces:
+            return found
+        if all(p.size is not None and p.size <= MAX_ORDERED for p in pieces):
+            found.update(_ordered(spark, freq, by, pieces))
+            return found
+        pieces = _narrowed(spark, freq, by, pieces, log=first)
+        first = False
+
+
+def _inside(spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece]) -> DataFrame:
+    ranges = small_table(
+        spark,
+        f"piece int, {by} int, lo double, hi double",
+        [(i, p.group, p.lo, p.hi) for i, p in enumerate(pieces)],
     )
-
-
-def _inside(freq: DataFrame, hits: DataFrame, by: str, slots: list[str]) -> DataFrame:
-    pieces = hits.select(F.col(by), *slots, "lo", "hi").distinct()
-    return freq.join(F.broadcast(pieces), by).where(F.col("value").between(F.col("lo"), F.col("hi")))
+    # A dozen ranges per group at most.
+    return freq.join(F.broadcast(ranges), by).where(F.col("value").between(F.col("lo"), F.col("hi")))
+
+
+def _targets(spark: SparkSession, pieces: list[_Piece]) -> DataFrame:
+    rows = [(i, r, r - p.base) for i, p in enumerate(pieces) for r in p.ranks]
+    return F.broadcast(small_table(spark, "piece int, rank bigint, place bigint", rows))
+
+
+def _narrowed(
+    spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece], log: bool
+) -> list[_Piece]:
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    slot = slot_of(log_scale(value), log_scale(lo), log_scale(hi)) if log else slot_of(value, lo, hi)
+    counts = (
+        _inside(spark, freq, by, pieces)
+        .withColumn("slot", slot)
+        .groupBy("piece", "slot")
+        .agg(
+            F.sum("weight").alias("n"),
+            F.count(F.lit(1)).alias("size"),
+            F.min("value").alias("lo"),
+            F.max("value").alias("hi"),
+        )
+    )
+    # At most SLOTS rows per piece are accumulated here.
+    end = F.sum("n").over(Window.partitionBy("piece").orderBy("slot"))
+    hits = (
+        counts.withColumn("end", end)
+        .withColumn("start", F.col("end") - F.col("n"))
+        .join(_targets(spark, pieces), "piece")
+        .where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("end")))
+        .select("piece", "slot", "rank", "lo", "hi", "start", "size")
+    )
+    parts: dict[tuple[int, int], _Piece] = {}
+    for hit in hits.collect():
+        parent = pieces[hit["piece"]]
+        part = parts.setdefault(
+            (hit["piece"], hit["slot"]),
+            _Piece(parent.group, hit["lo"], hit["hi"], parent.base + hit["start"], [], hit["size"]),
+        )
+        part.ranks.append(hit["rank"])
+    return list(parts.values())
+
+
+def _ordered(
+    spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece]
+) -> dict[tuple[int, int], float]:
+    rows = _inside(spark, freq, by, pieces).select("piece", "value", "weight")
+    end = F.sum("weight").over(Window.partitionBy("piece").orderBy("value"))
+    hits = (
+        rows.withColumn("end", end)
+        .join(_targets(spark, pieces), "piece")
+        .where((F.col("place") < F.col("end")) & (F.col("place") >= F.col("end") - F.col("weight")))
+        .select("piece", "rank", "value")
+    )
+    return {(pieces[h["piece"]].group, h["rank"]): h["value"] for h in hits.collect()}
 
 
 def rank_by_hash(df: DataFrame, key: str, seed: int, strata: str | None = None) -> DataFrame:

@@ -236,5 +236,108 @@ def quality() -> dict[str, str]:
     return sql
 
 
+TRAIN_NUMBERS = (
+    ["client"]
+    + [f"{c}_{p}" for p in PRODUCTS for c in ("sale", "revenue")]
+    + [f"{c}_{e}" for e in EVENT_TYPES for c in ("volume", "txn")]
+    + [f"{c}_{p}" for p in PRODUCTS for c in ("count", "bal")]
+    + ["acctbal", "nation"]
+)
+LINEITEM_NUMBERS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
+)
+
+
+def _statistics(column: str, end: str) -> str:
+    c = f'CAST("{column}" AS DOUBLE)' if not end else f'nullif(CAST("{column}" AS DOUBLE), 0)'
+    def r(x):
+        return f"round(CAST({x} AS DOUBLE) + 1e-8, 6)"
+
+    return f"""{r(f'min({c})')} AS min_value{end}, {r(f'max({c})')} AS max_value{end},
+  {r(f'max({c}) - min({c})')} AS min_max_range{end}, {r(f'median({c})')} AS median_value{end},
+  {r(f'avg({c})')} AS mean_value{end},
+  {r(f'mode() WITHIN GROUP (ORDER BY {c})')} AS mode{end},
+  {r(f'quantile_cont({c}, 0.25)')} AS "25_percentile_value{end}",
+  {r(f'quantile_cont({c}, 0.75)')} AS "75_percentile_value{end}",
+  {r(f'quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)')} AS iqr{end},
+  {r(f'skewness({c})')} AS skewness{end}, {r(f'kurtosis({c})')} AS kurtosis{end}"""
+
+
+def _numeric_profile(table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS data_field_name, {_statistics(c, '')}, {_statistics(c, '_non_zero')}, "
+        f'count(*) FILTER ("{c}" <> 0) AS count_non_zero FROM {table}'
+        for c in columns
+    )
+
+
+def _frequencies(table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS data_field_name, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {table} GROUP BY {c}"
+        for c in columns
+    )
+
+
+def _categorical_profile(table: str, columns) -> str:
+    def pct(x, y):
+        return f"coalesce(round({x} * 100.0::DOUBLE / {y}, 2), 0)"
+
+    return f"""
+SELECT data_field_name, total_records, non_null_records, null_records,
+  {pct('null_records', 'total_records')} AS null_percentage, unique_values_count,
+  most_frequent_category, most_frequent_count,
+  {pct('most_frequent_count', 'non_null_records')} AS most_frequent_percentage,
+  least_frequent_category, least_frequent_count,
+  {pct('least_frequent_count', 'non_null_records')} AS least_frequent_percentage,
+  most_frequent_count / least_frequent_count AS balance_ratio,
+  most_frequent_count / least_frequent_count < 2 AS is_balanced
+FROM (
+  SELECT data_field_name, CAST(sum(n) AS BIGINT) AS total_records,
+    CAST(sum(n) FILTER (v IS NOT NULL) AS BIGINT) AS non_null_records,
+    CAST(coalesce(sum(n) FILTER (v IS NULL), 0) AS BIGINT) AS null_records,
+    count(v) AS unique_values_count,
+    first(v ORDER BY n DESC, v) FILTER (v IS NOT NULL) AS most_frequent_category,
+    max(n) FILTER (v IS NOT NULL) AS most_frequent_count,
+    last(v ORDER BY n DESC, v) FILTER (v IS NOT NULL) AS least_frequent_category,
+    min(n) FILTER (v IS NOT NULL) AS least_frequent_count
+  FROM ({_frequencies(table, columns)}) GROUP BY data_field_name)"""
+
+
+def _distribution(table: str, columns) -> str:
+    return f"""
+SELECT data_field_name, v AS category_value, n AS count,
+  round(n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY data_field_name), 2) AS percentage
+FROM ({_frequencies(table, columns)}) WHERE v IS NOT NULL"""
+
+
+def _value_counts(table: str, column: str) -> str:
+    return (
+        f"SELECT {column} AS category_value, count(*) AS count, "
+        f"round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 2) AS percentage "
+        f"FROM {table} GROUP BY {column}"
+    )
+
+
+def profiling() -> dict[str, str]:
+    categories = ["segment", "nation", "sale_o", "sale_f", "sale_p"]
+    baseline = " UNION ALL ".join(
+        f"""SELECT 'revenue_{p}' AS data_field_name, count(*) AS rows, round(any_value(m) + 1e-8, 6) AS mean_value,
+  round(avg(abs(revenue_{p} - m)) + 1e-8, 6) AS mae
+FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHERE revenue_{p} <> 0"""
+        for p in PRODUCTS
+    )
+    return {
+        "profile_numeric": with_roles(_numeric_profile("train", TRAIN_NUMBERS), "train"),
+        "profile_numeric_lineitem": _numeric_profile("lineitem", LINEITEM_NUMBERS),
+        "profile_categorical": with_roles(_categorical_profile("train", categories), "train"),
+        "profile_categorical_orders": _categorical_profile("orders", ["o_orderstatus", "o_orderpriority"]),
+        "category_distribution": with_roles(_distribution("train", categories), "train"),
+        "category_distribution_events": _distribution("events", ["event_type", "props"]),
+        "value_counts": _value_counts("orders", "o_orderpriority"),
+        "value_counts_customers": _value_counts("orders", "o_custkey"),
+        "mean_baseline_mae": with_roles(baseline, "sales"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**decision(), **silver(), **quality()}
+    return {**decision(), **silver(), **quality(), **profiling()}
