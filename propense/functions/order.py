@@ -147,21 +147,28 @@ def _ordered(
 
 
 def rank_by_hash(df: DataFrame, key: str, seed: int, strata: str | None = None) -> DataFrame:
-    """Adds ``shuffled_rank``: each row's 0-based place in a seeded shuffle, within its stratum.
+    """Adds ``shuffled_rank``, each row's 0-based place in a seeded shuffle within its stratum, and
+    ``stratum_size``.
 
     ``key`` must be unique. Hash prefixes serve as slots, and a hash fills them evenly, so each task
-    orders about 1/SLOTS of the rows. The table of slot totals has at most SLOTS rows per stratum.
+    orders about 1/SLOTS of the rows, also where one stratum has most of them. The table of slot totals
+    has at most SLOTS rows per stratum.
     """
     group = [strata] if strata else []
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(key)))
     hashed = hashed.withColumn("_slot", F.shiftright("_hash", 50).cast("int"))
     totals = hashed.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_slot")) - F.col("_n")
-    totals = totals.select(*group, "_slot", before.alias("_before"))
+    within = Window.partitionBy(*group)
+    totals = totals.select(
+        *group,
+        "_slot",
+        (F.sum("_n").over(within.orderBy("_slot")) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(within).alias("stratum_size"),
+    )
     place = F.row_number().over(Window.partitionBy(*group, "_slot").orderBy("_hash", key))
     return (
         hashed.withColumn("_place", place)
         .join(F.broadcast(totals), [*group, "_slot"])
         .withColumn("shuffled_rank", F.col("_before") + F.col("_place") - 1)
-        .select(*df.columns, "shuffled_rank")
+        .select(*df.columns, "shuffled_rank", "stratum_size")
     )

@@ -339,5 +339,134 @@ FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHE
     }
 
 
+PREDICTORS = ["acctbal", "volume_click", "txn_click", "volume_view", "txn_view", "bal_f", "count_p"]
+
+
+def _r(x: str) -> str:
+    return f"round({x} + 1e-8, 6)"
+
+
+def features() -> dict[str, str]:
+    filled = "coalesce(segment, 'Unknown') AS segment, " + ", ".join(
+        f"coalesce({c}, 0) AS {c}" for c in PREDICTORS
+    )
+    scaled = ", ".join(
+        _r(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()") + f" AS {c}" for c in PREDICTORS
+    )
+    folds = " UNION ALL ".join(
+        f"""SELECT CAST({k} AS INTEGER) AS k, sale_o, CAST(f AS INTEGER) AS fold, (n - f + {k} - 1) // {k} AS rows
+FROM (SELECT sale_o, count(*) AS n FROM sales GROUP BY sale_o), (SELECT unnest(range({k})) AS f)"""
+        for k in (3, 4, 5)
+    )
+    sizes = "(SELECT sale_f, count(*) AS n FROM sales GROUP BY sale_f)"
+
+    def top2(table: str, key: str, target: str) -> str:
+        return f"""SELECT {key}, {target}, CAST({target} = (SELECT max(v) FROM top) AS INTEGER)::DOUBLE AS label
+FROM {table} WHERE {target} IN (SELECT v FROM top)"""
+
+    def with_top(table: str, target: str) -> str:
+        return (
+            f"top AS (SELECT {target} AS v FROM {table} GROUP BY {target} "
+            f"ORDER BY count(*) DESC, {target} LIMIT 2)"
+        )
+
+    def hot(categories) -> str:
+        return ", ".join(f"CAST(segment = '{c}' AS INTEGER)::DOUBLE AS segment_{c}" for c in categories)
+
+    return {
+        "fill_missing": with_roles(f"SELECT * REPLACE ({filled}) FROM train", "train"),
+        "drop_missing_target": with_roles("SELECT * FROM train WHERE count_o IS NOT NULL", "train"),
+        "class_weight": with_roles(
+            "SELECT count(*) FILTER (sale_o = 0) AS negatives, count(*) FILTER (sale_o = 1) AS positives, "
+            "count(*) FILTER (sale_o = 0) / count(*) FILTER (sale_o = 1) AS class_weight FROM sales",
+            "sales",
+        ),
+        "row_weights": with_roles(
+            "SELECT client, sale_o, CASE WHEN sale_o = 1 THEN 2.5::DOUBLE ELSE 1 END AS weight FROM sales",
+            "sales",
+        ),
+        "standardize": with_roles(
+            f"SELECT client, segment, {scaled} FROM (SELECT client, {filled} FROM train)", "train"
+        ),
+        "one_hot_drop_first": with_roles(
+            f"SELECT client, segment, {hot(['BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])} FROM train",
+            "train",
+        ),
+        "one_hot_unseen": with_roles(
+            f"SELECT client, segment, {hot(['BUILDING', 'FURNITURE'])} FROM profile", "profile"
+        ),
+        "top2_binary_target": with_roles(
+            top2("orders", "o_orderkey", "o_orderpriority"), extra=with_top("orders", "o_orderpriority")
+        ),
+        "top2_languages": with_roles(
+            top2("documents", "doc_id", "lang"), extra=with_top("documents", "lang")
+        ),
+        "numeric_target": "SELECT l_orderkey, l_linenumber, l_quantity AS quantity FROM lineitem "
+        "WHERE l_returnflag <> 'R'",
+        "target_scale_roundtrip": with_roles(
+            f"SELECT client, {_r('revenue_o')} AS revenue_o, "
+            f"{_r('(revenue_o - avg(revenue_o) OVER ()) / stddev_pop(revenue_o) OVER ()')} AS scaled, "
+            f"{_r('revenue_o')} AS restored FROM sales WHERE revenue_o <> 0",
+            "sales",
+        ),
+        "kfold_sizes": with_roles(folds, "sales"),
+        "hash_folds": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS outside, CAST(5 AS BIGINT) AS folds FROM orders",
+        "split_sizes": with_roles(
+            "SELECT 'test' AS side, sale_f, CAST(ceil(n * 0.2::DOUBLE) AS BIGINT) AS rows FROM "
+            f"{sizes} UNION ALL SELECT 'train', sale_f, n - CAST(ceil(n * 0.2::DOUBLE) AS BIGINT) FROM {sizes}",
+            "sales",
+        ),
+    }
+
+
+def metrics() -> dict[str, str]:
+    scored = "scored AS MATERIALIZED (" + " UNION ALL ".join(
+        f"""SELECT client, '{p.upper()}' AS product, sale_{p} AS label, {p}_predicted_probability AS probability,
+  revenue_{p} AS revenue, {p}_predicted_revenue * 200 AS predicted FROM sales JOIN scores USING (client)"""
+        for p in PRODUCTS
+    ) + ")"
+    auc = """
+SELECT product, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc_score FROM (
+  SELECT *, sum(neg) OVER (PARTITION BY product ORDER BY probability) - neg AS below FROM (
+    SELECT product, probability, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
+    FROM scored GROUP BY product, probability)) GROUP BY product"""
+    matrix = """
+SELECT product, count(*) FILTER (label = 1 AND probability > 0.4) AS tp,
+  count(*) FILTER (label = 0 AND probability <= 0.4) AS tn,
+  count(*) FILTER (label = 0 AND probability > 0.4) AS fp,
+  count(*) FILTER (label = 1 AND probability <= 0.4) AS fn FROM scored GROUP BY product"""
+
+    def build(body: str) -> str:
+        return with_roles(body, "sales", "scores", extra=scored)
+
+    return {
+        "classification_metrics": build(
+            f"""SELECT product, tp AS true_positives, tn AS true_negatives, fp AS false_positives,
+  fn AS false_negatives, {_r('(tp + tn) / (tp + tn + fp + fn)')} AS accuracy,
+  {_r('tp / (tp + fp)')} AS precision, {_r('tp / (tp + fn)')} AS recall,
+  {_r('2 * tp / (2 * tp + fp + fn)')} AS f1_score, tp + fn AS positive_class_count,
+  tn + fp AS negative_class_count, {_r('auc_score')} AS auc_score
+FROM ({matrix}) JOIN ({auc}) USING (product)"""
+        ),
+        "roc_auc": build(f"SELECT {_r('auc_score')} AS auc_score FROM ({auc}) WHERE product = 'O'"),
+        "regression_metrics": build(
+            f"""SELECT product, samples, {_r('mae')} AS mae, {_r('mse')} AS mse, {_r('sqrt(mse)')} AS rmse,
+  {_r('1 - mse / v')} AS r2_score, {_r('mae / mean_actual * 100')} AS mae_percentage,
+  {_r('mean_actual')} AS mean_actual, {_r('std_actual')} AS std_actual
+FROM (SELECT product, count(*) AS samples, avg(abs(revenue - predicted)) AS mae,
+  avg((revenue - predicted) * (revenue - predicted)) AS mse, avg(revenue) AS mean_actual,
+  stddev_samp(revenue) AS std_actual, var_pop(revenue) AS v
+  FROM scored WHERE revenue <> 0 GROUP BY product)"""
+        ),
+        "score_distribution": build(
+            f"""SELECT product, count(*) AS scores, {_r('min(probability)')} AS min_score,
+  {_r('max(probability)')} AS max_score, {_r('avg(probability)')} AS mean_score,
+  {_r('stddev_samp(probability)')} AS std_score, count(*) FILTER (probability > 0.4) AS class_1,
+  count(*) FILTER (probability <= 0.4) AS class_0 FROM scored GROUP BY product"""
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**decision(), **silver(), **quality(), **profiling()}
+    groups = (decision, silver, quality, profiling, features, metrics)
+    return {name: sql for group in groups for name, sql in group().items()}

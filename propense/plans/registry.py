@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
-from propense.operators import decision, profiling, quality
+from propense.operators import decision, features, metrics, profiling, quality
 from propense.plans import checks
 from propense.plans.roles import PRODUCTS, Roles
 from propense.sources import tables
@@ -119,5 +120,112 @@ PROFILING = {
 }
 
 
+PREDICTORS = ["segment", "acctbal", "volume_click", "txn_click", "volume_view", "txn_view", "bal_f", "count_p"]
+NUMBERS = [c for c in PREDICTORS if c != "segment"]
+
+
+def _buyers(r: Roles) -> DataFrame:
+    return tables.scan(r.sales, non_zero="revenue_o")
+
+
+def _target_roundtrip(r: Roles) -> DataFrame:
+    buyers = _buyers(r).select("client", "revenue_o")
+    scaler = features.TargetScaler.fit(buyers, "revenue_o")
+    scaled = buyers.withColumn("scaled", scaler.scale(F.col("revenue_o")))
+    return _rounded(scaled.withColumn("restored", scaler.invert(F.col("scaled"))))
+
+
+def _quantity_text(r: Roles) -> DataFrame:
+    """Quantities as text, unreadable for returned lines."""
+    returned = F.col("l_returnflag") == "R"
+    text = F.when(returned, F.concat(F.lit("n/a "), "l_quantity")).otherwise(F.col("l_quantity").cast("string"))
+    return r.table("lineitem").select("l_orderkey", "l_linenumber", text.alias("quantity"))
+
+
+def _fold_sizes(r: Roles) -> DataFrame:
+    """Rows per class and fold, for 3 to 5 folds dealt out exactly."""
+    sales = r.sales.select("client", "sale_o")
+    parts = [
+        features.with_folds(sales, "client", k, strata="sale_o", exact=True)
+        .groupBy(F.lit(k).alias("k"), "sale_o", "fold")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        for k in (3, 4, 5)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _hash_folds(r: Roles) -> DataFrame:
+    """Every order is in exactly one of the k hash folds."""
+    folds = features.with_folds(r.table("orders").select("o_orderkey"), "o_orderkey", 5)
+    return folds.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if((F.col("fold") < 0) | (F.col("fold") >= 5)).alias("outside"),
+        F.countDistinct("fold").alias("folds"),
+    )
+
+
+def _split_sizes(r: Roles) -> DataFrame:
+    sides = features.split(r.sales.select("client", "sale_f"), "client", strata="sale_f")
+    named = [df.withColumn("side", F.lit(n)) for df, n in zip(sides, ("train", "test"))]
+    return reduce(DataFrame.unionByName, named).groupBy("side", "sale_f").agg(F.count(F.lit(1)).alias("rows"))
+
+
+FEATURES = {
+    "fill_missing": lambda r: features.fill_missing(r.train, PREDICTORS),
+    "drop_missing_target": lambda r: features.drop_missing_target(r.train, "count_o"),
+    "class_weight": lambda r: features.class_balance(r.train.select("sale_o"), "sale_o"),
+    "row_weights": lambda r: features.with_class_weight(r.sales.select("client", "sale_o"), "sale_o", 2.5),
+    "standardize": lambda r: _rounded(
+        features.standardize(features.fill_missing(r.train.select("client", *PREDICTORS), PREDICTORS), NUMBERS)
+    ),
+    "one_hot_drop_first": lambda r: features.one_hot(r.train.select("client", "segment"), "segment"),
+    "one_hot_unseen": lambda r: features.one_hot(
+        r.profile.select("client", "segment"), "segment", known=["AUTOMOBILE", "BUILDING", "FURNITURE"]
+    ),
+    "top2_binary_target": lambda r: features.binary_target(
+        r.table("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority"
+    ),
+    "top2_languages": lambda r: features.binary_target(r.table("documents").select("doc_id", "lang"), "lang"),
+    "numeric_target": lambda r: features.numeric_target(_quantity_text(r), "quantity"),
+    "target_scale_roundtrip": _target_roundtrip,
+    "kfold_sizes": _fold_sizes,
+    "hash_folds": _hash_folds,
+    "split_sizes": _split_sizes,
+    "sample_rows": lambda r: features.sample_rows(r.train.select("client", "sale_o"), "client", 1000),
+}
+
+
+def _scored(r: Roles) -> DataFrame:
+    """(client, product, label, probability, revenue, predicted) for every campaign client and product."""
+    rows = [
+        F.struct(
+            F.lit(p.upper()).alias("product"),
+            F.col(f"sale_{p}").alias("label"),
+            F.col(f"{p}_predicted_probability").alias("probability"),
+            F.col(f"revenue_{p}").alias("revenue"),
+            (F.col(f"{p}_predicted_revenue") * 200.0).alias("predicted"),
+        )
+        for p in PRODUCTS
+    ]
+    return r.sales.join(r.scores, "client").select("client", F.inline(F.array(*rows)))
+
+
+METRICS = {
+    "classification_metrics": lambda r: _rounded(
+        metrics.classification_metrics(_scored(r), "label", "probability", ["product"], cutoff=0.4)
+    ),
+    "roc_auc": lambda r: _rounded(
+        metrics.roc_auc(_scored(r).where("product = 'O'"), "label", "probability")
+    ),
+    "regression_metrics": lambda r: _rounded(
+        metrics.regression_metrics(_scored(r).where("revenue <> 0"), "revenue", "predicted", ["product"])
+    ),
+    "score_distribution": lambda r: _rounded(
+        metrics.score_distribution(_scored(r), "probability", ["product"], cutoff=0.4)
+    ),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {name: _on_roles(build) for name, build in {**DECISION, **SILVER, **QUALITY, **PROFILING}.items()}
+    groups = (DECISION, SILVER, QUALITY, PROFILING, FEATURES, METRICS)
+    return {name: _on_roles(build) for group in groups for name, build in group.items()}
