@@ -124,7 +124,7 @@ def training_set(df: DataFrame, spec: ModelSpec) -> TrainingSet:
     columns = list(dict.fromkeys([spec.key, *spec.predictors, spec.target]))
     rows = prep.drop_missing_target(df.select(*[ident(c) for c in columns]), spec.target)
     if spec.kind == "propensity":
-        rows = cut_lineage(prep.binary_target(rows, spec.target))
+        rows = prep.binary_target(cut_lineage(rows), spec.target)
         balance = prep.class_balance(rows, "label").first()
         rows = prep.with_class_weight(rows, "label", balance["class_weight"])
         count = balance["negatives"] + balance["positives"]

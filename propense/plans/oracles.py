@@ -439,7 +439,9 @@ SELECT product, count(*) FILTER (label = 1 AND probability > 0.4) AS tp,
     def build(body: str) -> str:
         return with_roles(body, "sales", "scores", extra=scored)
 
+    best = f"SELECT product, {_r('auc_score')} AS auc_score FROM ({auc}) ORDER BY auc_score DESC, product LIMIT 1"
     return {
+        "best_run": build(best),
         "classification_metrics": build(
             f"""SELECT product, tp AS true_positives, tn AS true_negatives, fp AS false_positives,
   fn AS false_negatives, {_r('(tp + tn) / (tp + tn + fp + fn)')} AS accuracy,
@@ -467,6 +469,24 @@ FROM (SELECT product, count(*) AS samples, avg(abs(revenue - predicted)) AS mae,
     }
 
 
+def files() -> dict[str, str]:
+    loaded = " UNION ALL ".join(
+        f"SELECT '{t}_ingestion' AS job, 'bronze' AS layer, '{t}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {t}"
+        for t in ("customer", "orders", "nation")
+    )
+    return {
+        "ingest_jobs": f"{loaded} UNION ALL SELECT 'absent_ingestion', 'bronze', 'absent', 'failed', NULL",
+        "ingested_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "sql_with_repeats": with_roles(
+            "SELECT sale_o, count_f, * EXCLUDE (sale_o, count_f), sale_o AS sale_o_1, count_f AS count_f_1 "
+            "FROM train WHERE sale_o = 1",
+            "train",
+        ),
+        "sql_status": "SELECT o_orderstatus, count(*) AS n, CAST(1 AS INTEGER) AS good_status, "
+        "CAST(0 AS INTEGER) AS bad_status FROM orders GROUP BY o_orderstatus",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    groups = (decision, silver, quality, profiling, features, metrics)
+    groups = (decision, silver, quality, profiling, features, metrics, files)
     return {name: sql for group in groups for name, sql in group().items()}

@@ -9,10 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
-from propense.operators import decision, features, metrics, profiling, quality
+from propense.operators import (
+    attribution,
+    decision,
+    features,
+    metrics,
+    profiling,
+    quality,
+    training,
+)
 from propense.plans import checks
 from propense.plans.roles import PRODUCTS, Roles
-from propense.sources import tables
+from propense.session import scratch_path
+from propense.sources import export, ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 PRODUCT_NAMES = list(PRODUCTS)
@@ -226,6 +235,162 @@ METRICS = {
 }
 
 
+# Small searches and fits: their shape is that of the full ones, which take hours by design.
+SMALL_SPACE = {
+    "max_depth": [2, 3, 4],
+    "min_child_weight": [1, 5],
+    "gamma": [0.0, 1.0],
+    "colsample_bytree": [0.6, 0.8],
+    "learning_rate": [0.1, 0.2, 0.3],
+    "n_estimators": [3, 5],
+}
+FIXED_SETTINGS = {"max_depth": 3, "n_estimators": 4, "learning_rate": 0.3}
+
+
+def _propensity_spec(p: str = "o") -> training.ModelSpec:
+    """Predictors leave out what defines the target: the count and value of the same product."""
+    others = tuple(f"{c}_{q}" for q in PRODUCTS if q != p for c in ("count", "bal"))
+    predictors = ("segment", "acctbal", "volume_click", "txn_view", *others)
+    return training.ModelSpec(f"propensity_{p}", "propensity", f"sale_{p}", "client", predictors, ("segment",))
+
+
+def _revenue_spec(p: str = "o") -> training.ModelSpec:
+    predictors = ("segment", "acctbal", f"bal_{p}", f"count_{p}", "volume_purchase")
+    return training.ModelSpec(
+        f"revenue_{p}", "revenue", f"revenue_{p}", "client", predictors, ("segment",), scale_target=True
+    )
+
+
+def _train_buyers(r: Roles) -> DataFrame:
+    return tables.scan(r.train, non_zero="revenue_o")
+
+
+def _search(r: Roles, spec: training.ModelSpec, df: DataFrame, **more) -> training.SearchResult:
+    return training.search(df, spec, space=SMALL_SPACE, k_folds=(3,), runs_per_k=1, n_iter=2, **more)
+
+
+def _best_parameters(r: Roles) -> DataFrame:
+    spec = _propensity_spec()
+    best = training.best_parameters(_search(r, spec, r.train).runs, spec)
+    return r.spark.createDataFrame([tuple(map(float, best.values()))], [*best])
+
+
+def _best_run(r: Roles) -> DataFrame:
+    """The product whose scores rank its buyers best."""
+    auc = metrics.roc_auc(_scored(r), "label", "probability", ["product"])
+    return _rounded(auc.orderBy(F.desc("auc_score"), "product").limit(1))
+
+
+def _history(r: Roles) -> DataFrame:
+    """Two final models in a history table, written to shared storage and read back."""
+    store = tables.TableStore(r.spark, scratch_path(r.spark, "history"))
+    for spec in (_propensity_spec("o"), _propensity_spec("f")):
+        final = training.fit_final(r.train, spec, FIXED_SETTINGS)
+        store.append(final.history_row(), "models", "final_propensity")
+    history = store.read("models", "final_propensity")
+    names = training.latest_predictors(history)
+    return history.withColumn("latest_predictors", F.lit(",".join(names)))
+
+
+def _score_propensity(r: Roles) -> DataFrame:
+    final = training.fit_final(r.train, _propensity_spec(), FIXED_SETTINGS)
+    return training.score_propensity(final.model, r.holdout, "client").drop("prediction_timestamp")
+
+
+def _score_revenue(r: Roles) -> DataFrame:
+    """Fit, save, load and apply, as the scoring stage does."""
+    final = training.fit_final(_train_buyers(r), _revenue_spec(), FIXED_SETTINGS)
+    path = scratch_path(r.spark, "model")
+    training.save_model(final, path)
+    model, scaler = training.load_model(r.spark, path, scaled=True)
+    return training.score_revenue(model, r.holdout, "predicted_revenue_o", scaler)
+
+
+def _attribution(r: Roles, spec: training.ModelSpec, df: DataFrame, **more) -> DataFrame:
+    final = training.fit_final(df, spec, FIXED_SETTINGS)
+    return attribution.attribute(final.model, df, r.holdout, "client", **more)
+
+
+MODELS = {
+    "search_propensity": lambda r: _search(r, _propensity_spec(), r.train).runs,
+    "search_revenue": lambda r: _search(r, _revenue_spec(), _train_buyers(r), importance=False).runs,
+    "top_settings": lambda r: training.top_settings(_search(r, _propensity_spec(), r.train), _propensity_spec(), 1),
+    "feature_importance": lambda r: _search(r, _revenue_spec(), _train_buyers(r)).importance,
+    "best_params": _best_parameters,
+    "best_run": _best_run,
+    "fit_final_propensity": lambda r: training.fit_final(r.train, _propensity_spec(), FIXED_SETTINGS)
+    .metrics.drop("training_time_seconds"),
+    "fit_final_revenue": lambda r: training.fit_final(_train_buyers(r), _revenue_spec(), FIXED_SETTINGS)
+    .metrics.drop("training_time_seconds"),
+    "model_history": lambda r: _history(r).drop("model_timestamp", "training_time_seconds"),
+    "score_propensity": _score_propensity,
+    "score_revenue": _score_revenue,
+    "attribution_detail": lambda r: _attribution(r, _propensity_spec(), r.train),
+    "attribution_all_rows": lambda r: _attribution(r, _revenue_spec(), _train_buyers(r), sample_size=None),
+    "attribution_summary": lambda r: attribution.attribution_summary(
+        _attribution(r, _propensity_spec(), r.train)
+    ),
+}
+
+
+def _ingest(r: Roles) -> DataFrame:
+    """Export the raw tables as text sheets, then ingest them by job file; one job fails on purpose."""
+    root = scratch_path(r.spark, "ingest")
+    jobs = []
+    for name, schema in SHEETS.items():
+        columns = [c.split()[0] for c in schema.split(",")]
+        export.export_csv(r.table(name).select(*columns), f"{root}/raw", f"{name}.csv")
+        jobs.append(ingest.IngestJob(f"{name}_ingestion", "bronze", name, f"{root}/raw", name, schema=schema))
+    jobs.insert(1, ingest.IngestJob("absent_ingestion", "bronze", "absent", f"{root}/raw", "absent"))
+    store = tables.TableStore(r.spark, f"{root}/lake")
+    status = ingest.run_jobs(store, jobs)
+    store.require(*[("bronze", name) for name in SHEETS])
+    return status.select("job", "layer", "table", "status", "rows")
+
+
+def _ingested_orders(r: Roles) -> DataFrame:
+    root = scratch_path(r.spark, "orders")
+    export.export_json(r.table("orders").select("o_orderkey", "o_custkey", "o_totalprice"), f"{root}/raw")
+    store = tables.TableStore(r.spark, f"{root}/lake")
+    schema = "o_orderkey long, o_custkey long, o_totalprice double"
+    job = ingest.IngestJob("orders", "bronze", "orders", f"{root}/raw", format="json", schema=schema)
+    ingest.run_jobs(store, [job])
+    return store.read("bronze", "orders")
+
+
+def _sql_with_repeats(r: Roles) -> DataFrame:
+    r.train.createOrReplaceTempView("silver_train")
+    text = "SELECT sale_o, count_f, * FROM silver_train WHERE sale_o = 1"
+    return export.run_sql(r.spark, text).query
+
+
+def _sql_status(r: Roles) -> DataFrame:
+    """A query that works is exported as CSV and read back; one that fails reports its status."""
+    r.table("orders").createOrReplaceTempView("raw_orders")
+    good = export.run_sql(
+        r.spark,
+        "SELECT o_orderstatus, count(*) AS n FROM raw_orders GROUP BY o_orderstatus",
+    )
+    bad = export.run_sql(r.spark, "SELECT missing_column FROM raw_orders")
+    path = export.save_result(good, scratch_path(r.spark, "queried"), "by_status")
+    back = r.spark.read.option("header", "true").schema("o_orderstatus string, n long").csv(path)
+    return back.withColumns({"good_status": F.lit(good.status), "bad_status": F.lit(bad.status)})
+
+
+SHEETS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+FILES = {
+    "ingest_jobs": _ingest,
+    "ingested_orders": _ingested_orders,
+    "sql_with_repeats": _sql_with_repeats,
+    "sql_status": _sql_status,
+}
+
+
 def queries() -> dict[str, Query]:
-    groups = (DECISION, SILVER, QUALITY, PROFILING, FEATURES, METRICS)
+    groups = (DECISION, SILVER, QUALITY, PROFILING, FEATURES, METRICS, MODELS, FILES)
     return {name: _on_roles(build) for group in groups for name, build in group.items()}

@@ -60,8 +60,8 @@ def export_scores(df: DataFrame, folder: str, name: str) -> str:
 
 
 def export_json(df: DataFrame, path: str) -> str:
-    """A few rows, such as one row of model metrics, as a JSON document."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Rows as JSON lines; one row of model metrics is one document."""
+    df.write.mode("overwrite").json(path)
     return path
 
 
