@@ -16,64 +16,82 @@ def _ratio(top, bottom):
     return F.coalesce(F.try_divide(top.cast("double"), bottom), F.lit(0.0))
 
 
-def classification_metrics(
-    scored: DataFrame, label: str, probability: str, by: Sequence[str] = (), cutoff: float = 0.5
-) -> DataFrame:
-    """Confusion matrix and what follows from it, plus the area under the ROC curve."""
-    positive, predicted = ident(label) == 1, ident(probability) > cutoff
-    counts = scored.groupBy(*by).agg(
-        F.count_if(positive & predicted).alias("true_positives"),
-        F.count_if(~positive & ~predicted).alias("true_negatives"),
-        F.count_if(~positive & predicted).alias("false_positives"),
-        F.count_if(positive & ~predicted).alias("false_negatives"),
-    )
-    tp, tn, fp, fn = (
-        F.col(f"{a}_{b}")
-        for a, b in (("true", "positives"), ("true", "negatives"), ("false", "positives"), ("false", "negatives"))
-    )
-    precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
-    out = counts.select(
-        "*",
-        _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        precision.alias("precision"),
-        recall.alias("recall"),
-        _ratio(2 * precision * recall, precision + recall).alias("f1_score"),
-        (tp + fn).alias("positive_class_count"),
-        (tn + fp).alias("negative_class_count"),
+def _score_counts(scored: DataFrame, label: str, probability: str, by: Sequence[str]) -> DataFrame:
+    """Positives and negatives per distinct score: a hot score is one row from here on."""
+    score = ident(probability).cast("double")
+    known = scored.where(score.isNotNull() & ident(label).isNotNull())
+    return known.groupBy(*by, score.alias("score")).agg(
+        F.count_if(ident(label) == 1).alias("pos"), F.count_if(ident(label) != 1).alias("neg")
     )
-    auc = roc_auc(scored, label, probability, by)
-    # One row per model on either side.
-    if by:
-        return out.join(F.broadcast(auc), list(by))
-    return out.withColumn("auc_score", auc.scalar())
 
 
-def roc_auc(scored: DataFrame, label: str, probability: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half.
+def _slot_totals(counts: DataFrame, by: Sequence[str], cutoff: float) -> DataFrame:
+    """Class counts per slot of scores, counts of either class above the cutoff, and the number of
+    (positive, negative) pairs ranked right, ties counted half.
 
-    That is the share of (positive, negative) pairs ranked right. Scores are counted first; negatives
-    below a score are then those of lower slots, plus those below it in its own slot, so each task
-    orders one slot of scores and only the slot totals are accumulated.
+    The negatives below a score are those of lower slots, plus those below it in its own slot. So each
+    task orders the scores of one slot, and only slot totals are accumulated.
     """
-    counts = scored.groupBy(*by, ident(probability).cast("double").alias("score")).agg(
-        F.count_if(ident(label) == 1).alias("pos"), F.count_if(ident(label) != 1).alias("neg")
-    )
     slotted = counts.withColumn("slot", slot_of(F.col("score"), F.lit(0.0), F.lit(1.0)))
     inside = Window.partitionBy(*by, "slot").orderBy("score")
     below = F.sum("neg").over(inside) - F.col("neg") / 2.0
+    above = F.col("score") > cutoff
     slots = (
         slotted.withColumn("below", below)
         .groupBy(*by, "slot")
         .agg(
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
+            F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("pos_above"),
+            F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("neg_above"),
             F.sum(F.col("pos") * F.col("below")).alias("right"),
         )
     )
     lower = F.sum("neg").over(Window.partitionBy(*by).orderBy("slot")) - F.col("neg")
-    pairs = slots.withColumn("right", F.col("right") + F.col("pos") * lower)
-    all_pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return pairs.groupBy(*by).agg(F.try_divide(F.sum("right"), all_pairs).alias("auc_score"))
+    return slots.withColumn("right", F.col("right") + F.col("pos") * lower)
+
+
+def _auc():
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    return F.try_divide(F.sum("right"), pairs).alias("auc_score")
+
+
+def roc_auc(scored: DataFrame, label: str, probability: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve: the share of (positive, negative) pairs ranked right."""
+    slots = _slot_totals(_score_counts(scored, label, probability, by), by, 0.5)
+    return slots.groupBy(*by).agg(_auc())
+
+
+def classification_metrics(
+    scored: DataFrame, label: str, probability: str, by: Sequence[str] = (), cutoff: float = 0.5
+) -> DataFrame:
+    """Confusion matrix and what follows from it, plus the area under the ROC curve, in one pass."""
+    slots = _slot_totals(_score_counts(scored, label, probability, by), by, cutoff)
+    count = lambda name: F.coalesce(F.sum(name), F.lit(0))
+    matrix = slots.groupBy(*by).agg(
+        count("pos_above").alias("true_positives"),
+        (count("neg") - count("neg_above")).alias("true_negatives"),
+        count("neg_above").alias("false_positives"),
+        (count("pos") - count("pos_above")).alias("false_negatives"),
+        _auc(),
+    )
+    tp, tn = F.col("true_positives"), F.col("true_negatives")
+    fp, fn = F.col("false_positives"), F.col("false_negatives")
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
+    return matrix.select(
+        *by,
+        "auc_score",
+        _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
+        precision.alias("precision"),
+        recall.alias("recall"),
+        _ratio(2 * precision * recall, precision + recall).alias("f1_score"),
+        "true_positives",
+        "true_negatives",
+        "false_positives",
+        "false_negatives",
+        (tp + fn).alias("positive_class_count"),
+        (tn + fp).alias("negative_class_count"),
+    )
 
 
 def regression_metrics(scored: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

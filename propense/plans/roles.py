@@ -8,8 +8,8 @@ train     sales with everything known about those customers
 holdout   customers not reached, with flows and balances
 scores    propensity and revenue estimate per product, from the orders
 
-A product is an order status. Money columns hold two decimals, so they are summed as decimals: exact,
-and the same whatever order the rows arrive in.
+A product is an order status. Money columns hold two decimals, so they are summed in whole cents: exact,
+the same whatever order the rows arrive in, and on primitive longs.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ PRODUCTS = {"o": "O", "f": "F", "p": "P"}
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 CAMPAIGN_REGIONS = ("AFRICA", "AMERICA", "ASIA")
 MIN_ORDERS_FOR_SALE = 4
-MONEY = "decimal(12,2)"
-RATE = "decimal(6,2)"
 
 
-def _total(amount: Column, when: Column | None = None) -> Column:
-    """Exact sum of an amount, as a double."""
-    return F.sum(amount if when is None else F.when(when, amount)).cast("double")
+def _hundredths(amount: str) -> Column:
+    """A two-decimal column in whole hundredths."""
+    return F.floor(F.col(amount) * 100.0 + 0.5)
+
+
+def _total(units: Column, when: Column, per_unit: float = 100.0) -> Column:
+    """Exact sum over the rows that qualify, back in the column's own unit."""
+    return F.sum(F.when(when, units)) / per_unit
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,7 @@ class Roles:
 
     @cached_property
     def balances(self) -> DataFrame:
-        price = F.col("o_totalprice").cast(MONEY)
+        price = _hundredths("o_totalprice")
         aggregates = []
         for p, status in PRODUCTS.items():
             is_product = F.col("o_orderstatus") == status
@@ -66,7 +69,7 @@ class Roles:
 
     @cached_property
     def flows(self) -> DataFrame:
-        value = F.col("value").cast(MONEY)
+        value = _hundredths("value")
         aggregates = []
         for e in EVENT_TYPES:
             is_type = F.col("event_type") == e
@@ -88,7 +91,7 @@ class Roles:
 
     @cached_property
     def sales(self) -> DataFrame:
-        revenue = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast(RATE)
+        revenue = _hundredths("l_extendedprice") * _hundredths("l_discount")
         per_order = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -100,7 +103,7 @@ class Roles:
             is_product = F.col("o_orderstatus") == status
             aggregates += [
                 F.count_if(is_product).alias(f"n_{p}"),
-                _total(F.col("order_revenue"), is_product).alias(f"r_{p}"),
+                _total(F.col("order_revenue"), is_product, 10000.0).alias(f"r_{p}"),
             ]
         per_client = (
             orders.join(per_order, "o_orderkey", "left")
