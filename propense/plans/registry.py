@@ -122,7 +122,9 @@ PROFILING = {
         profiling.categorical_profile(r.table("orders"), with_map=False)
     ),
     "category_distribution": lambda r: profiling.category_distribution(r.train, TRAIN_CATEGORIES),
-    "category_distribution_events": lambda r: profiling.category_distribution(r.table("events")),
+    "category_distribution_events": lambda r: profiling.category_distribution(
+        r.table("events"), ["event_type", "props"]
+    ),
     "value_counts": lambda r: profiling.value_counts(r.table("orders"), "o_orderpriority"),
     "value_counts_customers": lambda r: profiling.value_counts(r.table("orders"), "o_custkey"),
     "mean_baseline_mae": lambda r: _rounded(profiling.mean_baseline_error(r.sales, REVENUES)),

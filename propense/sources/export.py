@@ -76,4 +76,5 @@ def join_names(names) -> str:
 
 def split_names(col):
     """The reverse, tolerant of blanks around the commas."""
-    return F.transform(F.split(col, ","), F.trim)
+    # A lambda of one argument: given F.trim itself, the index would become the characters to trim.
+    return F.transform(F.split(col, ","), lambda name: F.trim(name))
