@@ -38,3 +38,13 @@ def require_columns(df: DataFrame, names: list[str]) -> None:
 def resolve(df: DataFrame, name: str) -> T.StructField | None:
     """The schema field for ``name``, ignoring case."""
     return next((f for f in df.schema.fields if f.name.lower() == name.lower()), None)
+
+
+def rounded(value: Column, digits: int) -> Column:
+    """Half away from zero on the scaled double, as SQL engines with binary rounding do.
+
+    Spark's own ROUND goes by the shortest decimal text: 1.025 becomes 1.03 there and 1.02 here, as the
+    double is a little below.
+    """
+    scale = float(10**digits)
+    return F.round(value * scale) / scale

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propense.functions.columns import rounded
+
 THRESHOLD = 0.71
 
 
@@ -61,14 +63,14 @@ def product_mix(outcome: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     counts = outcome.groupBy(*by, "best_product_type").agg(F.count(F.lit(1)).alias("count"))
     # The window sees one row per product only.
     total = F.sum("count").over(Window.partitionBy(*by))
-    return counts.withColumn("percentage", F.round(F.col("count") * 100.0 / total, 2))
+    return counts.withColumn("percentage", rounded(F.col("count") * 100.0 / total, 2))
 
 
 def outcome_totals(outcome: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     value = F.col("max_expected_revenue")
     named = {"avg": F.avg, "min": F.min, "max": F.max, "total": F.sum}
     return outcome.groupBy(*by).agg(
-        *[F.round(fn(value), 2).alias(f"{name}_expected_revenue") for name, fn in named.items()]
+        *[rounded(fn(value), 2).alias(f"{name}_expected_revenue") for name, fn in named.items()]
     )
 
 
@@ -98,6 +100,6 @@ def threshold_sweep(scores: DataFrame, products: Sequence[str], thresholds: Sequ
     return outcome.groupBy("threshold").agg(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(value > 0).alias("positive_offers"),
-        F.round(F.sum(value), 2).alias("total_expected_revenue"),
+        rounded(F.sum(value), 2).alias("total_expected_revenue"),
         *[F.count_if(F.col("best_product_type") == p.upper()).alias(f"best_{p}") for p in products],
     )

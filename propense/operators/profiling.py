@@ -20,6 +20,7 @@ from propense.functions.columns import (
     integral_columns,
     numeric_columns,
     require_columns,
+    rounded,
     text_columns,
 )
 from propense.functions.moments import sample_kurtosis, sample_skewness
@@ -227,7 +228,7 @@ def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _share(count: Column, total: Column) -> Column:
-    return F.round(F.try_divide(count * 100.0, total), 2)
+    return rounded(F.try_divide(count * 100.0, total), 2)
 
 
 def category_distribution(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

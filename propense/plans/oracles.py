@@ -342,8 +342,8 @@ FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHE
 PREDICTORS = ["acctbal", "volume_click", "txn_click", "volume_view", "txn_view", "bal_f", "count_p"]
 
 
-def _r(x: str) -> str:
-    return f"round({x} + 1e-8, 6)"
+def _r(x: str, digits: int = 6) -> str:
+    return f"round({x} + 1e-8, {digits})"
 
 
 def features() -> dict[str, str]:
@@ -452,9 +452,9 @@ FROM ({matrix}) JOIN ({auc}) USING (product)"""
         ),
         "roc_auc": build(f"SELECT {_r('auc_score')} AS auc_score FROM ({auc}) WHERE product = 'O'"),
         "regression_metrics": build(
-            f"""SELECT product, samples, {_r('mae')} AS mae, {_r('mse')} AS mse, {_r('sqrt(mse)')} AS rmse,
-  {_r('1 - mse / v')} AS r2_score, {_r('mae / mean_actual * 100')} AS mae_percentage,
-  {_r('mean_actual')} AS mean_actual, {_r('std_actual')} AS std_actual
+            f"""SELECT product, samples, {_r('mae', 3)} AS mae, {_r('mse', 3)} AS mse, {_r('sqrt(mse)', 3)} AS rmse,
+  {_r('1 - mse / v', 3)} AS r2_score, {_r('mae / mean_actual * 100', 3)} AS mae_percentage,
+  {_r('mean_actual', 3)} AS mean_actual, {_r('std_actual', 3)} AS std_actual
 FROM (SELECT product, count(*) AS samples, avg(abs(revenue - predicted)) AS mae,
   avg((revenue - predicted) * (revenue - predicted)) AS mse, avg(revenue) AS mean_actual,
   stddev_samp(revenue) AS std_actual, var_pop(revenue) AS v

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propense.functions.columns import ident
+from propense.functions.columns import ident, rounded
 from propense.operators import (
     attribution,
     decision,
@@ -98,7 +98,7 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """
     return df.select(
         *[
-            F.round(ident(f.name) + 1e-8, digits).alias(f.name)
+            rounded(ident(f.name) + 1e-8, digits).alias(f.name)
             if f.dataType.typeName() == "double"
             else ident(f.name)
             for f in df.schema.fields
@@ -229,7 +229,8 @@ METRICS = {
         metrics.roc_auc(_scored(r).where("product = 'O'"), "label", "probability")
     ),
     "regression_metrics": lambda r: _rounded(
-        metrics.regression_metrics(_scored(r).where("revenue <> 0"), "revenue", "predicted", ["product"])
+        metrics.regression_metrics(_scored(r).where("revenue <> 0"), "revenue", "predicted", ["product"]),
+        digits=3,  # a squared error of 10^8 has no more digits than that to compare
     ),
     "score_distribution": lambda r: _rounded(
         metrics.score_distribution(_scored(r), "probability", ["product"], cutoff=0.4)
