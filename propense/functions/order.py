@@ -29,6 +29,18 @@ def log_scale(value: Column) -> Column:
     return F.signum(value) * F.log1p(F.abs(value))
 
 
+def logit_slot(probability: Column, per_unit: int = 256) -> Column:
+    """Slot of a probability, finer near 0 and 1; at most 1,600 x ``per_unit`` slots, never decreasing.
+
+    Values outside (0, 1) share the first and the last slot.
+    """
+    odds = F.ln(probability) - F.ln(1.0 - probability)
+    bounded = (
+        F.when(probability <= 0, F.lit(-800.0)).when(probability >= 1, F.lit(800.0)).otherwise(odds)
+    )
+    return F.floor(bounded * per_unit).cast("int")
+
+
 def small_table(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> DataFrame:
     """A handful of numbers held by the driver, as a local relation. ``columns``: "a int, b double"."""
     types = [c.split() for c in columns.split(",")]

@@ -28,6 +28,8 @@ from propense.operators import features as prep
 
 SAMPLE_SIZE = 1000
 BACKGROUND_SIZE = 100
+# Rows explained at a time within a task.
+CHUNK = 1024
 
 # The helpers below travel to the tasks with the job, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -160,11 +162,15 @@ def attribute(
         for batch in batches:
             if len(batch):
                 x = np.stack(batch["x"].to_numpy())
+                # The work space of a leaf is patterns x background x depth: keep the first small.
+                parts = [
+                    contributions(leaves, background, x[i : i + CHUNK]) for i in range(0, len(x), CHUNK)
+                ]
                 yield pd.DataFrame(
                     {
                         "instance_id": batch["instance_id"],
                         "x": batch["x"],
-                        "phi": list(contributions(leaves, background, x)),
+                        "phi": list(np.concatenate(parts)),
                         "margin": margin(leaves, x),
                     }
                 )

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
-from propense.functions.order import slot_of
+from propense.functions.order import logit_slot, slot_of
+
+# Parts a slot of scores is cut into.
+PIECES = 1024
 
 
 def _ratio(top, bottom):
@@ -29,26 +32,32 @@ def _slot_totals(counts: DataFrame, by: Sequence[str], cutoff: float) -> DataFra
     """Class counts per slot of scores, counts of either class above the cutoff, and the number of
     (positive, negative) pairs ranked right, ties counted half.
 
-    The negatives below a score are those of lower slots, plus those below it in its own slot. So each
-    task orders the scores of one slot, and only slot totals are accumulated.
+    A slot is cut into pieces between the lowest and highest score found in it, so that scores crowded
+    into one slot still spread over many tasks. The negatives below a score are those of lower slots,
+    of lower pieces of its slot, and those below it in its piece: only the scores of one piece, the
+    pieces of one slot and the slots are ever accumulated.
     """
-    slotted = counts.withColumn("slot", slot_of(F.col("score"), F.lit(0.0), F.lit(1.0)))
-    inside = Window.partitionBy(*by, "slot").orderBy("score")
-    below = F.sum("neg").over(inside) - F.col("neg") / 2.0
-    above = F.col("score") > cutoff
-    slots = (
-        slotted.withColumn("below", below)
-        .groupBy(*by, "slot")
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("pos_above"),
-            F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("neg_above"),
-            F.sum(F.col("pos") * F.col("below")).alias("right"),
-        )
+    score = F.col("score")
+    slotted = counts.withColumn("slot", logit_slot(score))
+    # A bounded number of slots per model, whatever the number of rows.
+    ranges = slotted.groupBy(*by, "slot").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    pieces = slotted.join(F.broadcast(ranges), [*by, "slot"]).withColumn(
+        "piece", slot_of(score, F.col("lo"), F.col("hi"), PIECES)
     )
-    lower = F.sum("neg").over(Window.partitionBy(*by).orderBy("slot")) - F.col("neg")
-    return slots.withColumn("right", F.col("right") + F.col("pos") * lower)
+    above = score > cutoff
+    inside = Window.partitionBy(*by, "slot", "piece").orderBy("score")
+    levels = (
+        pieces.withColumn("pos_above", F.when(above, F.col("pos")).otherwise(0))
+        .withColumn("neg_above", F.when(above, F.col("neg")).otherwise(0))
+        .withColumn("right", F.col("pos") * (F.sum("neg").over(inside) - F.col("neg") / 2.0))
+    )
+    for group, order in (([*by, "slot"], "piece"), ([*by], "slot")):
+        levels = levels.groupBy(*group, order).agg(
+            *[F.sum(c).alias(c) for c in ("pos", "neg", "pos_above", "neg_above", "right")]
+        )
+        lower = F.sum("neg").over(Window.partitionBy(*group).orderBy(order)) - F.col("neg")
+        levels = levels.withColumn("right", F.col("right") + F.col("pos") * lower)
+    return levels
 
 
 def _auc():

@@ -326,7 +326,15 @@ def profiling() -> dict[str, str]:
 FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHERE revenue_{p} <> 0"""
         for p in PRODUCTS
     )
+    integers = ["client", "nation"] + [f"{c}_{p}" for p in PRODUCTS for c in ("sale", "count")]
+    integers += [f"txn_{e}" for e in EVENT_TYPES]
+    distinct = " UNION ALL ".join(
+        f"SELECT '{c}' AS data_field_name, count(DISTINCT {c}) AS n FROM train" for c in integers
+    )
     return {
+        "category_columns": with_roles(
+            f"SELECT data_field_name FROM ({distinct}) WHERE n <= 20 UNION ALL SELECT 'segment'", "train"
+        ),
         "profile_numeric": with_roles(_numeric_profile("train", TRAIN_NUMBERS), "train"),
         "profile_numeric_lineitem": _numeric_profile("lineitem", LINEITEM_NUMBERS),
         "profile_categorical": with_roles(_categorical_profile("train", categories), "train"),

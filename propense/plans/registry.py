@@ -110,6 +110,12 @@ def _without_ids(df: DataFrame) -> DataFrame:
     return df.drop("name_of_profile", "schema_name", "table_field_name")
 
 
+def _category_columns(r: Roles) -> DataFrame:
+    """Which columns of the training table hold categories."""
+    found = profiling.category_columns(r.train)
+    return r.spark.createDataFrame([(c,) for c in found], "data_field_name string")
+
+
 PROFILING = {
     "profile_numeric": lambda r: _rounded(_without_ids(profiling.numeric_profile(r.train))),
     "profile_numeric_lineitem": lambda r: _rounded(
@@ -121,6 +127,7 @@ PROFILING = {
     "profile_categorical_orders": lambda r: _without_ids(
         profiling.categorical_profile(r.table("orders"), with_map=False)
     ),
+    "category_columns": _category_columns,
     "category_distribution": lambda r: profiling.category_distribution(r.train, TRAIN_CATEGORIES),
     "category_distribution_events": lambda r: profiling.category_distribution(
         r.table("events"), ["event_type", "props"]
@@ -295,6 +302,14 @@ def _history(r: Roles) -> DataFrame:
     return history.withColumn("latest_predictors", F.lit(",".join(names)))
 
 
+def _explain_metrics(r: Roles) -> DataFrame:
+    """Metrics of the training part and of the held-out part of a stratified split."""
+    spec = _propensity_spec()
+    train, test = features.split(r.train, spec.key, 0.2, spec.seed, strata=spec.target)
+    final = training.fit_final(train, spec, FIXED_SETTINGS, holdout=test)
+    return final.metrics.drop("training_time_seconds")
+
+
 def _score_propensity(r: Roles) -> DataFrame:
     final = training.fit_final(r.train, _propensity_spec(), FIXED_SETTINGS)
     return training.score_propensity(final.model, r.holdout, "client").drop("prediction_timestamp")
@@ -325,6 +340,7 @@ MODELS = {
     .metrics.drop("training_time_seconds"),
     "fit_final_revenue": lambda r: training.fit_final(_train_buyers(r), _revenue_spec(), FIXED_SETTINGS)
     .metrics.drop("training_time_seconds"),
+    "explain_metrics": _explain_metrics,
     "model_history": lambda r: _history(r).drop("model_timestamp", "training_time_seconds"),
     "score_propensity": _score_propensity,
     "score_revenue": _score_revenue,

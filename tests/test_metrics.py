@@ -32,6 +32,23 @@ def test_auc_counts_pairs(spark, digits):
     assert got == pytest.approx(sum(pairs) / len(pairs), rel=1e-12)
 
 
+@pytest.mark.parametrize(
+    "score",
+    [
+        lambda rng: 0.5 + rng.random() * 1e-9,  # crowded
+        lambda rng: 10 ** -rng.uniform(0, 15),  # over many magnitudes
+        lambda rng: rng.choice([0.0, 1.0, 1e-300, 1 - 1e-16, 0.5]),  # at the ends
+        lambda rng: rng.gauss(0, 3),  # not a probability at all
+    ],
+)
+def test_auc_of_awkward_scores(spark, score):
+    rng = random.Random(7)
+    rows = [(rng.randint(0, 1), score(rng)) for _ in range(300)]
+    pairs = [(p > n) + (p == n) / 2 for y, p in rows if y for z, n in rows if not z]
+    got = metrics.roc_auc(spark.createDataFrame(rows, "y int, p double"), "y", "p").first()["auc_score"]
+    assert got == pytest.approx(sum(pairs) / len(pairs), rel=1e-12)
+
+
 def test_regression(spark):
     rows = [(1.0, 2.0), (3.0, 3.0), (5.0, 2.0)]
     row = metrics.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
