@@ -38,18 +38,27 @@ def drop_missing_target(df: DataFrame, target: str) -> DataFrame:
     return df.where(ident(target).isNotNull())
 
 
-def binary_target(df: DataFrame, target: str, label: str = "label") -> DataFrame:
-    """Rows with one of the target's two most frequent values; label 1.0 is the later in sort order.
+def binary_classes(df: DataFrame, target: str) -> list:
+    """The target's two most frequent values in sort order; all that travels through the driver.
 
-    On equal frequency the value that sorts first is kept. Two values travel through the driver.
+    On equal frequency the value that sorts first is kept.
     """
     counts = df.where(ident(target).isNotNull()).groupBy(ident(target).alias("v")).count()
-    top = sorted(r["v"] for r in counts.orderBy(F.desc("count"), "v").limit(2).collect())
-    if len(top) == 1 and not _is_text(df, target):
-        # A single 0/1 class keeps its meaning.
-        return df.where(ident(target) == top[0]).withColumn(label, ident(target).cast("double"))
-    is_one = ident(target) == (top[1] if len(top) == 2 else None)
-    return df.where(ident(target).isin(top)).withColumn(label, is_one.cast("double"))
+    return sorted(r["v"] for r in counts.orderBy(F.desc("count"), "v").limit(2).collect())
+
+
+def label_classes(df: DataFrame, target: str, classes: Sequence, label: str = "label") -> DataFrame:
+    """Rows of these classes only; the label is 1.0 for the second. A lone 0/1 class keeps its meaning."""
+    if len(classes) == 2:
+        value = (ident(target) == classes[1]).cast("double")
+    else:
+        value = F.lit(0.0) if _is_text(df, target) else ident(target).cast("double")
+    return df.where(ident(target).isin(list(classes))).withColumn(label, value)
+
+
+def binary_target(df: DataFrame, target: str, label: str = "label") -> DataFrame:
+    """A label out of any target, by its two most frequent values."""
+    return label_classes(df, target, binary_classes(df, target), label)
 
 
 def numeric_target(df: DataFrame, target: str) -> DataFrame:

@@ -110,30 +110,41 @@ class TrainingSet:
 
     rows: DataFrame
     count: int
+    classes: list | None = None
     class_weight: float | None = None
     scaler: prep.TargetScaler | None = None
 
 
+def _known_targets(df: DataFrame, spec: ModelSpec) -> DataFrame:
+    """The columns of the model, in rows whose target is known."""
+    require_columns(df, [spec.key, spec.target, *spec.predictors])
+    columns = dict.fromkeys([spec.key, *spec.predictors, spec.target])
+    rows = prep.drop_missing_target(df.select(*[ident(c) for c in columns]), spec.target)
+    return rows if spec.kind == "propensity" else prep.numeric_target(rows, spec.target)
+
+
+def _labelled(rows: DataFrame, spec: ModelSpec, classes: list | None, scaler) -> DataFrame:
+    if spec.kind == "propensity":
+        return prep.label_classes(rows, spec.target, classes)
+    target = ident(spec.target).cast("double")
+    return rows.withColumn("label", scaler.scale(target) if scaler else target)
+
+
 def training_set(df: DataFrame, spec: ModelSpec) -> TrainingSet:
     """Select, clean and label the rows, and write them out once.
 
     Boosting rereads its input hundreds of times; the checkpoint spares it the joins behind the table,
     also when an executor is lost.
     """
-    require_columns(df, [spec.key, spec.target, *spec.predictors])
-    columns = list(dict.fromkeys([spec.key, *spec.predictors, spec.target]))
-    rows = prep.drop_missing_target(df.select(*[ident(c) for c in columns]), spec.target)
+    rows = cut_lineage(_known_targets(df, spec))
     if spec.kind == "propensity":
-        rows = prep.binary_target(cut_lineage(rows), spec.target)
+        classes = prep.binary_classes(rows, spec.target)
+        rows = _labelled(rows, spec, classes, None)
         balance = prep.class_balance(rows, "label").first()
         rows = prep.with_class_weight(rows, "label", balance["class_weight"])
-        count = balance["negatives"] + balance["positives"]
-        return TrainingSet(rows, count, class_weight=balance["class_weight"])
-    rows = cut_lineage(prep.numeric_target(rows, spec.target))
+        return TrainingSet(rows, sum(balance[:2]), classes, balance["class_weight"])
     scaler = prep.TargetScaler.fit(rows, spec.target) if spec.scale_target else None
-    label = ident(spec.target).cast("double")
-    rows = rows.withColumn("label", scaler.scale(label) if scaler else label)
-    return TrainingSet(rows, rows.count(), scaler=scaler)
+    return TrainingSet(_labelled(rows, spec, None, scaler), rows.count(), scaler=scaler)
 
 
 def draw_settings(space: Mapping[str, Sequence], n: int, seed: int) -> list[Settings]:
@@ -393,9 +404,8 @@ def fit_final(
         *([F.lit(spec.scale_target).alias("response_scaled")] if spec.kind == "revenue" else []),
     )
     if holdout is not None:
-        rows = training_set(holdout, spec).rows
-        if data.scaler:
-            rows = rows.withColumn("label", data.scaler.scale(ident(spec.target).cast("double")))
+        # Classes and scale are those of the training rows.
+        rows = _labelled(_known_targets(holdout, spec), spec, data.classes, data.scaler)
         tested = evaluate(model, rows, spec, data.scaler).first().asDict()
         out = out.withColumns({f"holdout_{k}": F.lit(v) for k, v in tested.items()})
     return FinalModel(spec, model, out, dict(settings), data.scaler)

@@ -171,25 +171,20 @@ def silver() -> dict[str, str]:
     }
 
 
-def _passes(field: str, rule) -> str:
-    """Condition of a passing row, written out per rule."""
-    f, arg = field, rule.argument
+def _fails(f: str, rule) -> str:
+    """Condition of a failing row: the other way round from the rules themselves."""
+    arg = rule.argument
     if rule.kind == "enum":
-        values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in arg)
-        return f"{f} IN ({values}) OR {f} IS NULL"
+        return f"{f} NOT IN ({', '.join(repr(v) for v in arg)})"
     if rule.kind == "type":
-        tests = {
-            "numerical": f"TRY_CAST({f} AS DOUBLE) IS NOT NULL",
-            "datetime": f"TRY_CAST({f} AS DATE) IS NOT NULL OR TRY_CAST({f} AS TIMESTAMP) IS NOT NULL",
-            "string": f"TRY_CAST({f} AS VARCHAR) IS NOT NULL",
-        }
-        return f"({tests[arg]}) OR {f} IS NULL"
+        casts = {"numerical": ["DOUBLE"], "datetime": ["DATE", "TIMESTAMP"], "string": ["VARCHAR"]}[arg]
+        return " AND ".join([f"{f} IS NOT NULL", *[f"TRY_CAST({f} AS {c}) IS NULL" for c in casts]])
     return {
-        "positive": f"{f} >= 0 OR {f} IS NULL",
-        "non_null": f"{f} IS NOT NULL",
-        "sync_null": f"({f} IS NULL AND {arg} IS NULL) OR ({f} IS NOT NULL AND {arg} IS NOT NULL)",
-        "sync_zero": f"({f} = 0 AND {arg} = 0) OR ({f} <> 0 AND {arg} <> 0) OR {f} IS NULL OR {arg} IS NULL",
-        "non_zero": f"{f} <> 0 OR {f} IS NULL",
+        "positive": f"{f} < 0",
+        "non_null": f"{f} IS NULL",
+        "sync_null": f"({f} IS NULL) <> ({arg} IS NULL)",
+        "sync_zero": f"({f} = 0) <> ({arg} = 0)",
+        "non_zero": f"{f} = 0",
     }[rule.kind]
 
 
@@ -198,19 +193,20 @@ def quality_results(specs) -> str:
     for spec in specs:
         for rule in spec.rules:
             if rule.kind == "unique":
-                passed = (
-                    f"(SELECT count(*) FROM (SELECT {spec.field} FROM {spec.table} "
-                    f"GROUP BY {spec.field} HAVING count(*) = 1))"
+                failed = (
+                    f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {spec.table} "
+                    f"GROUP BY {spec.field}) WHERE n > 1)"
                 )
             else:
-                passed = f"count(*) FILTER ({_passes(spec.field, rule)})"
+                failed = f"count(*) FILTER ({_fails(spec.field, rule)})"
+            failed = f"CAST({failed} AS BIGINT)"
             named = rule.kind in ("type", "sync_null", "sync_zero")
             suffix = f"{rule.kind}_{rule.argument}" if named else rule.kind
             parts.append(
                 f"SELECT '{spec.database}' AS database_name, '{spec.layer}' AS schema_name, "
                 f"'{spec.table}' AS table_name, '{spec.field}' AS data_field_name, "
                 f"count(*) AS total_records, '{rule.kind}' AS check_type, "
-                f"{passed} AS records_passed, count(*) - {passed} AS records_failed, "
+                f"count(*) - {failed} AS records_passed, {failed} AS records_failed, "
                 f"'{spec.name}_{suffix}' AS check_name FROM {spec.table}"
             )
     return " UNION ALL ".join(parts)

@@ -15,12 +15,12 @@ from propense.sources.tables import TableStore
 
 @dataclass(frozen=True)
 class Names:
-    """Where the stages keep things."""
+    """Names of the raw tables, and of the key they share."""
 
-    sales: str = "sales_revenues"
-    flows: str = "inflow_outflow"
-    balances: str = "products_actbalance"
-    profile: str = "soc_dem"
+    sales: str = "sales"
+    flows: str = "flows"
+    balances: str = "balances"
+    profile: str = "profile"
     key: str = "client"
     buckets: int = 0  # above 0, silver and prediction tables of a catalog are bucketed on the key
 

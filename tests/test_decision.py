@@ -2,7 +2,7 @@ import pytest
 
 from propense.operators import decision, silver
 
-PRODUCTS = ["cc", "cl", "mf"]
+PRODUCTS = ["a", "b", "c"]
 
 
 def scores(spark, *rows):
@@ -14,11 +14,11 @@ def test_known_customer(spark):
     df = scores(spark, (545, 0.7717968, 5.3578362, 0.743412, 10.341004, 0.35874963, 2.6644068))
     combined = decision.expected_revenue(df, PRODUCTS)
     row = combined.first()
-    assert row["cc_expected_revenue"] == pytest.approx(4.135161, abs=2e-6)
-    assert row["cl_expected_revenue"] == pytest.approx(7.687627, abs=2e-6)
-    assert row["mf_expected_revenue"] == 0.0
+    assert row["a_expected_revenue"] == pytest.approx(4.135161, abs=2e-6)
+    assert row["b_expected_revenue"] == pytest.approx(7.687627, abs=2e-6)
+    assert row["c_expected_revenue"] == 0.0
     best = decision.best_product(combined, PRODUCTS).first()
-    assert best["best_product_type"] == "CL"
+    assert best["best_product_type"] == "B"
     assert combined.columns == ["client"] + [
         f"{p}_{c}" for p in PRODUCTS for c in ("predicted_probability", "predicted_revenue", "expected_revenue")
     ]
@@ -33,13 +33,13 @@ def test_threshold_is_inclusive_also_for_floats(spark):
         for p in PRODUCTS
     }
     combined = decision.expected_revenue(decision.combine_scores(tables, "client"), PRODUCTS, 0.75)
-    assert combined.first()["cc_expected_revenue"] == 1.5
+    assert combined.first()["a_expected_revenue"] == 1.5
 
 
 def test_ties_go_to_the_earlier_product(spark):
     df = scores(spark, (1, 0.1, 9.0, 0.1, 9.0, 0.1, 9.0), (2, 0.1, 1.0, 0.8, 5.0, 0.8, 5.0))
     outcome = decision.best_product(decision.expected_revenue(df, PRODUCTS), PRODUCTS)
-    assert {r["client"]: r["best_product_type"] for r in outcome.collect()} == {1: "CC", 2: "CL"}
+    assert {r["client"]: r["best_product_type"] for r in outcome.collect()} == {1: "A", 2: "B"}
     assert decision.top_offers(outcome, "client", 10).count() == 1
 
 
@@ -55,10 +55,10 @@ def test_only_customers_scored_by_all_remain(spark):
 
 
 def test_product_mix(spark):
-    rows = [(i, 1.0, "CC") for i in range(573)] + [(i, 1.0, "CL") for i in range(52)] + [(i, 1.0, "MF") for i in range(11)]
+    rows = [(i, 1.0, "A") for i in range(573)] + [(i, 1.0, "B") for i in range(52)] + [(i, 1.0, "C") for i in range(11)]
     df = spark.createDataFrame(rows, "client long, max_expected_revenue double, best_product_type string")
     mix = {r["best_product_type"]: r["percentage"] for r in decision.product_mix(df).collect()}
-    assert mix == {"CC": 90.09, "CL": 8.18, "MF": 1.73}
+    assert mix == {"A": 90.09, "B": 8.18, "C": 1.73}
 
 
 def test_sweep_equals_single_thresholds(spark, roles):
@@ -72,7 +72,7 @@ def test_sweep_equals_single_thresholds(spark, roles):
 
 
 def test_top_k_with_equal_values_is_settled_by_key(spark):
-    df = spark.range(1000).selectExpr("id AS client", "5.0D AS max_expected_revenue", "'CC' AS best_product_type")
+    df = spark.range(1000).selectExpr("id AS client", "5.0D AS max_expected_revenue", "'A' AS best_product_type")
     assert [r["client"] for r in decision.top_offers(df, "client", 4).collect()] == [0, 1, 2, 3]
 
 

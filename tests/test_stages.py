@@ -12,15 +12,15 @@ SPACE = {"max_depth": [2, 3], "n_estimators": [2], "learning_rate": [0.3]}
 
 def test_programme(spark, roles, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake"))
-    with pytest.raises(ValueError, match="bronze.sales_revenues"):
+    with pytest.raises(ValueError, match="bronze.sales"):
         stages.build_train(store)
     names = stages.Names()
     for role in ("sales", "flows", "balances", "profile"):
         store.replace(getattr(roles, role), "bronze", getattr(names, role))
 
     specs = [
-        FieldSpec("client", "soc_dem", "client", (Rule("unique"), Rule("non_null"))),
-        FieldSpec("gone", "soc_dem", "gone", (Rule("non_null"),)),
+        FieldSpec("client", "profile", "client", (Rule("unique"), Rule("non_null"))),
+        FieldSpec("gone", "profile", "gone", (Rule("non_null"),)),
     ]
     summary, failures = stages.check(store, specs)
     assert [r["check_type"] for r in summary.collect()] == ["non_null", "unique"] and list(failures) == ["gone"]

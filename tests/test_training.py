@@ -87,6 +87,15 @@ def test_final_model(rows, final):
     assert history.first()["param_max_depth"] == 3.0
 
 
+def test_holdout_keeps_the_classes_of_training(rows):
+    """A holdout with one class only, also of a text target, is labelled as the training rows are."""
+    text = rows.withColumn("sale", F.when(F.col("sale") == 1, "yes").otherwise("no"))
+    for value, column in (("yes", "holdout_positive_class_count"), ("no", "holdout_negative_class_count")):
+        only = text.where(F.col("sale") == value)
+        row = training.fit_final(text, SALE, SETTINGS, holdout=only).metrics.first()
+        assert row[column] == only.count() and row["holdout_auc_score"] is None
+
+
 def test_scores(rows, final):
     scored = training.score_propensity(final.model, rows.select("client", "a", "b", "c"), "client")
     stats = scored.agg(F.count("*"), F.min("predicted_probability"), F.max("predicted_probability")).first()
