@@ -10,6 +10,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propense.functions.casting import NUMBER_PATTERN
 from propense.functions.columns import TEXTUAL, ident, require_columns, resolve
 from propense.functions.order import rank_by_hash
 
@@ -64,7 +65,9 @@ def binary_target(df: DataFrame, target: str, label: str = "label") -> DataFrame
 def numeric_target(df: DataFrame, target: str) -> DataFrame:
     """Text target read as a number; rows where that fails are dropped."""
     if _is_text(df, target):
-        df = df.withColumn(target, F.trim(ident(target)).try_cast("double"))
+        # Spark alone would read '1d' as 1.
+        reads = F.when(ident(target).rlike(NUMBER_PATTERN), F.trim(ident(target)))
+        df = df.withColumn(target, reads.try_cast("double"))
     return df.where(ident(target).isNotNull() & ~F.isnan(ident(target).cast("double")))
 
 
@@ -126,6 +129,20 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _made_name(feature: str) -> str:
+    """Column name for a feature; dots and backticks would not be read as part of a name."""
+    for mark, code in (("%", "%25"), (".", "%2E"), ("`", "%60")):
+        feature = feature.replace(mark, code)
+    return PREFIX + feature
+
+
+def _feature_name(made: str) -> str:
+    feature = made.removeprefix(PREFIX)
+    for mark, code in (("`", "%60"), (".", "%2E"), ("%", "%25")):
+        feature = feature.replace(code, mark)
+    return feature
+
+
 class FeaturePrep(Estimator):
     """Fill, standardise and encode the predictors into one vector.
 
@@ -144,11 +161,11 @@ class FeaturePrep(Estimator):
         if numbers:
             for c, (mean, std) in moments(filled, numbers, self.std).items():
                 value = f"coalesce(nanvl(CAST({_quote(c)} AS DOUBLE), 0D), 0D)"
-                made[PREFIX + c] = f"({value} - CAST('{mean!r}' AS DOUBLE)) / CAST('{std!r}' AS DOUBLE)"
+                made[_made_name(c)] = f"({value} - CAST('{mean!r}' AS DOUBLE)) / CAST('{std!r}' AS DOUBLE)"
         for c in self.categorical:
             value = f"coalesce(CAST({_quote(c)} AS STRING), '{MISSING_TEXT}')"
             for v in categories(filled, c)[1:]:
-                made[f"{PREFIX}{c}_{v}"] = f"CASE WHEN {value} = {_text(v)} THEN 1D ELSE 0D END"
+                made[_made_name(f"{c}_{v}")] = f"CASE WHEN {value} = {_text(v)} THEN 1D ELSE 0D END"
         columns = ", ".join(f"{sql} AS {_quote(name)}" for name, sql in made.items())
         return PipelineModel(
             [
@@ -162,7 +179,7 @@ def feature_names(model: PipelineModel) -> list[str]:
     """Names of the vector's entries, in order."""
     for stage in model.stages:
         if isinstance(stage, VectorAssembler):
-            return [c.removeprefix(PREFIX) for c in stage.getInputCols()]
+            return [_feature_name(c) for c in stage.getInputCols()]
         if isinstance(stage, PipelineModel):
             return feature_names(stage)
     raise ValueError("the model has no assembled features")

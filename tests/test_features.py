@@ -32,7 +32,7 @@ def test_binary_target(spark, values, kind, kept):
 
 
 def test_numeric_target(spark):
-    df = spark.createDataFrame([("1.5",), (" 2 ",), ("n/a",), (None,), ("NaN",)], "y string")
+    df = spark.createDataFrame([("1.5",), (" 2 ",), ("n/a",), (None,), ("NaN",), ("1d",)], "y string")
     assert [r["y"] for r in features.numeric_target(df, "y").collect()] == [1.5, 2.0]
 
 
@@ -72,6 +72,17 @@ def test_prepared_features(spark):
     assert rows[1] == pytest.approx([(0 - mean) / std, 0.0, 0.0, 0.0])
 
 
+def test_category_names_may_hold_any_mark(spark):
+    marks = ["a", "v1.0", "ba`ck", "100%2E", "q'uote", "b\\s"]
+    train = spark.createDataFrame([(m,) for m in marks], "c string")
+    model = features.FeaturePrep(["c"], ["c"]).fit(train)
+    names = features.feature_names(model)
+    assert names == [f"c_{m}" for m in sorted(marks)[1:]]
+    for row in model.transform(train).collect():
+        want = [1.0 if f"c_{row['c']}" == n else 0.0 for n in names]
+        assert row["features"].toArray().tolist() == want
+
+
 def test_too_many_categories_are_refused(spark, monkeypatch):
     monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
     with pytest.raises(ValueError, match="categories"):

@@ -19,6 +19,14 @@ def test_scan_and_projection(spark):
         tables.select_available(df, "client", ["gone"])
 
 
+def test_filters_and_columns_reach_the_files(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = tables.select_available(tables.scan(lines, non_zero="l_tax"), "l_orderkey", ["l_discount"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualTo(l_tax,0.0))" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_discount:double,l_tax:double>" in plan
+
+
 def test_repeated_names():
     assert tables.rename_repeats(["a", "b", "A", "a", "a_1"]) == ["a", "b", "A_2", "a_3", "a_1"]
 
