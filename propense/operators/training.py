@@ -8,6 +8,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -191,39 +192,66 @@ def _evaluator(spec: ModelSpec):
     return RegressionEvaluator(labelCol="label", metricName="mae")
 
 
+@contextmanager
+def _prepared(spec: ModelSpec, train: DataFrame, *others: DataFrame):
+    """Preparation fitted on ``train``, and the prepared frames, kept while they are worked on."""
+    prepared = spec.features.fit(train)
+    columns = ["features", "label"] + (["weight"] if spec.kind == "propensity" else [])
+    frames = [
+        prepared.transform(df).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        for df in (train, *others)
+    ]
+    try:
+        yield prepared, frames
+    finally:
+        for frame in frames:
+            frame.unpersist()
+
+
+@dataclass
+class Trial:
+    """One setting of a run, with its score on each fold so far."""
+
+    run: int
+    settings: Settings
+    scores: list[float] = field(default_factory=list)
+    seconds: float = 0.0
+    error: str | None = None
+
+    @property
+    def mean(self) -> float:
+        return sum(self.scores) / len(self.scores)
+
+    @property
+    def spread(self) -> float:
+        return (sum((s - self.mean) ** 2 for s in self.scores) / len(self.scores)) ** 0.5
+
+
 def cross_validate(
-    folded: DataFrame, spec: ModelSpec, settings: Sequence[Settings], k: int, rows: int, parallelism: int
-) -> list[list[float]]:
-    """Score of every setting on every fold.
+    folded: DataFrame, spec: ModelSpec, trials: Sequence[Trial], k: int, rows: int, parallelism: int
+) -> None:
+    """Score every trial on every fold.
 
-    Preparation is fitted on the training part of a fold, once for all settings, and the prepared fold
-    is kept while they are fitted side by side; each fit is itself a distributed job.
+    A fold is prepared once, on its training part, for the trials of all runs, and only one fold is
+    kept at a time. Several trials are fitted side by side, and each fit is a distributed job.
     """
     evaluator = _evaluator(spec)
-    columns = ["features", "label"] + (["weight"] if spec.kind == "propensity" else [])
-    scores: list[list[float]] = [[] for _ in settings]
-    spark = folded.sparkSession
     for i in range(k):
         train, test = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
-        prepared = spec.features.fit(train)
-        train, test = (
-            prepared.transform(part).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-            for part in (train, test)
-        )
+        with _prepared(spec, train, test) as (_, (train, test)):
 
-        def score(setting: Settings, train=train, test=test) -> float:
-            model = estimator(spec, setting, rows).fit(train)
-            return evaluator.evaluate(model.transform(test))
+            def score(trial: Trial, train=train, test=test) -> None:
+                start = time.monotonic()
+                try:
+                    model = estimator(spec, trial.settings, rows).fit(train)
+                    trial.scores.append(evaluator.evaluate(model.transform(test)))
+                except Exception as err:  # noqa: BLE001 - reported with the run it belongs to
+                    trial.error = str(err).split("\n")[0]
+                trial.seconds += time.monotonic() - start
 
-        try:
-            with ThreadPool(min(parallelism, len(settings))) as pool:
-                fold_scores = pool.map(inheritable_thread_target(spark)(score), settings)
-        finally:
-            train.unpersist()
-            test.unpersist()
-        for j, value in enumerate(fold_scores):
-            scores[j].append(value)
-    return scores
+            with ThreadPool(parallelism) as pool:
+                going = [t for t in trials if t.error is None]
+                pool.map(inheritable_thread_target(folded.sparkSession)(score), going, chunksize=1)
 
 
 @dataclass
@@ -257,36 +285,41 @@ def search(
     importance = spec.kind == "revenue" if importance is None else importance
     data = training_set(df, spec)
     strata = "label" if spec.kind == "propensity" else None
-    best = max if spec.kind == "propensity" else min
-    tried, shares, errors = [], [], {}
-    run = 0
+    trials: list[Trial] = []
+    folds_of: dict[int, int] = {}
     for k in k_folds:
+        runs = range(len(folds_of), len(folds_of) + runs_per_k)
+        folds_of.update(dict.fromkeys(runs, k))
+        mine = [Trial(run, s) for run in runs for s in draw_settings(space, n_iter, spec.seed + run)]
         folded = prep.with_folds(data.rows, spec.key, k, spec.seed, strata, exact=True)
         folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-        for _ in range(runs_per_k):
-            settings = draw_settings(space, n_iter, spec.seed + run)
-            start = time.monotonic()
-            try:
-                scores = cross_validate(folded, spec, settings, k, data.count, parallelism)
-                means = [sum(s) / k for s in scores]
-                if importance:
-                    chosen = settings[means.index(best(means))]
-                    shares += _importances(run, fit_pipeline(data, spec, chosen))
-                seconds = time.monotonic() - start
-                for setting, mean, folds in zip(settings, means, scores):
-                    spread = (sum((s - mean) ** 2 for s in folds) / k) ** 0.5
-                    tried.append((run, k, setting, data.class_weight, seconds, mean, spread))
-            except Exception as err:  # noqa: BLE001 - a failure belongs to its own run only
-                errors[run] = str(err).split("\n")[0]
-            run += 1
+        cross_validate(folded, spec, mine, k, data.count, parallelism)
         folded.unpersist()
-    if not tried:
+        trials += mine
+    errors = {t.run: t.error for t in trials if t.error is not None}
+    trials = [t for t in trials if t.run not in errors]
+    if not trials:
         raise RuntimeError(f"no run of the search succeeded: {errors}")
-    settings_df = _settings_table(df.sparkSession, spec, list(space), tried)
+    settings_df = _settings_table(df.sparkSession, spec, list(space), trials, folds_of, data.class_weight)
     ranked = settings_df.withColumn("rank", F.row_number().over(_best_first(spec, "iteration_id")))
-    runs = ranked.where("rank = 1").drop("rank").orderBy(*_order(spec))
-    shares_df = rank_importance(importance_table(df.sparkSession, shares)) if shares else None
-    return SearchResult(runs, ranked, shares_df, errors)
+    runs_df = ranked.where("rank = 1").drop("rank").orderBy(*_order(spec))
+    shares = _best_importances(data, spec, trials) if importance else None
+    return SearchResult(runs_df, ranked, shares, errors)
+
+
+def _best_importances(data: TrainingSet, spec: ModelSpec, trials: Sequence[Trial]) -> DataFrame:
+    """Importances of the best setting of each run, fitted on all rows."""
+    sign = -1.0 if spec.kind == "propensity" else 1.0
+    best: dict[int, Trial] = {}
+    for t in trials:
+        if t.run not in best or sign * t.mean < sign * best[t.run].mean:
+            best[t.run] = t
+    rows = []
+    with _prepared(spec, data.rows) as (prepared, (inputs,)):
+        for run, trial in best.items():
+            trees = estimator(spec, trial.settings, data.count).fit(inputs)
+            rows += _importances(run, PipelineModel([*prepared.stages, trees]))
+    return rank_importance(importance_table(data.rows.sparkSession, rows))
 
 
 def _order(spec: ModelSpec) -> list:
@@ -298,17 +331,27 @@ def _best_first(spec: ModelSpec, *by: str):
     return Window.partitionBy(*by).orderBy(*_order(spec))
 
 
-def _settings_table(spark: SparkSession, spec: ModelSpec, names: Sequence[str], tried) -> DataFrame:
+def _settings_table(
+    spark: SparkSession,
+    spec: ModelSpec,
+    names: Sequence[str],
+    trials: Sequence[Trial],
+    folds_of: Mapping[int, int],
+    class_weight: float | None,
+) -> DataFrame:
     kinds = {n: "int" if n in INTEGER_SETTINGS else "double" for n in names}
     schema = "iteration_id int, setting int, k_folds int, " + ", ".join(f"{n} {t}" for n, t in kinds.items())
     schema += ", scale_pos_weight double" if spec.kind == "propensity" else ", neg_mae_score double"
     schema += f", runtime_seconds double, {SCORE[spec.kind]} double, cv_std double"
+    seconds: dict[int, float] = {}
+    for t in trials:
+        seconds[t.run] = seconds.get(t.run, 0.0) + t.seconds
     rows, numbers = [], {}
-    for run, k, setting, weight, seconds, score, spread in tried:
-        number = numbers[run] = numbers.get(run, -1) + 1
-        values = [int(setting[n]) if kinds[n] == "int" else float(setting[n]) for n in names]
-        extra = weight if spec.kind == "propensity" else -score
-        rows.append((run, number, k, *values, extra, seconds, score, spread))
+    for t in trials:
+        number = numbers[t.run] = numbers.get(t.run, -1) + 1
+        values = [int(t.settings[n]) if kinds[n] == "int" else float(t.settings[n]) for n in names]
+        extra = class_weight if spec.kind == "propensity" else -t.mean
+        rows.append((t.run, number, folds_of[t.run], *values, extra, seconds[t.run], t.mean, t.spread))
     return spark.createDataFrame(rows, schema)
 
 
@@ -334,13 +377,8 @@ def best_parameters(runs: DataFrame, spec: ModelSpec) -> Settings:
 
 def fit_pipeline(data: TrainingSet, spec: ModelSpec, settings: Settings) -> PipelineModel:
     """Preparation and trees, fitted on all rows, as one flat pipeline."""
-    prepared = spec.features.fit(data.rows)
-    columns = ["features", "label"] + (["weight"] if spec.kind == "propensity" else [])
-    inputs = prepared.transform(data.rows).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _prepared(spec, data.rows) as (prepared, (inputs,)):
         trees = estimator(spec, settings, data.count).fit(inputs)
-    finally:
-        inputs.unpersist()
     return PipelineModel([*prepared.stages, trees])
 
 

@@ -72,6 +72,11 @@ def test_search_and_lookup(rows):
 
 
 def test_failing_run_is_reported(rows):
+    mixed = {"max_depth": [99, 2], "n_estimators": [2]}
+    result = training.search(rows, SALE, space=mixed, k_folds=(2,), runs_per_k=4, n_iter=1)
+    depths = [training.draw_settings(mixed, 1, SALE.seed + run)[0]["max_depth"] for run in range(4)]
+    assert set(depths) == {99, 2} and set(result.errors) == {r for r in range(4) if depths[r] == 99}
+    assert result.runs.count() == depths.count(2)
     space = {"max_depth": [99], "n_estimators": [2]}
     with pytest.raises(RuntimeError, match="no run"):
         training.search(rows, SALE, space=space, k_folds=(2,), runs_per_k=1, n_iter=1)
