@@ -6,6 +6,8 @@ binary Golay code on 23 bits (covering radius 3) times all words on the other 9.
 its nearest anchor. A partner within h bits lies within radius + h of that anchor, so every fingerprint
 is replicated to those anchors within radius + h that are home to some word at most h bits from it;
 anchors beyond that cannot hold a partner. Each anchor compares its homes with all its fingerprints.
+With h = 1 the halves of a pair are equal or of different parity, so it is enough that the odd one is
+replicated and the even one stays at home.
 
 Equal fingerprints are one class from the start, so thousands of copies are one row in the comparison.
 """
@@ -113,11 +115,14 @@ def _golay(reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return single, near, padded
 
 
-def anchors(prints: np.ndarray, threshold: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, anchor, home) of all replicas of the fingerprints (unsigned) for differences up to ``threshold``."""
+def anchors(prints: np.ndarray, threshold: int = 2) -> tuple[np.ndarray, ...]:
+    """(row, anchor, home, visited) of all replicas of the fingerprints (unsigned) for ``threshold`` bits.
+
+    ``visited`` marks homes that replicas of other fingerprints may be compared with.
+    """
     reach = threshold // 2
     single, near, errors = _golay(reach)
-    rows, names, homes = [], [], []
+    rows, names, homes, visited = [], [], [], []
     tail_flips = [
         sum(1 << b for b in bits) for w in range(reach + 1) for bits in combinations(range(9), w)
     ]
@@ -128,18 +133,22 @@ def anchors(prints: np.ndarray, threshold: int = 2) -> tuple[np.ndarray, np.ndar
         for bit in range(GOLAY_BITS):
             syndrome ^= ((head >> bit) & 1) * single[bit]
         nearest = head ^ near[syndrome]
+        # a replica away from home has a partner of the other parity (h = 1), see above
+        away = (np.bitwise_count(word) & 1).astype(bool) | (reach > 1)
         for column in range(errors.shape[1]):
             error = errors[syndrome, column]
             for flip in tail_flips:
                 anchor = head ^ error
                 # a flip in the other bits leaves fewer for the head; with one flip in all the head's
                 # anchor is then the nearest one
-                ok = (error >= 0) & ((flip == 0) | (anchor == nearest) | (reach > 1))
+                home = (anchor == nearest) & (flip == 0)
+                ok = (error >= 0) & ((flip == 0) | (anchor == nearest) | (reach > 1)) & (home | away)
                 at = np.flatnonzero(ok)
                 rows.append(at)
                 names.append((half << 32) | ((tail[at] ^ flip) << GOLAY_BITS) | anchor[at])
-                homes.append((anchor[at] == nearest[at]) & (flip == 0))
-    return np.concatenate(rows), np.concatenate(names), np.concatenate(homes)
+                homes.append(home[at])
+                visited.append(home[at] & ~away[at] | (reach > 1))
+    return tuple(map(np.concatenate, (rows, names, homes, visited)))
 
 
 def _compare(frame: pd.DataFrame, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,22 +192,22 @@ def links(prints: DataFrame, threshold: int = 2, block_rows: int = BLOCK_ROWS) -
             values = batch["fp"].to_numpy()
             for k in range(0, len(values), 10_000):
                 part = values[k : k + 10_000]
-                rows, names, homes = anchors(part.view(np.uint64), threshold)
-                yield pd.DataFrame({"bucket": names, "fp": part[rows], "home": homes})
+                rows, names, homes, visited = anchors(part.view(np.uint64), threshold)
+                yield pd.DataFrame({"bucket": names, "fp": part[rows], "home": homes, "visited": visited})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(batches, ["bucket", "block_i", "block_j"]):
             a, b = _compare(frame, threshold)
             yield pd.DataFrame({"a": a, "b": b})
 
-    replicas = prints.select("fp").mapInPandas(replicate, "bucket long, fp long, home boolean")
+    replicas = prints.select("fp").mapInPandas(replicate, "bucket long, fp long, home boolean, visited boolean")
     sizes = (
         replicas.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.max("home").alias("any_home"))
-        .where("size > 1 and any_home")
+        .agg(F.count("*").alias("size"), F.count_if("home").alias("homes"), F.max("visited").alias("visited"))
+        .where("homes > 1 or size > 1 and visited")
         .select("bucket", "size")
     )
-    dealt = in_blocks(replicas.join(sizes, "bucket"), "bucket", "size", F.col("fp"), block_rows)
+    dealt = in_blocks(replicas.drop("visited").join(sizes, "bucket"), "bucket", "size", F.col("fp"), block_rows)
     return dealt.mapInPandas(compare, "a long, b long")
 
 
