@@ -136,7 +136,8 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", per_
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
     )
     chosen = ranked.where(F.col("rank") <= per_class).select("id", "lang").distinct()
-    sample = rows.join(chosen, ["id", "lang"], "left_semi").select("text", "lang")
+    # no more rows than per_class for each language: small enough to send, so that no text moves
+    sample = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
     languages: dict[str, list[str]] = {}
     for r in chosen.select("lang").distinct().collect():
         languages.setdefault(family(r["lang"]), []).append(r["lang"])

@@ -7,15 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propense.llm import decontaminate, language, simhash
+from propense.llm import decontaminate, language, mixing, pii, secrets, simhash
 from propense.llm.common import table
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document that leaks a benchmark item, and the item."""
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture as a reading order: a row per document and pass."""
+    target = mixing.Target(entropy_share=mixing.ENTROPY_SHARE)
+    return mixing.mix(table(spark, sf_dir, "documents"), target).drop("text_hash")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
@@ -28,7 +42,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
