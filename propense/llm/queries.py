@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propense.llm import decontaminate, language, mixing, pii, secrets, simhash
+from propense.llm import decontaminate, language, mixing, pii, pstable, secrets, simhash
 from propense.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture as a reading order: a row per document and pass."""
     target = mixing.Target(entropy_share=mixing.ENTROPY_SHARE)
@@ -44,6 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
