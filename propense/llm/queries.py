@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propense.llm import decontaminate, language, mixing, pii, pstable, secrets, simhash, substrings
+from propense.llm import chat, decontaminate, language, mixing, pii, pstable, secrets, simhash, substrings, urls
 from propense.llm.common import table
 
 
@@ -24,6 +24,16 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that quotes the marks of a template, read back from what was formatted."""
+    odd = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.read_back(chat.format_conversations(turns))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture as a reading order: a row per document and pass."""
     target = mixing.Target(entropy_share=mixing.ENTROPY_SHARE)
@@ -40,6 +50,20 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+#: (verdict, host and path)
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op8_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -53,9 +77,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
+    "op8_url_verdicts": op8_url_verdicts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
