@@ -163,7 +163,7 @@ def _compare(frame: pd.DataFrame, threshold: int) -> tuple[np.ndarray, np.ndarra
         pairs_a, pairs_b = [], []
         for k in range(0, len(at), 256):
             some = at[k : k + 256]
-            near = np.bitwise_count(x[some, None] ^ x[None, :]) <= threshold
+            near = np.bitwise_count((x[some, None] ^ x[None, :]).view(np.uint64)) <= threshold
             if across[begin]:  # rows of one block meet in the task of that block alone
                 near &= side[some, None] != side[None, :]
             i, j = np.nonzero(near)
