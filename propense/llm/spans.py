@@ -66,7 +66,8 @@ def find(docs: DataFrame, patterns: list[Pattern], id_col: str = "doc_id", text_
     kinds = "array<struct<kind:string,k:int,step:int,whole:string,value:string,left:string>>"
     itself = F.array(F.struct(*(F.lit(None).alias(c) for c in ("kind", "k", "step", "whole", "value", "left")))).cast(kinds)
     rows = rows.select("doc_id", "_text", F.explode(F.concat(itself, *parts)).alias("m")).select(*ROW, "m.*")
-    rows = rows.repartition(*ROW)  # serves every window below and those of the callers
+    # one exchange serves all that follows here; repeated rows would be counted twice in the sums
+    rows = rows.repartition(*ROW).distinct()
     running = Window.partitionBy(*ROW, "kind").orderBy("k")
     end = F.sum("step").over(running)
     return (
