@@ -6,26 +6,36 @@ accumulated, and only the rows inside one slot are ever put in order.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from propense.functions.columns import ident
+
+LARGEST = sys.float_info.max
 SLOTS = 1 << 14
 # A piece of a column is ordered by one task only once it has no more distinct values than this.
 MAX_ORDERED = 1 << 20
 
 
 def slot_of(value: Column, lo: Column, hi: Column, slots: int = SLOTS) -> Column:
-    """Equal-width slot of ``value`` in [lo, hi]; never decreases as ``value`` grows."""
-    share = F.try_divide(value / 2.0 - lo / 2.0, hi / 2.0 - lo / 2.0)
-    share = F.nanvl(F.coalesce(share, F.lit(0.0)), F.lit(1.0))
-    return F.least(F.floor(share * slots), F.lit(slots - 1)).cast("int")
+    """Equal-width slot of ``value`` in [lo, hi]; never decreases as ``value`` grows.
+
+    Infinite values have the first and the last slot to themselves; an infinite bound counts as the
+    largest finite one.
+    """
+    finite = lambda c: F.greatest(F.least(c.cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
+    share = F.try_divide(finite(value) / 2.0 - finite(lo) / 2.0, finite(hi) / 2.0 - finite(lo) / 2.0)
+    inner = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * (slots - 2)), F.lit(slots - 3)) + 1
+    slot = F.when(value == float("-inf"), 0).when(value == float("inf"), slots - 1).otherwise(inner)
+    return slot.cast("int")
 
 
 def log_scale(value: Column) -> Column:
-    """Monotone squeeze of long tails, so that equal-width slots stay even."""
+    """Monotone squeeze of long tails, so that equal-width slots stay even; infinite values stay so."""
     return F.signum(value) * F.log1p(F.abs(value))
 
 
@@ -112,7 +122,11 @@ def _narrowed(
     spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece], log: bool
 ) -> list[_Piece]:
     value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    slot = slot_of(log_scale(value), log_scale(lo), log_scale(hi)) if log else slot_of(value, lo, hi)
+    if log:
+        least, most = (log_scale(F.greatest(F.least(c, F.lit(LARGEST)), F.lit(-LARGEST))) for c in (lo, hi))
+        slot = slot_of(log_scale(value), least, most)
+    else:
+        slot = slot_of(value, lo, hi)
     counts = (
         _inside(spark, freq, by, pieces)
         .withColumn("slot", slot)
@@ -140,6 +154,8 @@ def _narrowed(
             (hit["piece"], hit["slot"]),
             _Piece(parent.group, hit["lo"], hit["hi"], parent.base + hit["start"], [], hit["size"]),
         )
+        if (part.lo, part.hi) == (parent.lo, parent.hi):
+            part.size = 0  # numbers too close to be told apart by slots: put them in order as they are
         part.ranks.append(hit["rank"])
     return list(parts.values())
 
@@ -163,24 +179,30 @@ def rank_by_hash(df: DataFrame, key: str, seed: int, strata: str | None = None)
     ``stratum_size``.
 
     ``key`` must be unique. Hash prefixes serve as slots, and a hash fills them evenly, so each task
-    orders about 1/SLOTS of the rows, also where one stratum has most of them. The table of slot totals
-    has at most SLOTS rows per stratum.
+    orders about 1/SLOTS of the rows, also where one stratum has most of them. A NULL stratum is one of
+    its own. The table of slot totals has at most SLOTS rows per stratum; Spark chooses how to join it.
     """
-    group = [strata] if strata else []
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(key)))
+    group = [ident(strata).alias("_stratum")] if strata else []
+    names = ["_stratum"] if strata else []
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), ident(key)))
     hashed = hashed.withColumn("_slot", F.shiftright("_hash", 50).cast("int"))
     totals = hashed.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    within = Window.partitionBy(*group)
+    within = Window.partitionBy(*names)
     totals = totals.select(
-        *group,
-        "_slot",
+        *[F.col(n).alias("_of") for n in names],
+        F.col("_slot").alias("_part"),
         (F.sum("_n").over(within.orderBy("_slot")) - F.col("_n")).alias("_before"),
         F.sum("_n").over(within).alias("stratum_size"),
     )
-    place = F.row_number().over(Window.partitionBy(*group, "_slot").orderBy("_hash", key))
+    place = F.row_number().over(
+        Window.partitionBy(*[ident(c) for c in ([strata] if strata else [])], "_slot").orderBy("_hash", ident(key))
+    )
+    same = F.col("_slot") == F.col("_part")
+    if strata:
+        same &= ident(strata).eqNullSafe(F.col("_of"))
     return (
         hashed.withColumn("_place", place)
-        .join(F.broadcast(totals), [*group, "_slot"])
+        .join(totals, same)
         .withColumn("shuffled_rank", F.col("_before") + F.col("_place") - 1)
-        .select(*df.columns, "shuffled_rank", "stratum_size")
+        .select(*[ident(c) for c in df.columns], "shuffled_rank", "stratum_size")
     )

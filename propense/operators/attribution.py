@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from propense.functions.columns import ident
 from propense.operators import features as prep
 
-SAMPLE_SIZE = 1000
+# Rows explained unless the caller asks for a sample: all of them.
+SAMPLE_SIZE = None
 BACKGROUND_SIZE = 100
 # Rows explained at a time within a task.
 CHUNK = 1024
@@ -34,7 +35,9 @@ CHUNK = 1024
 # The helpers below travel to the tasks with the job, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SPLIT = re.compile(r"(If|Else) \(feature (\d+) (<=|>) ([^)]+)\)")
+_SPLIT = re.compile(r"(If|Else) \(feature (\d+) (<=|>|in|not in) ([^)]+)\)")
+# Entries of categories are 0 or 1 and are split by sets.
+_ONE_SIDE = {"{0.0}": True, "{1.0}": False}
 _LEAF = re.compile(r"Predict: (\S+)")
 
 
@@ -58,7 +61,11 @@ def leaves_of(ensemble) -> list[Leaf]:
             split, leaf = _SPLIT.search(line), _LEAF.search(line)
             if split:
                 _, j, side, at = split.groups()
-                bound = (-np.inf, float(at)) if side == "<=" else (float(at), np.inf)
+                if at in _ONE_SIDE:
+                    low, at = _ONE_SIDE[at] == (side == "in"), 0.5
+                else:
+                    low = side == "<="
+                bound = (-np.inf, float(at)) if low else (float(at), np.inf)
                 path[depth:] = [(int(j), *bound)]
             elif leaf:
                 out.append(_leaf(float(leaf.group(1)) * weight, path[:depth]))

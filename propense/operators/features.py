@@ -6,21 +6,28 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propense.functions.casting import NUMBER_PATTERN
 from propense.functions.columns import TEXTUAL, ident, require_columns, resolve
 from propense.functions.order import rank_by_hash
+from propense.session import cut_lineage
 
 # What a missing predictor becomes.
 MISSING_TEXT = "Unknown"
 MISSING_NUMBER = 0
 # Columns made for the model carry this prefix, in front of the feature's name.
 PREFIX = "z__"
-# A category column wider than this would make every feature vector that wide.
-MAX_CATEGORIES = 1000
+# Marks of the columns a category column goes through; no made name ends like this, as '%' is encoded.
+TEXT_MARK = "%text"
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
@@ -103,12 +110,9 @@ def standardize(df: DataFrame, columns: Sequence[str], std: str = "population")
 
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Distinct values in sort order; refuses a column too wide to encode rather than cutting it."""
+    """Distinct values in sort order: the names of the columns to make."""
     values = df.where(ident(column).isNotNull()).select(ident(column).cast("string").alias("v")).distinct()
-    found = [r["v"] for r in values.limit(MAX_CATEGORIES + 1).collect()]
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"'{column}' has more than {MAX_CATEGORIES} categories")
-    return sorted(found)
+    return sorted(r["v"] for r in values.collect())
 
 
 def one_hot(df: DataFrame, column: str, known: Sequence[str] | None = None) -> DataFrame:
@@ -125,10 +129,6 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _made_name(feature: str) -> str:
     """Column name for a feature; dots and backticks would not be read as part of a name."""
     for mark, code in (("%", "%25"), (".", "%2E"), ("`", "%60")):
@@ -146,8 +146,9 @@ def _feature_name(made: str) -> str:
 class FeaturePrep(Estimator):
     """Fill, standardise and encode the predictors into one vector.
 
-    Being an estimator, it is fitted inside each fold of a search. What it fits becomes SQL text, so
-    the fitted stages run in compiled code and are saved with the model like any built-in stage.
+    Being an estimator, it is fitted inside each fold of a search. Scaling becomes SQL text, categories
+    become entries of a sparse vector, however many there are: those in sort order but for the first
+    one, which is all zeros, as are values not seen in the fit. Fitted stages are saved with the model.
     """
 
     def __init__(self, predictors: Sequence[str], categorical: Sequence[str] = (), std: str = "population"):
@@ -162,26 +163,42 @@ class FeaturePrep(Estimator):
             for c, (mean, std) in moments(filled, numbers, self.std).items():
                 value = f"coalesce(nanvl(CAST({_quote(c)} AS DOUBLE), 0D), 0D)"
                 made[_made_name(c)] = f"({value} - CAST('{mean!r}' AS DOUBLE)) / CAST('{std!r}' AS DOUBLE)"
-        for c in self.categorical:
-            value = f"coalesce(CAST({_quote(c)} AS STRING), '{MISSING_TEXT}')"
-            for v in categories(filled, c)[1:]:
-                made[_made_name(f"{c}_{v}")] = f"CASE WHEN {value} = {_text(v)} THEN 1D ELSE 0D END"
-        columns = ", ".join(f"{sql} AS {_quote(name)}" for name, sql in made.items())
-        return PipelineModel(
-            [
-                SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
-                VectorAssembler(inputCols=list(made), outputCol="features"),
-            ]
-        )
+        texts = {
+            _made_name(c) + TEXT_MARK: f"coalesce(CAST({_quote(c)} AS STRING), '{MISSING_TEXT}')"
+            for c in self.categorical
+        }
+        columns = ", ".join(f"{sql} AS {_quote(name)}" for name, sql in {**made, **texts}.items())
+        stages = [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")]
+        encoded = []
+        for c, text in zip(self.categorical, texts):
+            index, place, entry = (_made_name(c) + mark for mark in ("%index", "%place", "%entry"))
+            prepared = PipelineModel(stages).transform(filled)
+            indexer = StringIndexer(inputCol=text, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep")
+            fitted = indexer.fit(prepared)
+            n = max(len(fitted.labels), 1)
+            # The first category and unseen values take the place the encoder leaves out.
+            moved = f"CASE WHEN {_quote(index)} BETWEEN 1 AND {n - 1} THEN {_quote(index)} - 1 ELSE {n - 1}D END"
+            stages += [fitted, SQLTransformer(statement=f"SELECT *, {moved} AS {_quote(place)} FROM __THIS__")]
+            if n > 1:
+                size = dataset.sparkSession.range(n).select(F.col("id").cast("double").alias(place))
+                stages.append(OneHotEncoder(inputCol=place, outputCol=entry, dropLast=True).fit(size))
+                encoded.append(entry)
+        return PipelineModel(stages + [VectorAssembler(inputCols=[*made, *encoded], outputCol="features")])
 
 
 def feature_names(model: PipelineModel) -> list[str]:
-    """Names of the vector's entries, in order."""
+    """Names of the vector's entries, in order: numbers, then the categories of each text."""
+    numbers: list[str] = []
+    entries: list[str] = []
     for stage in model.stages:
-        if isinstance(stage, VectorAssembler):
-            return [_feature_name(c) for c in stage.getInputCols()]
         if isinstance(stage, PipelineModel):
             return feature_names(stage)
+        if isinstance(stage, StringIndexerModel):
+            column = _feature_name(stage.getInputCol().removesuffix(TEXT_MARK))
+            entries += [f"{column}_{v}" for v in stage.labels[1:]]
+        if isinstance(stage, VectorAssembler):
+            numbers = [_feature_name(c) for c in stage.getInputCols() if not c.endswith("%entry")]
+            return numbers + entries
     raise ValueError("the model has no assembled features")
 
 
@@ -212,14 +229,22 @@ class TargetScaler:
         return cls(row["mean"], row["std"])
 
 
-def split(
+def with_side(
     df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42, strata: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows, each stratum split in the same proportion, exactly."""
+) -> DataFrame:
+    """Adds ``side``, train or test; each stratum is split in the same proportion, exactly."""
     ranked = rank_by_hash(df, key, seed, strata)
     is_test = F.col("shuffled_rank") < F.ceil(F.col("stratum_size") * F.lit(test_share))
-    made = ("shuffled_rank", "stratum_size")
-    return ranked.where(~is_test).drop(*made), ranked.where(is_test).drop(*made)
+    side = F.when(is_test, "test").otherwise("train")
+    return ranked.withColumn("side", side).drop("shuffled_rank", "stratum_size")
+
+
+def split(
+    df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42, strata: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows; the ranking is done once and stored for both."""
+    sides = cut_lineage(with_side(df, key, test_share, seed, strata))
+    return tuple(sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
 
 
 def with_folds(
@@ -238,5 +263,9 @@ def with_folds(
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """At most n rows without replacement: the first n of a seeded shuffle, by a distributed top-n."""
-    return df.orderBy(F.xxhash64(F.lit(seed), ident(key)), ident(key)).limit(n)
+    """At most n rows without replacement: the first n of a seeded shuffle, by a distributed top-n.
+
+    The shuffle orders by the MD5 sum of "seed:key", which any other engine can repeat.
+    """
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), ident(key).cast("string")))
+    return df.orderBy(order, ident(key)).limit(n)

@@ -31,9 +31,6 @@ ENDS = ("", "_non_zero")
 QUARTILES = {"25_percentile_value": 0.25, "median_value": 0.5, "75_percentile_value": 0.75}
 # Integer columns with at most this many values count as categories.
 MAX_INTEGER_CATEGORIES = 20
-# The summary row carries the distribution as a map only up to this many categories; the long table
-# from ``category_distribution`` always has all of them.
-MAX_MAP_CATEGORIES = 1000
 
 
 def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
@@ -195,7 +192,7 @@ def _add_percentiles(freq: DataFrame, stats: dict[int, dict]) -> None:
     found = values_at_ranks(freq, "field_id", wanted, bounds)
     for (i, name), (low, high, fraction) in places.items():
         a, b = found[i, low], found[i, high]
-        stats[i][name] = a + fraction * (b - a)
+        stats[i][name] = a if a == b else a + fraction * (b - a)
 
 
 def category_columns(df: DataFrame, max_integer_values: int = MAX_INTEGER_CATEGORIES) -> list[str]:
@@ -313,10 +310,14 @@ def categorical_profile(
 
 
 def _distribution_maps(freq: DataFrame, stats: DataFrame) -> DataFrame:
-    """value -> (count, percentage) for fields of few values; never more than the bound per field."""
-    small = stats.where(F.col("unique_values_count") <= MAX_MAP_CATEGORIES)
+    """value -> (count, percentage) of every field, whatever its width.
+
+    A map is one cell: for columns too wide for that, take the long table of ``category_distribution``
+    and call the profile without maps.
+    """
+    # One row per profiled column.
     rows = freq.where("value IS NOT NULL").join(
-        F.broadcast(small.select("field_id", "non_null_records")), "field_id"
+        F.broadcast(stats.select("field_id", "non_null_records")), "field_id"
     )
     entry = F.struct(
         F.col("value"),

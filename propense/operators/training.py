@@ -16,7 +16,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -77,6 +76,10 @@ SPACES: dict[str, dict[str, list]] = {
     },
 }
 INTEGER_SETTINGS = ("max_depth", "min_child_weight", "n_estimators")
+# Candidate splits per numeric predictor (the learner bins values; its own default would be 32).
+MAX_BINS = 256
+# Settings a history row always has a column for.
+KNOWN_SETTINGS = tuple(dict.fromkeys([*(n for s in SPACES.values() for n in s), "max_bins", "scale_pos_weight"]))
 
 
 @dataclass(frozen=True)
@@ -178,6 +181,7 @@ def estimator(spec: ModelSpec, settings: Settings, rows: int):
         minInstancesPerNode=int(settings.get("min_child_weight", 1)),
         minInfoGain=float(settings.get("gamma", 0.0)) / max(rows, 1),
         featureSubsetStrategy=str(float(settings.get("colsample_bytree", 1.0))),
+        maxBins=int(settings.get("max_bins", MAX_BINS)),
         # Cuts the lineage of node assignments in deep ensembles, in spark.checkpoint.dir.
         checkpointInterval=10,
     )
@@ -186,10 +190,12 @@ def estimator(spec: ModelSpec, settings: Settings, rows: int):
     return GBTRegressor(lossType="absolute", **shared)
 
 
-def _evaluator(spec: ModelSpec):
+def _score(scored: DataFrame, spec: ModelSpec, scale: float) -> float:
+    """Exact area under the ROC curve, or the mean absolute error on the target's own scale."""
     if spec.kind == "propensity":
-        return BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    return RegressionEvaluator(labelCol="label", metricName="mae")
+        scored = scored.select("label", _probability().alias("probability"))
+        return metrics.roc_auc(scored, "label", "probability").first()["auc_score"]
+    return scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0] * scale
 
 
 @contextmanager
@@ -228,14 +234,19 @@ class Trial:
 
 
 def cross_validate(
-    folded: DataFrame, spec: ModelSpec, trials: Sequence[Trial], k: int, rows: int, parallelism: int
+    folded: DataFrame,
+    spec: ModelSpec,
+    trials: Sequence[Trial],
+    k: int,
+    rows: int,
+    parallelism: int,
+    scale: float = 1.0,
 ) -> None:
     """Score every trial on every fold.
 
     A fold is prepared once, on its training part, for the trials of all runs, and only one fold is
     kept at a time. Several trials are fitted side by side, and each fit is a distributed job.
     """
-    evaluator = _evaluator(spec)
     for i in range(k):
         train, test = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
         with _prepared(spec, train, test) as (_, (train, test)):
@@ -244,7 +255,7 @@ def cross_validate(
                 start = time.monotonic()
                 try:
                     model = estimator(spec, trial.settings, rows).fit(train)
-                    trial.scores.append(evaluator.evaluate(model.transform(test)))
+                    trial.scores.append(_score(model.transform(test), spec, scale))
                 except Exception as err:  # noqa: BLE001 - reported with the run it belongs to
                     trial.error = str(err).split("\n")[0]
                 trial.seconds += time.monotonic() - start
@@ -293,7 +304,8 @@ def search(
         mine = [Trial(run, s) for run in runs for s in draw_settings(space, n_iter, spec.seed + run)]
         folded = prep.with_folds(data.rows, spec.key, k, spec.seed, strata, exact=True)
         folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-        cross_validate(folded, spec, mine, k, data.count, parallelism)
+        scale = data.scaler.std if data.scaler else 1.0
+        cross_validate(folded, spec, mine, k, data.count, parallelism, scale)
         folded.unpersist()
         trials += mine
     errors = {t.run: t.error for t in trials if t.error is not None}
@@ -414,7 +426,8 @@ class FinalModel:
 
     def history_row(self) -> DataFrame:
         """The row to append to the table of final models."""
-        params = [F.lit(v).cast("double").alias(f"param_{k}") for k, v in self.settings.items()]
+        names = dict.fromkeys([*KNOWN_SETTINGS, *self.settings])
+        params = [F.lit(self.settings.get(n)).cast("double").alias(f"param_{n}") for n in names]
         return self.metrics.select(
             iso_now().alias("model_timestamp"),
             F.lit(self.spec.target).alias("response_variable"),

@@ -306,6 +306,12 @@ SELECT data_field_name, v AS category_value, n AS count,
 FROM ({_frequencies(table, columns)}) WHERE v IS NOT NULL"""
 
 
+def _joined_distribution(table: str, columns) -> str:
+    return f"""
+SELECT data_field_name, string_agg(v || '=' || n, ';' ORDER BY v) AS distribution
+FROM ({_frequencies(table, columns)}) WHERE v IS NOT NULL GROUP BY data_field_name"""
+
+
 def _value_counts(table: str, column: str) -> str:
     return (
         f"SELECT {column} AS category_value, count(*) AS count, "
@@ -335,6 +341,8 @@ FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHE
         "profile_numeric_lineitem": _numeric_profile("lineitem", LINEITEM_NUMBERS),
         "profile_categorical": with_roles(_categorical_profile("train", categories), "train"),
         "profile_categorical_orders": _categorical_profile("orders", ["o_orderstatus", "o_orderpriority"]),
+        "profile_distributions": with_roles(_joined_distribution("train", categories), "train"),
+        "profile_distributions_customers": _joined_distribution("orders", ["o_custkey"]),
         "category_distribution": with_roles(_distribution("train", categories), "train"),
         "category_distribution_events": _distribution("events", ["event_type", "props"]),
         "value_counts": _value_counts("orders", "o_orderpriority"),
@@ -454,6 +462,7 @@ SELECT product, count(*) FILTER (label = 1 AND probability > 0.4) AS tp,
   tn + fp AS negative_class_count, {_r('auc_score')} AS auc_score
 FROM ({matrix}) JOIN ({auc}) USING (product)"""
         ),
+        "roc_auc_products": build(f"SELECT product, {_r('auc_score')} AS auc_score FROM ({auc})"),
         "roc_auc": build(f"SELECT {_r('auc_score')} AS auc_score FROM ({auc}) WHERE product = 'O'"),
         "regression_metrics": build(
             f"""SELECT product, samples, {_r('mae', 3)} AS mae, {_r('mse', 3)} AS mse, {_r('sqrt(mse)', 3)} AS rmse,
@@ -473,6 +482,59 @@ FROM (SELECT product, count(*) AS samples, avg(abs(revenue - predicted)) AS mae,
     }
 
 
+def models() -> dict[str, str]:
+    """The steps around the learner, over tables derived from the given ones, and facts of fits and scores."""
+    trials = """WITH trials AS (SELECT c_custkey % 12 AS iteration_id, c_custkey // 12 AS setting,
+  CAST(3 + c_custkey % 12 % 3 AS INTEGER) AS k_folds, CAST(3 + c_custkey % 5 AS INTEGER) AS max_depth,
+  CAST(1 + c_custkey % 7 AS INTEGER) AS min_child_weight, CAST(100 * (1 + c_custkey % 3) AS INTEGER) AS n_estimators,
+  floor(abs(c_acctbal) / 1000) / 10 AS auc_score FROM customer)"""
+    settings = "k_folds, max_depth, min_child_weight, n_estimators, auc_score"
+    numbers = 7  # predictors of the propensity model that are numbers
+    facts = " UNION ALL ".join(
+        f"""SELECT '{p}' AS product, count(*) FILTER (sale_{p} = 1) AS positive_class_count,
+  count(*) FILTER (sale_{p} = 0) AS negative_class_count, count(*) FILTER (sale_{p} = 1) AS positives,
+  count(*) FILTER (sale_{p} = 0) AS negatives, count(*) AS training_samples FROM train"""
+        for p in PRODUCTS
+    )
+    return {
+        "sample_rows": with_roles(
+            "SELECT client, sale_o FROM train ORDER BY md5('42:' || client), client LIMIT 1000", "train"
+        ),
+        "ranked_settings": f"""{trials}
+SELECT {settings}, CAST(place AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY k_folds ORDER BY auc_score DESC, iteration_id, setting) AS place FROM (
+    SELECT *, row_number() OVER (PARTITION BY {settings} ORDER BY iteration_id, setting) AS copy FROM trials)
+  WHERE copy = 1) WHERE place <= 7""",
+        "best_of_trials": f"""{trials}
+SELECT max_depth::BIGINT AS max_depth, min_child_weight::BIGINT AS min_child_weight, n_estimators::BIGINT AS n_estimators
+FROM trials ORDER BY auc_score DESC, iteration_id, setting LIMIT 1""",
+        "ranked_importances": """
+SELECT ascii(o_orderstatus) AS iteration_id, o_orderpriority AS feature_name, feature_importance,
+  CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY feature_importance DESC, o_orderpriority) AS INTEGER)
+    AS feature_importance_rank
+FROM (SELECT o_orderstatus, o_orderpriority, floor(count(*) / 50)::DOUBLE AS feature_importance FROM orders GROUP BY ALL)""",
+        "attribution_table": f"""
+SELECT feature_name, {_r('m', 4)} AS mean_abs_contribution,
+  CAST(row_number() OVER (ORDER BY m DESC, feature_name) AS INTEGER) AS feature_rank
+FROM (SELECT 'quantity' AS feature_name, avg(abs(l_quantity - 25)) AS m FROM lineitem
+  UNION ALL SELECT 'forward', avg(abs(l_linenumber - 3)) FROM lineitem
+  UNION ALL SELECT 'backward', avg(abs(3 - l_linenumber)) FROM lineitem)""",
+        "latest_model": """
+SELECT unnest(range(3)) AS place, unnest(['a', o_orderpriority, 'z']) AS name
+FROM (SELECT o_orderpriority FROM orders ORDER BY o_orderkey DESC LIMIT 1)""",
+        "score_facts": with_roles(
+            "SELECT count(*) AS rows, count(DISTINCT client) AS clients, CAST(0 AS BIGINT) AS wrong FROM holdout", "holdout"
+        ),
+        "attribution_facts": with_roles(
+            f"SELECT count(*) AS rows, any_value(n) AS least, any_value(n) AS most, CAST(0 AS BIGINT) AS off FROM holdout, "
+            f"(SELECT {numbers - 1} + count(DISTINCT coalesce(segment, 'Unknown')) AS n FROM train)",
+            "holdout",
+            "train",
+        ),
+        "fit_facts": with_roles(facts, "train"),
+    }
+
+
 def files() -> dict[str, str]:
     loaded = " UNION ALL ".join(
         f"SELECT '{t}_ingestion' AS job, 'bronze' AS layer, '{t}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {t}"
@@ -492,5 +554,5 @@ def files() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    groups = (decision, silver, quality, profiling, features, metrics, files)
+    groups = (decision, silver, quality, profiling, features, metrics, models, files)
     return {name: sql for group in groups for name, sql in group().items()}

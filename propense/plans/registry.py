@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident, rounded
+from propense.functions.order import rank_by_hash
 from propense.operators import (
     attribution,
     decision,
@@ -116,6 +117,14 @@ def _category_columns(r: Roles) -> DataFrame:
     return r.spark.createDataFrame([(c,) for c in found], "data_field_name string")
 
 
+def _distributions(r: Roles, df: DataFrame | None = None, columns=TRAIN_CATEGORIES) -> DataFrame:
+    """The distribution column of the categorical profile, as text in the order of the values."""
+    profile = profiling.categorical_profile(r.train if df is None else df, columns)
+    entry = lambda e: F.format_string("%s=%d", e["key"], e["value"]["count"])
+    entries = F.transform(F.array_sort(F.map_entries("category_distribution")), entry)
+    return profile.select("data_field_name", F.array_join(entries, ";").alias("distribution"))
+
+
 PROFILING = {
     "profile_numeric": lambda r: _rounded(_without_ids(profiling.numeric_profile(r.train))),
     "profile_numeric_lineitem": lambda r: _rounded(
@@ -128,6 +137,8 @@ PROFILING = {
         profiling.categorical_profile(r.table("orders"), with_map=False)
     ),
     "category_columns": _category_columns,
+    "profile_distributions": _distributions,
+    "profile_distributions_customers": lambda r: _distributions(r, r.table("orders").select("o_custkey"), ["o_custkey"]),
     "category_distribution": lambda r: profiling.category_distribution(r.train, TRAIN_CATEGORIES),
     "category_distribution_events": lambda r: profiling.category_distribution(
         r.table("events"), ["event_type", "props"]
@@ -162,14 +173,12 @@ def _quantity_text(r: Roles) -> DataFrame:
 
 def _fold_sizes(r: Roles) -> DataFrame:
     """Rows per class and fold, for 3 to 5 folds dealt out exactly."""
-    sales = r.sales.select("client", "sale_o")
-    parts = [
-        features.with_folds(sales, "client", k, strata="sale_o", exact=True)
-        .groupBy(F.lit(k).alias("k"), "sale_o", "fold")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        for k in (3, 4, 5)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    ranked = rank_by_hash(r.sales.select("client", "sale_o"), "client", 42, "sale_o")
+    # One ranking serves all k, as it does in with_folds.
+    ks = F.explode(F.array(*(F.lit(k) for k in (3, 4, 5)))).alias("k")
+    folds = ranked.select("sale_o", "shuffled_rank", ks)
+    fold = F.pmod("shuffled_rank", F.col("k")).cast("int").alias("fold")
+    return folds.groupBy("k", "sale_o", fold).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _hash_folds(r: Roles) -> DataFrame:
@@ -183,9 +192,8 @@ def _hash_folds(r: Roles) -> DataFrame:
 
 
 def _split_sizes(r: Roles) -> DataFrame:
-    sides = features.split(r.sales.select("client", "sale_f"), "client", strata="sale_f")
-    named = [df.withColumn("side", F.lit(n)) for df, n in zip(sides, ("train", "test"))]
-    return reduce(DataFrame.unionByName, named).groupBy("side", "sale_f").agg(F.count(F.lit(1)).alias("rows"))
+    sides = features.with_side(r.sales.select("client", "sale_f"), "client", strata="sale_f")
+    return sides.groupBy("side", "sale_f").agg(F.count(F.lit(1)).alias("rows"))
 
 
 FEATURES = {
@@ -235,6 +243,7 @@ METRICS = {
     "roc_auc": lambda r: _rounded(
         metrics.roc_auc(_scored(r).where("product = 'O'"), "label", "probability")
     ),
+    "roc_auc_products": lambda r: _rounded(metrics.roc_auc(_scored(r), "label", "probability", ["product"])),
     "regression_metrics": lambda r: _rounded(
         metrics.regression_metrics(_scored(r).where("revenue <> 0"), "revenue", "predicted", ["product"]),
         digits=3,  # a squared error of 10^8 has no more digits than that to compare
@@ -291,6 +300,105 @@ def _best_run(r: Roles) -> DataFrame:
     return _rounded(auc.orderBy(F.desc("auc_score"), "product").limit(1))
 
 
+def _trials(r: Roles) -> DataFrame:
+    """A table of tried settings derived from the customers: many runs, ties and repeated settings."""
+    c = F.col("c_custkey")
+    return r.table("customer").select(
+        (c % 12).cast("int").alias("iteration_id"),
+        F.floor(c / 12).cast("int").alias("setting"),
+        (3 + c % 12 % 3).cast("int").alias("k_folds"),
+        (3 + c % 5).cast("int").alias("max_depth"),
+        (1 + c % 7).cast("int").alias("min_child_weight"),
+        (100 * (1 + c % 3)).cast("int").alias("n_estimators"),
+        (F.floor(F.abs("c_acctbal") / 1000).cast("double") / 10).alias("auc_score"),
+    )
+
+
+def _ranked_settings(r: Roles) -> DataFrame:
+    found = training.SearchResult(runs=_trials(r), settings=_trials(r))
+    return training.top_settings(found, _propensity_spec(), 7).drop("iteration_id")
+
+
+def _best_of_trials(r: Roles) -> DataFrame:
+    best = training.best_parameters(_trials(r), _propensity_spec())
+    return r.spark.createDataFrame([tuple(map(int, best.values()))], ", ".join(f"{c} long" for c in best))
+
+
+def _ranked_importances(r: Roles) -> DataFrame:
+    """Importances derived from sums of orders by status and priority, ranked within each status."""
+    rows = r.table("orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select(
+        F.ascii("o_orderstatus").alias("iteration_id"),
+        F.col("o_orderpriority").alias("feature_name"),
+        F.floor(F.col("n") / 50).cast("double").alias("feature_importance"),
+        F.lit(0.0).alias("explained_variance"),
+    )
+    return training.rank_importance(rows).drop("explained_variance")
+
+
+def _attribution_table(r: Roles) -> DataFrame:
+    """Mean absolute contribution by feature, over rows derived from the order lines."""
+    parts = {"quantity": "l_quantity - 25", "forward": "l_linenumber - 3", "backward": "3 - l_linenumber"}
+    detail = r.table("lineitem").select(
+        F.inline(F.array(*(F.struct(F.lit(n).alias("feature_name"), F.expr(e).cast("double").alias("contribution")) for n, e in parts.items())))
+    )
+    return _rounded(attribution.attribution_summary(detail), 4)
+
+
+def _latest_model(r: Roles) -> DataFrame:
+    """Predictors of the newest row of a history derived from the orders of the nations."""
+    history = r.table("orders").groupBy("o_orderpriority").agg(F.max("o_orderkey").alias("last")).select(
+        F.col("last").cast("string").alias("key"),
+        F.format_string("%020d", "last").alias("model_timestamp"),
+        F.concat_ws(" , ", F.lit("a"), "o_orderpriority", F.lit("z")).alias("predictive_variables"),
+    )
+    names = training.latest_predictors(history)
+    return r.spark.createDataFrame([(i, n) for i, n in enumerate(names)], "place long, name string")
+
+
+def _score_facts(r: Roles) -> DataFrame:
+    """Rows scored, and rows whose key, probability or class is not as it must be."""
+    scored = _score_propensity(r)
+    p = F.col("predicted_probability")
+    wrong = F.col("client").isNull() | ~p.between(0.0, 1.0) | ((p > 0.5).cast("int") != F.col("predicted_class"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("client").alias("clients"), F.count_if(wrong).alias("wrong")
+    )
+
+
+def _attribution_facts(r: Roles) -> DataFrame:
+    """Rows explained, features of each, and rows whose contributions do not add up to their margin."""
+    detail = _attribution(r, _propensity_spec(), r.train)
+    by_row = detail.groupBy("instance_id").agg(
+        F.count(F.lit(1)).alias("features"),
+        (F.abs(F.sum("contribution") + F.first("base_value") - F.first("margin")) > 1e-9).alias("off"),
+    )
+    return by_row.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("features").alias("least"),
+        F.max("features").alias("most"),
+        F.count_if("off").alias("off"),
+    )
+
+
+def _fit_facts(r: Roles) -> DataFrame:
+    """What a final fit must say of its rows, for all three products: class counts and the matrix's sums."""
+    found = []
+    for p in PRODUCTS:
+        m = training.fit_final(r.train, _propensity_spec(p), FIXED_SETTINGS).metrics
+        found.append(
+            m.select(
+                F.lit(p).alias("product"),
+                "positive_class_count",
+                "negative_class_count",
+                (F.col("true_positives") + F.col("false_negatives")).alias("positives"),
+                (F.col("true_negatives") + F.col("false_positives")).alias("negatives"),
+                F.col("training_samples").cast("long").alias("training_samples"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def _history(r: Roles) -> DataFrame:
     """Two final models in a history table, written to shared storage and read back."""
     store = tables.TableStore(r.spark, scratch_path(r.spark, "history"))
@@ -336,6 +444,14 @@ MODELS = {
     "feature_importance": lambda r: _search(r, _revenue_spec(), _train_buyers(r)).importance,
     "best_params": _best_parameters,
     "best_run": _best_run,
+    "ranked_settings": _ranked_settings,
+    "best_of_trials": _best_of_trials,
+    "ranked_importances": _ranked_importances,
+    "attribution_table": _attribution_table,
+    "latest_model": _latest_model,
+    "score_facts": _score_facts,
+    "attribution_facts": _attribution_facts,
+    "fit_facts": _fit_facts,
     "fit_final_propensity": lambda r: training.fit_final(r.train, _propensity_spec(), FIXED_SETTINGS)
     .metrics.drop("training_time_seconds"),
     "fit_final_revenue": lambda r: training.fit_final(_train_buyers(r), _revenue_spec(), FIXED_SETTINGS)

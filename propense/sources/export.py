@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propense.session import cut_lineage
 from propense.sources.tables import rename_repeats
 
 # Fixed value: time stamp in default file names.
@@ -24,14 +25,20 @@ class SqlResult:
 
 
 def run_sql(spark: SparkSession, text: str) -> SqlResult:
-    """Analyse and plan a query; repeated column names are numbered so it can be saved."""
+    """Run a query into the shared folder; its frame reads what was written, so it runs once.
+
+    Repeated column names are numbered so they can be saved. An error that only shows while the query runs has
+    status 0 as well.
+    """
     try:
         df = spark.sql(text)
+        if not df.columns:  # a command
+            return SqlResult(1, df)
+        if len({c.lower() for c in df.columns}) < len(df.columns):
+            df = df.toDF(*rename_repeats(df.columns))
+        return SqlResult(1, cut_lineage(df))
     except PySparkException as err:
         return SqlResult(0, str(err))
-    if len({c.lower() for c in df.columns}) < len(df.columns):
-        df = df.toDF(*rename_repeats(df.columns))
-    return SqlResult(1, df)
 
 
 def save_result(result: SqlResult, folder: str, name: str | None = None) -> str:
@@ -44,10 +51,13 @@ def save_result(result: SqlResult, folder: str, name: str | None = None) -> str:
 def export_csv(df: DataFrame, folder: str, name: str) -> str:
     """A folder of CSV part files, written by the executors in parallel.
 
-    Empty text and NULL are told apart: NULL is an empty field, empty text is ``""``.
+    Empty text and NULL are told apart: NULL is an empty field, empty text is ``""``. A quote inside a text
+    is doubled, as other readers expect it; texts with line breaks are read again with ``multiLine``.
     """
     path = f"{folder.rstrip('/')}/{name}"
-    df.write.mode("overwrite").option("header", "true").option("emptyValue", '""').csv(path)
+    options = {"header": "true", "emptyValue": '""', "escape": '"'}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}  # keep blanks
+    df.write.mode("overwrite").options(**options).csv(path)
     return path
 
 

@@ -61,30 +61,41 @@ class IngestJob:
         return cls(**given)
 
 
-def load_document(path: str) -> dict:
-    """A YAML or JSON job file, read on the driver."""
-    with open(path, encoding="utf-8") as handle:
-        if path.endswith(".json"):
-            return json.load(handle)
-        try:
-            import yaml
-        except ImportError as err:
-            raise ImportError("YAML job files need pyyaml; JSON files need nothing") from err
-        return yaml.safe_load(handle)
-
-
-def load_jobs(path: str) -> list[IngestJob]:
-    return [IngestJob.from_mapping(raw) for raw in load_document(path)["ingestion_jobs"]]
+def load_document(path: str, spark: SparkSession | None = None) -> dict:
+    """A YAML or JSON job file: on the driver's disk, or with a session wherever Spark can read."""
+    if spark is not None:
+        text = spark.read.text(path, wholetext=True).first()[0]
+    else:
+        with open(path, encoding="utf-8") as handle:
+            text = handle.read()
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as err:
+        raise ImportError("YAML job files need pyyaml; JSON files need nothing") from err
+    return yaml.safe_load(text)
+
+
+def load_jobs(path: str, spark: SparkSession | None = None) -> list[IngestJob]:
+    return [IngestJob.from_mapping(raw) for raw in load_document(path, spark)["ingestion_jobs"]]
 
 
 def read_source(spark: SparkSession, job: IngestJob) -> DataFrame:
-    reader = spark.read.format(job.format).options(**job.options)
+    """The rows of a job's files.
+
+    CSV rows that do not fit the columns fail the job rather than come in torn; texts with line breaks need the
+    option ``multiLine``. A CSV job without a schema costs one more pass over the files, to find the types.
+    """
+    options = dict(job.options)
+    if job.format == "csv":
+        # Empty fields are NULL, quoted empty ones are empty texts: no text may stand for NULL.
+        options = {"header": "true", "escape": '"', "mode": "FAILFAST", "nullValue": "\u0000"} | options
+        if job.schema is None:
+            options.setdefault("inferSchema", "true")
+    reader = spark.read.format(job.format).options(**options)
     if job.schema is not None:
         reader = reader.schema(job.schema)
-    elif job.format == "csv":
-        reader = reader.option("inferSchema", "true")
-    if job.format == "csv":
-        reader = reader.option("header", "true")
     return nan_to_null(reader.load(job.location()))
 
 

@@ -85,7 +85,8 @@ class TableStore:
     def read(self, layer: str, table: str) -> DataFrame:
         if self.root is None:
             return self.spark.table(f"{layer}.{table}")
-        return self.spark.read.parquet(self.path(layer, table))
+        # Rows appended later may have more columns than the first ones.
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, table))
 
     def replace(
         self, df: DataFrame, layer: str, table: str, bucket_by: str | None = None, buckets: int = 0
@@ -107,10 +108,20 @@ class TableStore:
         return observed.get["rows"]
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
-        """Add rows to a history table, making it on first use."""
+        """Add rows to a history table, making it on first use; columns that either side lacks are NULL."""
         if self.root is None:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            df.write.mode("append").saveAsTable(f"{layer}.{table}")
+            name = f"{layer}.{table}"
+            if self.spark.catalog.tableExists(name):
+                old = {f.name.lower(): f.dataType for f in self.spark.table(name).schema.fields}
+                new = [f for f in df.schema.fields if f.name.lower() not in old]
+                if new:
+                    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                    self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+                have = {c.lower() for c in df.columns}
+                df = df.withColumns({c: F.lit(None).cast(t) for c, t in old.items() if c not in have})
+                df = df.select(*[ident(c) for c in self.spark.table(name).columns])
+            df.write.mode("append").saveAsTable(name)
         else:
             df.write.mode("append").parquet(self.path(layer, table))
 

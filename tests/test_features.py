@@ -83,10 +83,27 @@ def test_category_names_may_hold_any_mark(spark):
         assert row["features"].toArray().tolist() == want
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
-    with pytest.raises(ValueError, match="categories"):
-        features.one_hot(spark.range(5).selectExpr("CAST(id AS STRING) AS c"), "c")
+def test_any_number_of_categories_is_encoded(spark):
+    df = spark.range(4500).selectExpr("CAST(id AS DOUBLE) AS n", "CAST(id % 1500 AS STRING) AS c", "'only' AS one")
+    model = features.FeaturePrep(["n", "c", "one"], ["c", "one"]).fit(df)
+    names = features.feature_names(model)
+    order = sorted(str(i) for i in range(1500))
+    assert names == ["n", *(f"c_{v}" for v in order[1:])]
+    for row in model.transform(df.where("id % 97 = 0" if "id" in df.columns else "n % 97 = 0")).collect():
+        vector = row["features"]
+        entries = {names[i]: v for i, v in zip(vector.indices.tolist(), vector.values.tolist()) if i}
+        assert entries == ({} if row["c"] == order[0] else {f"c_{row['c']}": 1.0})
+    unseen = spark.createDataFrame([(1.0, "new", None)], "n double, c string, one string")
+    assert not model.transform(unseen).first()["features"].toArray()[1:].any()
+
+
+def test_a_null_stratum_is_kept(spark):
+    df = spark.range(100).selectExpr("id", "IF(id % 10 = 0, NULL, CAST(id % 2 AS STRING)) AS `s.t`")
+    train, test = features.split(df, "id", 0.2, strata="s.t")
+    assert train.count() + test.count() == 100
+    assert test.where("`s.t` IS NULL").count() == 2
+    folds = features.with_folds(df, "id", 5, strata="s.t", exact=True)
+    assert {r["count"] for r in folds.where("`s.t` IS NULL").groupBy("fold").count().collect()} == {2}
 
 
 def test_rank_by_hash_is_a_permutation_of_each_stratum(spark):

@@ -87,14 +87,37 @@ def test_categorical_facts(spark):
     assert empty["most_frequent_category"] is None and empty["null_percentage"] == 100.0
 
 
-def test_maps_only_for_few_categories(spark, monkeypatch):
-    monkeypatch.setattr(profiling, "MAX_MAP_CATEGORIES", 5)
-    df = spark.range(60).selectExpr("CAST(id % 3 AS STRING) AS few", "CAST(id AS STRING) AS many")
+def test_maps_for_any_number_of_categories(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 3 AS STRING) AS few", "CAST(id % 1500 AS STRING) AS many")
     out = {r["data_field_name"]: r for r in profiling.categorical_profile(df).collect()}
     assert len(out["few"]["category_distribution"]) == 3
-    assert out["many"]["category_distribution"] is None and out["many"]["unique_values_count"] == 60
-    whole = profiling.category_distribution(df, ["many"])
-    assert whole.count() == 60
+    assert len(out["many"]["category_distribution"]) == out["many"]["unique_values_count"] == 1500
+    assert out["many"]["category_distribution"]["7"]["count"] == 2
+    assert profiling.category_distribution(df, ["many"]).count() == 1500
+
+
+def test_infinite_and_tiny_values_are_ranked(spark, monkeypatch):
+    from propense.functions import order
+
+    monkeypatch.setattr(order, "MAX_ORDERED", 10)
+    inf, tiny = float("inf"), 5e-324
+    columns = {
+        "low": [-inf] * 30 + [float(i) for i in range(70)],
+        "high": [inf] * 60 + [float(i) for i in range(40)],
+        "both": [-inf] * 20 + [inf] * 20 + [i / 7 for i in range(60)],
+        "far": [-1.7e308, 1.7e308, -inf, inf] * 25,
+        "tiny": [tiny * (i % 20) for i in range(100)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    for row in profiling.numeric_profile(df).collect():
+        values = sorted(columns[row["data_field_name"]])
+        for name, q in profiling.QUARTILES.items():
+            place = (len(values) - 1) * q
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            if low == high:
+                assert row[name] == low
+            elif math.isfinite(low) and math.isfinite(high):
+                assert row[name] == pytest.approx(low + (place % 1) * (high - low))
 
 
 def test_integer_categories_are_found_exactly(spark):

@@ -93,6 +93,46 @@ def test_sql_status_and_export(spark, tmp_path):
         export.save_result(bad, str(tmp_path))
 
 
+def test_texts_with_quotes_and_line_breaks_come_back(spark, sf_dir, tmp_path):
+    odd = [(-1, 'say "hi",\nthen go', None), (-2, "", "x"), (-3, 'ends with \\', 'a "q"'), (-4, "\r\n", ""), (-5, '"', "\\\"")]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    export.export_csv(docs, str(tmp_path), "documents.csv")
+    schema = "doc_id long, text string, lang string"
+    jobs = [
+        ingest.IngestJob("whole", "b", "whole", str(tmp_path), "documents", schema=schema, options={"multiLine": "true"}),
+        ingest.IngestJob("torn", "b", "torn", str(tmp_path), "documents", schema=schema),
+    ]
+    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    status = {r["job"]: r["status"] for r in ingest.run_jobs(store, jobs).collect()}
+    assert status == {"whole": "ok", "torn": "failed"}
+    back = {tuple(r) for r in store.read("b", "whole").collect()}
+    lines = lambda t: t if t is None else t.replace("\r\n", "\n")
+    assert {(i, lines(t), g) for i, t, g in back} == {(r[0], lines(r[1]), r[2]) for r in docs.collect()}
+
+
+def test_job_files_are_read_where_spark_reads(spark, tmp_path):
+    (tmp_path / "jobs.json").write_text(json.dumps({"ingestion_jobs": [{"name": "n", "layer": "l", "table": "t", "path": "p"}]}))
+    assert ingest.load_jobs(f"file://{tmp_path}/jobs.json", spark) == ingest.load_jobs(str(tmp_path / "jobs.json"))
+
+
+def test_history_keeps_columns_of_all_rows(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS history_test CASCADE")
+    for store in (tables.TableStore(spark, str(tmp_path)), tables.TableStore(spark)):
+        store.append(spark.sql("SELECT 1 AS n, 0.5D AS param_x"), "history_test", "models")
+        store.append(spark.sql("SELECT 2 AS n, 0.7D AS param_y"), "history_test", "models")
+        rows = {r["n"]: (r["param_x"], r["param_y"]) for r in store.read("history_test", "models").collect()}
+        assert rows == {1: (0.5, None), 2: (None, 0.7)}
+    spark.sql("DROP DATABASE history_test CASCADE")
+
+
+def test_errors_while_a_query_runs_have_status_0(spark):
+    bad = export.run_sql(spark, "SELECT 1 / (id - 3) AS x FROM range(10)")
+    assert bad.status == 0 and "ZERO" in bad.query.upper()
+    assert export.run_sql(spark, "SELECT id FROM range(3)").query.count() == 3
+    assert export.run_sql(spark, "CREATE OR REPLACE TEMP VIEW made AS SELECT 1 AS one").status == 1
+
+
 def test_score_and_metric_files(spark, tmp_path):
     path = export.export_scores(spark.range(3), str(tmp_path), "scores")
     back = spark.read.option("header", "true").csv(path)

@@ -52,6 +52,28 @@ def test_drawn_settings_differ_and_repeat():
     assert sorted(s["max_depth"] for s in training.draw_settings(small, 10, 1)) == [1, 2]
 
 
+def test_search_scores_are_exact_and_on_the_targets_scale(rows):
+    space = {"max_depth": [3], "n_estimators": [3], "learning_rate": [0.3]}
+    scaled = training.search(rows, REVENUE, space=space, k_folds=(3,), runs_per_k=1, n_iter=1, importance=False)
+    spread = rows.agg(F.stddev_pop("revenue")).first()[0]
+    error = scaled.runs.first()["mae_score"]
+    assert 1 < error < spread  # in deviations it would be below 1
+    plain = training.ModelSpec(**{**REVENUE.__dict__, "scale_target": False})
+    same = training.search(rows, plain, space=space, k_folds=(3,), runs_per_k=1, n_iter=1, importance=False)
+    assert error == pytest.approx(same.runs.first()["mae_score"], rel=0.5)
+    scored = rows.select(F.col("sale").cast("double").alias("label"), F.array(F.lit(0.0), F.col("a") / 101).alias("p"))
+    from pyspark.ml.functions import array_to_vector
+
+    scored = scored.select("label", array_to_vector("p").alias("probability"))
+    want = training.metrics.roc_auc(rows.withColumn("q", F.col("a") / 101), "sale", "q").first()[0]
+    assert training._score(scored, SALE, 1.0) == pytest.approx(want, abs=1e-12)
+
+
+def test_bins_are_a_setting():
+    assert training.estimator(SALE, {}, 10).getMaxBins() == training.MAX_BINS >= 256
+    assert training.estimator(SALE, {"max_bins": 64}, 10).getMaxBins() == 64
+
+
 def test_search_and_lookup(rows):
     space = {"max_depth": [1, 3], "n_estimators": [3], "learning_rate": [0.3]}
     result = training.search(rows, SALE, space=space, k_folds=(2, 3), runs_per_k=1, n_iter=2, importance=True)
