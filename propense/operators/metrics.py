@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,10 @@ def _ratio(top, bottom):
 
 
 def _score_counts(scored: DataFrame, label: str, probability: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score: a hot score is one row from here on."""
+    """Positives and negatives per distinct score: a hot score is one row from here on.
+
+    Scores are probabilities. Others are ranked right as well, but those outside (0, 1) share two slots.
+    """
     score = ident(probability).cast("double")
     known = scored.where(score.isNotNull() & ident(label).isNotNull())
     return known.groupBy(*by, score.alias("score")).agg(
@@ -39,9 +44,11 @@ def _slot_totals(counts: DataFrame, by: Sequence[str], cutoff: float) -> DataFra
     """
     score = F.col("score")
     slotted = counts.withColumn("slot", logit_slot(score))
-    # A bounded number of slots per model, whatever the number of rows.
+    # A bounded number of slots per group of ``by``; Spark chooses how to join them.
     ranges = slotted.groupBy(*by, "slot").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-    pieces = slotted.join(F.broadcast(ranges), [*by, "slot"]).withColumn(
+    ranges = ranges.withColumnsRenamed({c: f"_{c}" for c in (*by, "slot")})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "slot")])
+    pieces = slotted.join(ranges, same).withColumn(
         "piece", slot_of(score, F.col("lo"), F.col("hi"), PIECES)
     )
     above = score > cutoff

@@ -218,6 +218,7 @@ def quality() -> dict[str, str]:
     everything = quality_results(roles + checks.raw_specs())
     sql = {
         "dq_all": with_roles(everything, *used),
+        "dq_isolated": with_roles(everything, *used),
         "dq_summary": with_roles(
             "SELECT check_type, count(*) AS total_checks, "
             "CAST(sum(records_failed) AS BIGINT) AS total_failures, "
