@@ -13,7 +13,6 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -57,7 +56,6 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in WHOLE.findall(formatted)]
 
 
-@lru_cache(maxsize=2)
 def load(definition: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
     tokenizer = Tokenizer.from_str(definition)

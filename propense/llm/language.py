@@ -186,11 +186,11 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     Null texts and texts without letters are ``und`` with score 0. Rows stay as they are, in any number.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.machines))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        known = shared.value
+        known = LanguageModel(*shared.value)
         return pd.DataFrame([known.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     found = docs.withColumn("_found", predict(F.col(text_col)))

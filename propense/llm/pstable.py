@@ -14,7 +14,6 @@ each vector's number of partners and a spanning tree of its links.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,13 +46,19 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-@lru_cache(maxsize=4)
+#: What a task has drawn already, by length of the vectors and threshold.
+_DRAWN: dict[tuple[int, float], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _projections(size: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if (size, threshold) in _DRAWN:
+        return _DRAWN[size, threshold]
     rng = np.random.default_rng([SEED, size])
     width = WIDTH * np.sqrt(2 - 2 * threshold)
     directions = rng.standard_normal((size, TABLES * PROJECTIONS)) / width
     shifts = rng.random(TABLES * PROJECTIONS)
     mix = rng.integers(1, 2**62, PROJECTIONS, dtype=np.int64) | 1
+    _DRAWN[size, threshold] = directions, shifts, mix
     return directions, shifts, mix
 
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -85,12 +84,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInPandas(run, f"id {dict(rows.dtypes)['id']}, fp long")
 
 
-@cache
+#: Tables of the code that a task has made already, by reach.
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _golay(reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Syndromes of single bits; by syndrome the error to the nearest anchor, and errors to all replicas.
 
     The errors to replicas of a word lead to the nearest anchors of all words at most ``reach`` bits away.
     """
+    if reach in _TABLES:
+        return _TABLES[reach]
     single = np.zeros(GOLAY_BITS, dtype=np.int64)
     for bit in range(GOLAY_BITS):
         value = 1 << bit
@@ -112,6 +116,7 @@ def _golay(reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ]
     width = max(map(len, errors))
     padded = np.array([e + [-1] * (width - len(e)) for e in errors], dtype=np.int64)
+    _TABLES[reach] = single, near, padded
     return single, near, padded
 
 
