@@ -29,8 +29,9 @@ from propense.operators import features as prep
 # Rows explained unless the caller asks for a sample: all of them.
 SAMPLE_SIZE = None
 BACKGROUND_SIZE = 100
-# Rows explained at a time within a task.
+# Rows explained at a time within a task, and numbers held for the leaves at work.
 CHUNK = 1024
+WORK = 1 << 20
 
 # The helpers below travel to the tasks with the job, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -103,28 +104,74 @@ def _shares(most: int) -> tuple[np.ndarray, np.ndarray]:
     return own, other
 
 
-def contributions(leaves: Sequence[Leaf], background: np.ndarray, rows: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Stack:
+    """Leaves with the same number of features, as arrays over the leaves."""
+
+    value: np.ndarray
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def codes(self, rows: np.ndarray) -> np.ndarray:
+        """Per row and leaf a number whose bits say which of the leaf's intervals hold."""
+        out = np.zeros((len(rows), len(self.value)), dtype=np.int64)
+        for j in range(self.features.shape[1]):
+            x = rows[:, self.features[:, j]]
+            out |= ((x > self.low[:, j]) & (x <= self.high[:, j])).astype(np.int64) << j
+        return out
+
+
+def stacked(leaves: Sequence[Leaf]) -> list[Stack]:
+    by_size: dict[int, list[Leaf]] = {}
+    for leaf in leaves:
+        if len(leaf.features):
+            by_size.setdefault(len(leaf.features), []).append(leaf)
+    return [
+        Stack(
+            np.array([leaf.value for leaf in same]),
+            *(np.stack([getattr(leaf, name) for leaf in same]) for name in ("features", "low", "high")),
+        )
+        for _, same in sorted(by_size.items())
+    ]
+
+
+def contributions(stacks: Sequence[Stack], background: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Contribution of every feature in every row, as (rows, features).
 
-    Rows that satisfy the same intervals of a leaf get the same share of it, and so do background rows,
-    so a leaf costs as many steps as there are different patterns, not pairs of rows.
+    What a leaf gives a row depends on two bit patterns alone, the row's and a background row's. Leaves
+    are worked off in stacks: the patterns of the background that occur are counted, and each occurring
+    pattern of a row is matched with those once, for all rows that have it.
     """
-    own, other = _shares(max((len(leaf.features) for leaf in leaves), default=0))
-    total = np.zeros(rows.shape)
-    for leaf in leaves:
-        if not len(leaf.features):
-            continue
-        mine, place = np.unique(_holds(leaf, rows), axis=0, return_inverse=True)
-        theirs, count = np.unique(_holds(leaf, background), axis=0, return_counts=True)
-        from_row = mine[:, None, :] & ~theirs[None, :, :]
-        from_background = ~mine[:, None, :] & theirs[None, :, :]
-        reachable = (mine[:, None, :] | theirs[None, :, :]).all(axis=2)
-        a, b = from_row.sum(axis=2), from_background.sum(axis=2)
-        weight = leaf.value * reachable * count / len(background)
-        part = from_row * (weight * own[a, b])[:, :, None]
-        part += from_background * (weight * other[a, b])[:, :, None]
-        total[:, leaf.features] += part.sum(axis=1)[place.ravel()]
-    return total
+    total = np.zeros((rows.shape[1], len(rows)))
+    for stack in stacks:
+        size = stack.features.shape[1]
+        own, other = _shares(size)
+        full = (1 << size) - 1
+        bits = np.arange(size)
+        # The work space is leaves x background x features at a time.
+        step = max(1, WORK // (len(background) * size))
+        for at in range(0, len(stack.value), step):
+            part = Stack(*(x[at : at + step] for x in (stack.value, stack.features, stack.low, stack.high)))
+            theirs = part.codes(background)
+            n = len(part.value)
+            # every pattern of a row that occurs at a leaf, once
+            keys, place = np.unique(part.codes(rows) * n + np.arange(n), return_inverse=True)
+            shares = np.zeros((len(keys), size))
+            for k in range(0, len(keys), step):
+                mine, leaf = np.divmod(keys[k : k + step], n)
+                z = theirs[:, leaf].T
+                from_row, from_background = mine[:, None] & ~z, ~mine[:, None] & z & full
+                reachable = (mine[:, None] | z) == full
+                a, b = np.bitwise_count(from_row), np.bitwise_count(from_background)
+                weight = part.value[leaf][:, None] * reachable / len(background)
+                give, take = weight * own[a, b], weight * other[a, b]
+                for j in bits:
+                    shares[k : k + step, j] = (give * (from_row >> j & 1) + take * (from_background >> j & 1)).sum(axis=1)
+            place = place.reshape(len(rows), n)
+            for j in bits:
+                np.add.at(total, part.features[:, j], shares[place, j].T)
+    return total.T
 
 
 def margin(leaves: Sequence[Leaf], rows: np.ndarray) -> np.ndarray:
@@ -135,6 +182,14 @@ def margin(leaves: Sequence[Leaf], rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def stack_margin(stacks: Sequence[Stack], constant: float, rows: np.ndarray) -> np.ndarray:
+    """The same, from stacks; ``constant`` is the value of leaves without a condition."""
+    out = np.full(len(rows), constant)
+    for stack in stacks:
+        out += (stack.codes(rows) == (1 << stack.features.shape[1]) - 1) @ stack.value
+    return out
+
+
 def attribute(
     model: PipelineModel,
     train: DataFrame,
@@ -160,25 +215,34 @@ def attribute(
     background = np.array([r["x"] for r in picked])
     leaves = leaves_of(model.stages[-1])
     base = float(margin(leaves, background).mean())
+    # One copy per executor; plain arrays, so workers need no copy of this package to read them.
+    sent = rows.sparkSession.sparkContext.broadcast(
+        (
+            [(k.value, k.features, k.low, k.high) for k in stacked(leaves)],
+            float(sum(leaf.value for leaf in leaves if not len(leaf.features))),
+            background,
+        )
+    )
     if sample_size is not None:
         # A top-n ends in one task; spread its few rows again, as they are costly to explain.
         spread = min(rows.sparkSession.sparkContext.defaultParallelism, max(sample_size // 32, 1))
         rows = prep.sample_rows(rows, key, sample_size, seed).repartition(spread, ident(key))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        arrays, constant, background = sent.value
+        stacks = [Stack(*a) for a in arrays]
         for batch in batches:
             if len(batch):
                 x = np.stack(batch["x"].to_numpy())
-                # The work space of a leaf is patterns x background x depth: keep the first small.
-                parts = [
-                    contributions(leaves, background, x[i : i + CHUNK]) for i in range(0, len(x), CHUNK)
-                ]
+                pieces = [x[i : i + CHUNK] for i in range(0, len(x), CHUNK)]
+                parts = [contributions(stacks, background, piece) for piece in pieces]
+                margins = [stack_margin(stacks, constant, piece) for piece in pieces]
                 yield pd.DataFrame(
                     {
                         "instance_id": batch["instance_id"],
                         "x": batch["x"],
                         "phi": list(np.concatenate(parts)),
-                        "margin": margin(leaves, x),
+                        "margin": np.concatenate(margins),
                     }
                 )
 
