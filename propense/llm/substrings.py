@@ -126,6 +126,14 @@ def _places(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) - np.repeat(before - start, count)
 
 
+def _consecutive(keep: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first index, number) of the stretches of ``keep`` that follow each other within one run."""
+    if not len(keep):
+        return keep, keep
+    new = np.concatenate([[True], (np.diff(keep) > 1) | (np.diff(run[keep]) > 0)])
+    return keep[new], np.diff(np.append(np.flatnonzero(new), len(keep)))
+
+
 def shared_buckets(docs: DataFrame, bits: int) -> DataFrame:
     """(doc_id, names): the buckets of each document that other documents have as well."""
     n_buckets = 1 << bits
@@ -214,26 +222,30 @@ def first_strings(packed: DataFrame, bits: int) -> DataFrame:
             at.append(begin + _places(start, count))
             owner.append(np.full(count.sum(), doc, dtype=np.int64))
             begin += len(data)
-        first = _firsts(np.concatenate(pieces), np.concatenate(at), np.concatenate(owner))
-        rows: dict[int, list] = {}
-        used = 0
-        for doc, text_hash, data, start, count, name in held:
-            n = int(count.sum())
-            mine, run = first[used : used + n], np.repeat(np.arange(len(start)), count)
-            used += n
-            place = _places(start, count)
-            keep = np.flatnonzero(mine)
-            if not len(keep):
-                continue
-            new = np.concatenate([[True], (np.diff(keep) > 1) | (np.diff(run[keep]) > 0)])
-            head = keep[new]
-            sizes = np.diff(np.append(np.flatnonzero(new), len(keep)))
-            raw = data.tobytes()
-            where = (name[run[head]] >> np.uint64(NAME_BITS)).tolist()
-            for bucket, s, c in zip(where, place[head].tolist(), sizes.tolist()):
-                rows.setdefault(bucket, []).append((doc, text_hash, s, c, raw[s : s + c + LENGTH - 1]))
-        out = [(b, *map(list, zip(*(r[:4] for r in rs))), b"".join(r[4] for r in rs)) for b, rs in rows.items()]
-        yield pd.DataFrame(out, columns=["bucket", "doc_id", "text_hash", "start", "count", "text"])
+        data, at, owner = np.concatenate(pieces), np.concatenate(at), np.concatenate(owner)
+        keep = np.flatnonzero(_firsts(data, at, owner))
+        if not len(keep):
+            return
+        counts = np.concatenate([h[4] for h in held])
+        run = np.repeat(np.arange(len(counts)), counts)
+        head, count = _consecutive(keep, run)
+        which = np.repeat(np.arange(len(held)), [len(h[3]) for h in held])[run[head]]
+        offset = np.cumsum([0] + [len(h[2]) for h in held[:-1]])
+        bucket = (np.concatenate([h[5] for h in held])[run[head]] >> np.uint64(NAME_BITS)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        head, count, which, bucket = head[order], count[order], which[order], bucket[order]
+        ids = np.array([(h[0], h[1]) for h in held], dtype=np.int64)
+        runs = np.column_stack([ids[which], at[head] - offset[which], count])
+        text = data[_places(at[head], count + LENGTH - 1)]
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
+        ends = np.concatenate([[0], np.cumsum(count + LENGTH - 1)])[cuts]
+        yield pd.DataFrame(
+            {
+                "bucket": bucket[cuts[:-1]],
+                "runs": [runs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])],
+                "text": [text[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])],
+            }
+        )
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -252,29 +264,22 @@ def first_strings(packed: DataFrame, bits: int) -> DataFrame:
             yield from send(held)
 
     def refine(frame: pd.DataFrame) -> pd.DataFrame:
-        whole = {c: np.concatenate([np.asarray(x, np.int64) for x in frame[c]]) for c in ("doc_id", "text_hash", "start", "count")}
+        runs = np.frombuffer(b"".join(frame["runs"]), np.int64).reshape(-1, 4)
         data = np.frombuffer(b"".join(frame["text"]), np.uint8)
-        count = whole["count"]
-        length = count + LENGTH - 1
+        length = runs[:, 3] + LENGTH - 1
         begin = np.cumsum(length) - length
-        order = np.argsort(whole["doc_id"], kind="stable")
-        count, begin = count[order], begin[order]
-        at, owner = _places(begin, count), np.repeat(whole["doc_id"][order], count)
-        keep = np.flatnonzero(_firsts(data, at, owner))
-        run = np.repeat(np.arange(len(count)), count)
-        new = np.concatenate([[True], (np.diff(keep) > 1) | (np.diff(run[keep]) > 0)]) if len(keep) else np.zeros(0, bool)
-        head = keep[new]
-        mine = order[run[head]]
-        return pd.DataFrame(
-            {
-                "doc_id": whole["doc_id"][mine],
-                "text_hash": whole["text_hash"][mine],
-                "start": whole["start"][mine] + at[head] - begin[run[head]],
-                "count": np.diff(np.append(np.flatnonzero(new), len(keep))),
-            }
-        )
-
-    kinds = "bucket long, doc_id array<long>, text_hash array<long>, start array<long>, count array<long>, text binary"
+        order = np.argsort(runs[:, 0], kind="stable")
+        runs, begin = runs[order], begin[order]
+        at = _places(begin, runs[:, 3])
+        run = np.repeat(np.arange(len(runs)), runs[:, 3])
+        keep = np.flatnonzero(_firsts(data, at, runs[run, 0]))
+        head, count = _consecutive(keep, run)
+        mine = runs[run[head]]
+        start = mine[:, 2] + at[head] - begin[run[head]]
+        return pd.DataFrame({"doc_id": mine[:, 0], "text_hash": mine[:, 1], "start": start, "count": count})
+
+    # runs: doc_id, text_hash, first place and number of strings; text: their bytes, one run after another
+    kinds = "bucket long, runs binary, text binary"
     return (
         packed.mapInPandas(gather, kinds)
         .groupBy("bucket")
