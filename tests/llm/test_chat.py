@@ -9,6 +9,9 @@ from propense.llm import chat, queries
 PIECES = ["<turn>", "</turn>", "<says>", "\\", "(", "<", "/turn>", "turn>", "<|endoftext|>", "\n", " ", "é", "\U0001f600", "a", "\\(turn>", "### "]
 TEXT = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
 
+with open(chat.TOKENIZER, encoding="utf-8") as file:
+    ENCODER = chat.load(file.read())
+
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
@@ -20,11 +23,10 @@ def test_round_trip(turns):
     formatted, spans = chat.render(turns)
     assert chat.parse(formatted) == turns
     assert [chat.unescape(formatted[a:b]) for a, b in spans] == [t for _, t in turns]
-    tokenizer = chat.load(open(chat.TOKENIZER, encoding="utf-8").read())
-    code = tokenizer.encode(formatted, add_special_tokens=False)
+    code = ENCODER.encode(formatted, add_special_tokens=False)
     wanted = np.array([r == "assistant" for r, _ in turns], dtype=bool)
     loss = chat.mask(np.array(code.offsets, dtype=np.int64).reshape(-1, 2), spans[wanted])
-    learnt = tokenizer.decode([i for i, x in zip(code.ids, loss) if x], skip_special_tokens=False)
+    learnt = ENCODER.decode([i for i, x in zip(code.ids, loss) if x], skip_special_tokens=False)
     assert chat.unescape(learnt) == "".join(t for r, t in turns if r == "assistant")
     # no token reaches over the edge of a text
     edges = set(spans.ravel().tolist())
