@@ -135,6 +135,9 @@ GROUP BY threshold"""
     top = "SELECT * FROM outcome WHERE max_expected_revenue > 0 ORDER BY max_expected_revenue DESC, client LIMIT 100"
     return {
         "combine_scores": with_roles("SELECT * FROM scores", "scores"),
+        "combine_partial_scores": with_roles(
+            "SELECT * FROM scores WHERE client % 7 NOT IN (0, 1, 2) AND client % 11 NOT IN (0, 1, 2)", "scores"
+        ),
         "decide_expected_revenue": with_roles("SELECT * FROM combined", "combined"),
         "best_product": with_roles("SELECT * FROM outcome", "outcome"),
         "best_offers": with_roles(top, "outcome"),

@@ -38,12 +38,21 @@ def _outcome(roles: Roles) -> DataFrame:
     return decision.best_product(_combined(roles), PRODUCT_NAMES)
 
 
+def _partial_scores(roles: Roles) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Six score tables that each lack some customers: only those in all of them are combined."""
+    return {
+        p: (chance.where(F.col("client") % 7 != i), revenue.where(F.col("client") % 11 != i))
+        for i, (p, (chance, revenue)) in enumerate(roles.score_tables().items())
+    }
+
+
 def _on_roles(build: Callable[[Roles], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Roles(spark, sf_dir))
 
 
 DECISION = {
     "combine_scores": lambda r: decision.combine_scores(r.score_tables(), "client"),
+    "combine_partial_scores": lambda r: decision.combine_scores(_partial_scores(r), "client"),
     "decide_expected_revenue": _combined,
     "best_product": _outcome,
     "best_offers": lambda r: decision.top_offers(_outcome(r), "client"),

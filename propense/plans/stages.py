@@ -85,6 +85,14 @@ def search(store: TableStore, spec: ModelSpec, table: str | None = None, **optio
     return found.errors
 
 
+def search_top(store: TableStore, spec: ModelSpec, table: str | None = None, n: int = 10, **options) -> dict[int, str]:
+    """The search that keeps the n best settings per number of folds, over value ranges of its own."""
+    options.setdefault("space", training.SPACES[f"{spec.kind}_top"])
+    found = training.search(training_rows(store, spec), spec, **options)
+    store.replace(training.top_settings(found, spec, n), "models", f"{table or spec.name}_top_search")
+    return found.errors
+
+
 def best_settings(store: TableStore, spec: ModelSpec, table: str | None = None) -> training.Settings:
     store.require(("models", table or spec.name))
     return training.best_parameters(store.read("models", table or spec.name), spec)

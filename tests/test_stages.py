@@ -4,6 +4,7 @@ import pytest
 
 from propense.operators.quality import FieldSpec, Rule
 from propense.operators.training import ModelSpec
+from propense.operators import training
 from propense.plans import stages
 from propense.sources.tables import TableStore
 
@@ -45,6 +46,10 @@ def test_programme(spark, roles, tmp_path):
             if p == "o":  # the other product skips the search
                 assert stages.search(store, spec, space=SPACE, k_folds=(2,), runs_per_k=1, n_iter=1) == {}
                 settings = None
+                small = {**training.SPACES[f"{spec.kind}_top"], "n_estimators": [2], "max_depth": [3]}
+                assert stages.search_top(store, spec, n=2, space=small, k_folds=(2, 3), runs_per_k=1, n_iter=2) == {}
+                top = store.read("models", f"{spec.name}_top_search")
+                assert {(r["k_folds"], r["rank"]) for r in top.collect()} == {(2, 1), (2, 2), (3, 1), (3, 2)}
             final = stages.fit(store, spec, str(tmp_path / spec.name), settings)
             assert final.settings["n_estimators"] == 2
             assert spark.read.json(str(tmp_path / spec.name / "metrics")).count() == 1
