@@ -35,9 +35,9 @@ LENGTH, GRAM = 50, 16
 #: Offsets of the identifiers that are joined: 16 + 16 bytes, then 32 + 32 bytes that overlap, 50 in all.
 OFFSETS = (16, 18)
 #: Windows per step of a long text; seeds and candidate bytes a task gathers before it sends them.
-PIECE, SEEDS, CANDIDATES = 1 << 18, 2_000_000, 1 << 22
+PIECE, SEEDS, CANDIDATES = 1 << 18, 1_000_000, 1 << 21
 #: Bytes of text per bucket of the exchange, which fixes their number, and bits of a q-gram's name beside it.
-BUCKET_BYTES, MAX_BUCKETS, NAME_BITS = 1 << 18, 1 << 24, 40
+BUCKET_BYTES, MAX_BUCKETS, NAME_BITS = 1 << 20, 1 << 24, 40
 BASE, MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 NO_ONE = np.iinfo(np.int64).min
 
@@ -333,7 +333,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     brief = stored(brief.where(F.col("doc_id").isNotNull() & (F.col("n") >= LENGTH)), "substring-texts")
     size = brief.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     bits = max(size // BUCKET_BYTES, 1).bit_length()
-    bits = min(max(bits, 6), MAX_BUCKETS.bit_length() - 1)
+    bits = min(max(bits, 8), MAX_BUCKETS.bit_length() - 1)
     lowest = brief.groupBy("digest").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
     lowest = lowest.where("lowest < highest").select("digest", "lowest")
     copies = brief.join(lowest, "digest").where("doc_id > lowest").select("doc_id", "text_hash").distinct()
