@@ -10,6 +10,10 @@ With h = 1 the halves of a pair are equal or of different parity, so it is enoug
 replicated and the even one stays at home.
 
 Equal fingerprints are one class from the start, so thousands of copies are one row in the comparison.
+
+``keep_one`` asks for similar texts, not for near fingerprints: five-word shingle sets with a Jaccard
+similarity of at least 0.8. Such pairs differ in about 10 of 64 bits, too many to cover, so it takes several
+min-wise fingerprints per document for the candidates and compares the shingle sets of each bucket exactly.
 """
 
 from __future__ import annotations
@@ -40,6 +44,18 @@ SPACE = re.compile(rb"[\x20\x09-\x0d]")
 GOLAY_BITS, GOLAY_RADIUS = 23, 3
 #: Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GOLAY_POLYNOMIAL = 0b101011100011
+#: Shingles of near copies, and the least part of their union that two of them share.
+COPY_WORDS, COPY_SHARE = 5, 0.8
+#: Min-wise fingerprints per document, and values in each. A pair with a Jaccard similarity of 0.8 has one in
+#: common with probability 1 - (1 - 0.8**5)**25 = 0.99995, a more similar one with a higher one.
+BANDS, BAND_ROWS = 25, 5
+_DRAWN = np.random.default_rng(SEED)
+_FACTORS = _DRAWN.integers(0, 2**32, (BANDS * BAND_ROWS, 1), dtype=np.uint32) | np.uint32(1)
+_SHIFTS = _DRAWN.integers(0, 2**32, (BANDS * BAND_ROWS, 1), dtype=np.uint32)
+_MIX = _DRAWN.integers(0, 2**64, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
+_BAND = _DRAWN.integers(0, 2**64, BANDS, dtype=np.uint64)
+#: A block of near-copy candidates holds at most so many shingles per row on average, or fewer rows.
+BLOCK_SHINGLES = 512
 
 
 def _words(data: bytes) -> Iterator[list[bytes]]:
@@ -216,6 +232,14 @@ def links(prints: DataFrame, threshold: int = 2, block_rows: int = BLOCK_ROWS) -
     return dealt.mapInPandas(compare, "a long, b long")
 
 
+def _named(classes: DataFrame, roots: DataFrame, node: str) -> DataFrame:
+    """(node, component_id) of all ``classes`` (node, first_id): the smallest id of the node's component."""
+    linked = classes.join(roots.withColumnRenamed("node", node), node)
+    lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
+    named = linked.join(lowest, "root").select(node, "lowest")
+    return classes.join(named, node, "left").select(node, F.coalesce("lowest", "first_id").alias("component_id"))
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, threshold: int = 2
 ) -> DataFrame:
@@ -230,22 +254,141 @@ def simhash_components(
     prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-prints")
     classes = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-classes")
     roots = components(links(classes, threshold), "simhash-components")
-    linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp")
-    lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
-    named = linked.join(lowest, "root").select("fp", "lowest")
-    classes = classes.join(named, "fp", "left").select(
-        "fp", F.coalesce("lowest", "first_id").alias("component_id")
-    )
+    classes = _named(classes, roots, "fp")
     return prints.distinct().join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def shingle_set(text: str | None, words: int = COPY_WORDS) -> np.ndarray:
+    """Sorted hashes of the text's distinct shingles; one of all its words if they are fewer; none without."""
+    found, before = [], []
+    for piece in _words((text or "").encode("utf-8", "surrogatepass").lower()):
+        run = before + piece
+        n = len(run) - words + 1
+        if n > 0:
+            shingles = map(b" ".join, zip(*(run[k:] for k in range(words))))
+            found.append(np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)))
+        before = run[-(words - 1) :] if words > 1 else []
+    if not found:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(before), SEED)] if before else [], dtype=np.uint64)
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """The min-wise fingerprints of a set of hashes, as signed longs that tell the bands apart; none if empty."""
+    if not len(hashes):
+        return np.zeros(0, dtype=np.int64)
+    values = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(BANDS * BAND_ROWS, 2**32 - 1, dtype=np.uint32)
+    for k in range(0, len(values), 1024):
+        np.minimum(low, (values[k : k + 1024] * _FACTORS + _SHIFTS).min(axis=1), out=low)
+    return ((low.reshape(BANDS, BAND_ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + _BAND).view(np.int64)
+
+
+def _resembling(frame: pd.DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the keys of each bucket whose sets have at least ``share`` of their union in common.
+
+    Every edge is such a pair. Sets that are connected already are not compared again, so a group of near
+    copies costs about one pass over its shingles.
+    """
+    bounds = group_bounds(frame, ["bucket", "block_i", "block_j"])
+    keys, sets, sides = frame["key"].to_numpy(), frame["hashes"].to_numpy(), frame["side"].to_numpy()
+    across = (frame["block_i"] != frame["block_j"]).to_numpy()
+    found_a, found_b = [], []
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        lengths = np.array([len(s) for s in sets[begin:end]])
+        ends = np.cumsum(lengths)
+        tokens = np.unique(np.concatenate(sets[begin:end]), return_inverse=True)[1]
+        there = np.zeros(len(tokens), dtype=bool)
+        key, side, label = keys[begin:end], sides[begin:end], np.arange(end - begin)
+        for i in range(end - begin - 1):
+            other = label[i + 1 :] != label[i]
+            if across[begin]:  # rows of one block meet in the task of that block alone
+                other &= side[i + 1 :] != side[i]
+            least, most = np.minimum(lengths[i], lengths[i + 1 :]), np.maximum(lengths[i], lengths[i + 1 :])
+            other &= least / most >= share
+            if not other.any():
+                continue
+            own = tokens[ends[i] - lengths[i] : ends[i]]
+            there[own] = True
+            common = np.add.reduceat(there[tokens[ends[i] :]], ends[i:-1] - ends[i], dtype=np.int64)
+            there[own] = False
+            near = np.flatnonzero(other & (common / (least + most - common) >= share)) + i + 1
+            if len(near):
+                one_each = near[np.unique(label[near], return_index=True)[1]]
+                found_a.append(np.full(len(one_each), key[i]))
+                found_b.append(key[one_each])
+                label[np.isin(label, label[one_each])] = label[i]
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+
+
+def copy_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(id, component_id) per distinct id and shingle set of ``docs``, with links between near copies.
+
+    Near copies have five-word shingle sets with a Jaccard similarity of at least 0.8; a text of fewer words
+    is one shingle. Candidates share a min-wise fingerprint (``BANDS``); every link is compared exactly, on
+    64-bit hashes of the shingles. Equal sets are one class, texts without words among them.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                hashes = shingle_set(text)
+                key = np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)
+                out.append((key, len(hashes), bands(hashes)))
+            yield pd.concat(
+                [batch[["id", "hash"]], pd.DataFrame(out, columns=["key", "shingles", "bands"], index=batch.index)], axis=1
+            )
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes = [shingle_set(text).view(np.int64) for text in batch["text"]]
+            yield pd.DataFrame({"key": batch["key"], "hashes": hashes})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(batches, ["bucket", "block_i", "block_j"]):
+            a, b = _resembling(frame, COPY_SHARE)
+            yield pd.DataFrame({"a": a, "b": b})
+
+    prints = stored(
+        rows.mapInPandas(sign, f"id {dict(rows.dtypes)['id']}, hash long, key long, shingles long, bands array<long>"),
+        "copies-prints",
+    )
+    classes = stored(
+        prints.groupBy("key").agg(
+            F.min("id").alias("first_id"), F.min("hash").alias("hash"), F.first("shingles").alias("shingles"),
+            F.first("bands").alias("bands"),
+        ),
+        "copies-classes",
+    )
+    buckets = classes.select("key", "hash", "shingles", F.explode("bands").alias("bucket"))
+    # a bucket of long texts has more blocks, but no more than rows
+    by_length = F.least(F.ceil(F.sum("shingles") / BLOCK_SHINGLES), F.count("*") * block_rows)
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.greatest(F.count("*"), by_length).alias("size"))
+    shared = buckets.join(sizes.where("n > 1").drop("n"), "bucket").select("bucket", "key", "hash", "size")
+    shared = stored(shared, "copies-buckets")
+    # shingles are made again for those that share a bucket; few do
+    wanted = shared.select("key", "hash").distinct()
+    texts = rows.drop("id").join(wanted, "hash").dropDuplicates(["key"])
+    sets = stored(texts.mapInPandas(read, "key long, hashes array<long>"), "copies-sets")
+    dealt = in_blocks(shared.drop("hash").join(sets, "key"), "bucket", "size", F.col("key"), block_rows)
+    roots = components(dealt.mapInPandas(compare, "a long, b long"), "copies-components")
+    named = _named(classes.select("key", "first_id"), roots, "key")
+    return prints.select("id", "key").distinct().join(named, "key").select(F.col("id").alias(id_col), "component_id")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; all of its columns.
+    """The rows of ``docs`` whose id is the smallest of its component of near copies; all of its columns.
 
     Rows with a null id stay: nothing says which documents they are. Of rows repeating a kept id, all
     rows that carry it stay, as they are one document.
     """
-    found = simhash_components(docs, id_col, text_col)
+    found = copy_components(docs, id_col, text_col)
     gone = (
         found.groupBy(id_col)
         .agg(F.min("component_id").alias("_lowest"))

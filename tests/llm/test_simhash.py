@@ -85,3 +85,36 @@ def test_keep_one_and_empty(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 2), (False, 2), (True, 0)]
     assert simhash.simhash_components(docs.limit(0)).count() == 0
+
+
+def shingles_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def planted(rng, n, edits):
+    """Texts of 40 to 120 random words, each beside a copy with ``edits`` of them substituted."""
+    for _ in range(n):
+        words = [f"w{x}" for x in rng.integers(0, 5000, rng.integers(40, 120))]
+        copy = list(words)
+        for at in rng.choice(len(words), edits, replace=False):
+            copy[at] = "other"
+        yield " ".join(words), " ".join(copy)
+
+
+@pytest.mark.parametrize("block_rows", [2, 2048])
+def test_copies_are_those_of_brute_force(spark, block_rows):
+    rng = np.random.default_rng(11)
+    texts = [t for edits in (1, 1, 1, 2, 6) for pair in planted(rng, 12, edits) for t in pair]
+    chain = [f"c{x}" for x in range(100)]
+    texts += [" ".join(chain[k : k + 80]) for k in range(0, 20, 4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles_of(t) for t in texts]
+    near = [[len(a & b) / len(a | b) >= 0.8 for b in sets] for a in sets]
+    want = lowest_reachable(range(len(texts)), near)
+    found = {r.doc_id: r.component_id for r in simhash.copy_components(docs, block_rows=block_rows).collect()}
+    assert [found[i] for i in range(len(texts))] == want
+    assert 20 < sum(i != label for i, label in enumerate(want)) < len(texts) / 2
+    # most of these are further apart than the two bits of operator 10
+    prints = np.array([plain_fingerprint(t) for t in texts], dtype=np.uint64)
+    assert sum(int(prints[i] ^ prints[i + 1]).bit_count() > 2 for i in range(0, 120, 2) if near[i][i + 1]) > 10
