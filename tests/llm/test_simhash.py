@@ -118,3 +118,25 @@ def test_copies_are_those_of_brute_force(spark, block_rows):
     # most of these are further apart than the two bits of operator 10
     prints = np.array([plain_fingerprint(t) for t in texts], dtype=np.uint64)
     assert sum(int(prints[i] ^ prints[i + 1]).bit_count() > 2 for i in range(0, 120, 2) if near[i][i + 1]) > 10
+
+
+def test_a_repeated_line_does_not_make_copies(spark):
+    rng = np.random.default_rng(12)
+    line = " ".join(f"line{k}" for k in range(11))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 200)) + (" " + line) * 100 for _ in range(6)]
+    prints = [plain_fingerprint(t) for t in texts]
+    assert all((prints[0] ^ p).bit_count() <= 2 for p in prints)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert simhash.keep_one(docs).count() == len(texts)
+
+
+def test_sets_that_share_too_little_are_not_linked():
+    import pandas as pd
+
+    base = np.arange(100)
+    sets = [base, base[:80], base[:79], np.arange(1000, 1100)]
+    frame = pd.DataFrame({"bucket": 1, "block_i": 0, "block_j": 0, "side": 0, "key": [5, 6, 7, 8], "hashes": sets})
+    a, b = simhash._resembling(frame, 0.8)
+    assert sorted(zip(a.tolist(), b.tolist())) == [(5, 6), (6, 7)]
+    a, b = simhash._resembling(frame.drop(1), 0.8)
+    assert len(a) == len(b) == 0
