@@ -9,7 +9,7 @@ an endpoint beside both. Only built-in functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propense.llm.common import stored
@@ -78,26 +78,34 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """The weak parts that have all the complementary parts they need within ``reach``, with their number.
 
-    Parts are dealt to intervals of ``reach`` characters and a weak part meets the parts of its own and the
-    two next to it. Spans of a kind do not overlap, so an interval holds few of them, whatever the text.
+    Measured between the nearer edges. These are dealt to intervals of ``reach`` characters: a weak part
+    meets the starts of parts about its end and the ends of parts about its start, each in the edge's own
+    interval and the two next to it. Spans of a kind do not overlap, so an interval holds few edges,
+    whatever the text, and a pair meets once, however long its parts are.
     """
     roles = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
     parts = parts.where(F.col("kind").isNotNull()).withColumn("role", roles[F.col("kind")])
-    cell = F.floor(F.col("start") / reach)
+
+    def edges(at: str, after: bool, around: int) -> Column:
+        cell = F.floor(F.col(at) / reach)
+        return F.transform(
+            F.sequence(cell - around, cell + around), lambda c: F.struct(c.alias("cell"), F.lit(after).alias("after"))
+        )
+
     others = parts.where("role <> 'endpoint'").select(
-        *ROW, "scope", cell.alias("cell"), F.col("role").alias("other_role"), F.col("start").alias("other_start"),
-        F.col("end").alias("other_end"),
+        *ROW, "scope", F.col("role").alias("other_role"), F.col("start").alias("other_start"),
+        F.col("end").alias("other_end"), F.inline(F.concat(edges("start", True, 0), edges("end", False, 0))),
     )
-    weak = parts.where(F.col("kind").isin(WEAK)).withColumn("cell", F.explode(F.sequence(cell - 1, cell + 1)))
-    # a long neighbour is near if its nearer edge is; it is found by its start
-    near = (F.col("other_start") - F.col("start") <= reach) & (F.col("start") - F.col("other_start") <= reach)
-    apart = (F.col("other_end") <= F.col("start")) | (F.col("end") <= F.col("other_start"))
+    weak = parts.where(F.col("kind").isin(WEAK)).select(
+        "*", F.inline(F.concat(edges("end", True, 1), edges("start", False, 1)))
+    )
+    gap = F.when(F.col("after"), F.col("other_start") - F.col("end")).otherwise(F.col("start") - F.col("other_end"))
     pairs = weak.withColumn("_doc", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).join(
         others.withColumn("_doc", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).drop("doc_id"),
-        ["_doc", "_text", "scope", "cell"],
+        ["_doc", "_text", "scope", "cell", "after"],
     )
     met = (
-        pairs.where(near & apart)
+        pairs.where(gap.between(0, reach))
         .groupBy(*ROW, "kind", "start", "end", "value")
         .agg(
             F.count_if(F.col("other_role") == "identifier").alias("identifier"),
