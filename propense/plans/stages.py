@@ -62,7 +62,7 @@ def profile(store: TableStore, layer: str = "silver", table: str = "train") -> N
     columns = profiling.category_columns(df)
     if columns:
         name = f"{layer}_{table}_categorical_profile"
-        categorical = profiling.categorical_profile(df, columns, profile=name, **where)
+        categorical = profiling.categorical_profile(df, columns, profile=name, with_map=False, **where)
         store.replace(categorical, "profile", "categorical_profiling_results")
         store.replace(profiling.category_distribution(df, columns), "profile", "category_distribution")
 

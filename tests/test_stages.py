@@ -66,3 +66,14 @@ def test_programme(spark, roles, tmp_path):
     mix, totals = stages.decide(store, products, threshold=0.3)
     assert sum(r["count"] for r in mix.collect()) == roles.holdout.count()
     assert totals.first()["min_expected_revenue"] >= 0
+
+
+def test_profiles_hold_no_distribution_in_a_cell(spark, tmp_path):
+    """A column of keys has as many categories as rows: they are rows of the long table alone."""
+    store = TableStore(spark, str(tmp_path))
+    keys = spark.range(3000).selectExpr("id AS client", "concat('k', id) AS name")
+    store.replace(keys, "silver", "train")
+    stages.profile(store)
+    summary = store.read("profile", "categorical_profiling_results")
+    assert "category_distribution" not in summary.columns and summary.first()["unique_values_count"] == 3000
+    assert store.read("profile", "category_distribution").where("count = 1").count() == 3000
