@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propense.llm import chat, decontaminate, language, mixing, pii, pstable, secrets, simhash, substrings, urls
+from propense.llm import (
+    chat,
+    decontaminate,
+    language,
+    lines,
+    manifest,
+    mixing,
+    oracles,
+    pii,
+    pstable,
+    secrets,
+    simhash,
+    substrings,
+    urls,
+    whitening,
+)
 from propense.llm.common import table
 
 
@@ -73,6 +88,25 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some documents are tampered with: their texts are in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    some = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = {"text": F.translate("text", lines.UPPER, lines.LOWER)}
+    return manifest.versions(docs, tampered=some, changes=lowered).drop("source", "copied")
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_repeated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that no long can hold is null here; the operator has it as a decimal."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -84,6 +118,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_verdicts": op8_url_verdicts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_merkle_manifest": oracles.merkle_manifest(),
+    "op12_line_dedup": oracles.LINE_DEDUP,
+}
