@@ -32,7 +32,7 @@ PATTERNS = [
     Pattern("phone", r"\+[0-9][\x20().0-9-]+[0-9]", needs="+"),
     Pattern(
         "email_spelt",
-        r"(?<![\w.+-])[\w.+-]{1,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[\w-]{1,63}(?:\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?[\w-]{1,63})+",
+        r"(?<![\w.+-])[\w.+-]{1,64}\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[\w-]{1,63}(?:\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?[\w-]{1,63})++",
     ),
     Pattern("phone_local", r"(?<![0-9+])(?<![0-9][\x20.-])\(?0?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![\x20.-]?[0-9])"),
     Pattern("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from propense.llm import pii, queries, secrets
+from propense.llm import pii, queries, secrets, spans
 
 HARD = [
     "a@b.c_d@e.f x@y", "1.2.3.4.5.6.7.8 300.1.1.1 1.2.3 001.002.003.004", "secret: token: abcdefghijklmnop",
@@ -98,6 +98,31 @@ def test_query(spark, sf_dir, name, module):
     check(module, queries.QUERIES[name](spark, sf_dir).collect(), docs)
 
 
+#: (what comes before, the inner part of a pattern that repeats, what comes after)
+LOOPS = [
+    ("joe (at) mail", " (dot) c", ""), ("joe (at) ", "m", " (dot) c"), ("", "a.", "@b.c"), ("a@b", ".c", ""), ("a@", "b-", ".c"),
+    ("1", ".1", ""), ("1.2.3", "4", ""), ("4", " 1", ""), ("4", "-1", ""), ("+1", " (2)", "3"), ("+1", "2", ""), ("+", "1 +", "2"),
+    ("", "555-1234 ", ""), ("(0", "12) 555 ", "1234"), ("", "123-45-6789", ""), ("DE12", " ABCD", ""), ("", "DE12ABCD", ""),
+    ("", "1.1.1990", ""), ("", "1990-01-01 ", ""), ("Dr. M", "a", ""), ("", "Dr. Ma Lo ", ""), ("Mr A", "é", " Bo"),
+    ("token", " ", "= abcdefghijkl"), ("token = ", "a", ""), ("", "token=", "abcdefghijkl"), ("", "token = abcdefghijkl ", ""),
+    ("AKIA", "A", ""), ("", "AKIA", ""), ("", "0a", ""), ("user = ", "bo", ""), ("", "user=", "bob"), ("", "Ab1+/", ""),
+    ("a://", "b", ""), ("", "ab+", "://c"), ("", "a://b", ""), ("", "a://b ", ""), ("", "\n \n", ""), ("\n", "\t", "\n"),
+]
+
+
+@pytest.mark.parametrize("module", [pii, secrets])
+def test_very_long_repeats(spark, module):
+    """100,000 repeats of what a pattern repeats: found as ever, and nothing recurses with them."""
+    texts = [before + part * 100_000 + after for before, part, after in LOOPS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    # the looser patterns on the same texts
+    found = spans.find(docs, module.PATTERNS).groupBy("doc_id").agg({"end": "max"}).collect()
+    assert len(found) == len(texts)
+    if module is pii:
+        spelt = spans.find(docs.where("doc_id = 0"), module.PATTERNS).where("kind = 'email_spelt'").collect()
+        assert [(r.start, r.end) for r in spelt] == [(0, len(texts[0]))]
+
+
 def test_null_ids_and_repeats(spark):
     docs = spark.createDataFrame([(None, "x@y.org"), (None, "x@y.org"), (None, None), (4, "x@y.org"), (4, "none")], "doc_id long, text string")
     rows = pii.digest(docs).collect()
@@ -162,8 +187,8 @@ def test_brute_force_links(spark):
         near = {
             secrets.ROLES[o.kind]
             for o in rows
-            if (o.doc_id, o.scope) == (w.doc_id, w.scope) and o.kind != "endpoint" and abs(o.start - w.start) <= secrets.REACH
-            and (o.end <= w.start or w.end <= o.start)
+            if (o.doc_id, o.scope) == (w.doc_id, w.scope) and o.kind != "endpoint"
+            and 0 <= max(o.start - w.end, w.start - o.end) <= secrets.REACH
         }
         if set(secrets.NEEDS[w.kind]) <= near:
             want.add((w.doc_id, w.kind, w.start, w.end))
