@@ -1,22 +1,33 @@
-"""Bias-corrected skewness and kurtosis, as sample statistics."""
+"""Bias-corrected skewness and kurtosis, as sample statistics.
+
+``facts`` has the count ``n``, the ends ``lo`` and ``hi`` and the sums ``m2``, ``m3`` and ``m4`` of powers of
+deviations from the mean, or is empty.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+import numpy as np
+
 
+def _number(value: np.float64) -> float | None:
+    return float(value) if np.isfinite(value) else None
 
-def sample_skewness(n: Column, m2: Column, m3: Column, varies: Column) -> Column:
-    """``m2``, ``m3``: sums of the 2nd and 3rd power of deviations from the mean.
 
-    NULL for fewer than three values and where nothing ``varies``.
-    """
-    g1 = F.try_divide(F.sqrt(n) * m3, F.pow(m2, F.lit(1.5)))
-    return F.when((n > 2) & varies, F.try_divide(F.sqrt(n * (n - 1.0)), n - 2.0) * g1)
+def sample_skewness(facts: Mapping) -> float | None:
+    """None for fewer than three values and where nothing varies."""
+    if not facts or facts["n"] < 3 or facts["lo"] == facts["hi"]:
+        return None
+    n, m2, m3 = (np.float64(facts[c]) for c in ("n", "m2", "m3"))
+    with np.errstate(all="ignore"):
+        return _number(np.sqrt(n * (n - 1)) / (n - 2) * np.sqrt(n) * m3 / m2**1.5)
 
 
-def sample_kurtosis(n: Column, m2: Column, m4: Column, varies: Column) -> Column:
-    """Excess kurtosis; ``m4`` is the sum of the 4th power of deviations."""
-    g2 = F.try_divide(n * m4, m2 * m2) - 3.0
-    factor = F.try_divide(n - 1.0, (n - 2.0) * (n - 3.0))
-    return F.when((n > 3) & varies, factor * ((n + 1.0) * g2 + 6.0))
+def sample_kurtosis(facts: Mapping) -> float | None:
+    """Excess kurtosis; None for fewer than four values and where nothing varies."""
+    if not facts or facts["n"] < 4 or facts["lo"] == facts["hi"]:
+        return None
+    n, m2, m4 = (np.float64(facts[c]) for c in ("n", "m2", "m4"))
+    with np.errstate(all="ignore"):
+        return _number((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (n * m4 / m2**2 - 3) + 6))

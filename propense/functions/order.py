@@ -1,55 +1,14 @@
-"""Exact ranks and order statistics without sorting a whole group in one task.
-
-Values are first counted into slots by a monotone function of the value. Only the slot totals are
-accumulated, and only the rows inside one slot are ever put in order.
-"""
+"""Seeded ranks without sorting a whole group in one task: only rows of one slot are put in order."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
-
-LARGEST = sys.float_info.max
-SLOTS = 1 << 14
-# A piece of a column is ordered by one task only once it has no more distinct values than this.
-MAX_ORDERED = 1 << 20
-
-
-def slot_of(value: Column, lo: Column, hi: Column, slots: int = SLOTS) -> Column:
-    """Equal-width slot of ``value`` in [lo, hi]; never decreases as ``value`` grows.
-
-    Infinite values have the first and the last slot to themselves; an infinite bound counts as the
-    largest finite one.
-    """
-    finite = lambda c: F.greatest(F.least(c.cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
-    share = F.try_divide(finite(value) / 2.0 - finite(lo) / 2.0, finite(hi) / 2.0 - finite(lo) / 2.0)
-    inner = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * (slots - 2)), F.lit(slots - 3)) + 1
-    slot = F.when(value == float("-inf"), 0).when(value == float("inf"), slots - 1).otherwise(inner)
-    return slot.cast("int")
-
-
-def log_scale(value: Column) -> Column:
-    """Monotone squeeze of long tails, so that equal-width slots stay even; infinite values stay so."""
-    return F.signum(value) * F.log1p(F.abs(value))
-
-
-def logit_slot(probability: Column, per_unit: int = 256) -> Column:
-    """Slot of a probability, finer near 0 and 1; at most 1,600 x ``per_unit`` slots, never decreasing.
-
-    Values outside (0, 1) share the first and the last slot.
-    """
-    odds = F.ln(probability) - F.ln(1.0 - probability)
-    bounded = (
-        F.when(probability <= 0, F.lit(-800.0)).when(probability >= 1, F.lit(800.0)).otherwise(odds)
-    )
-    return F.floor(bounded * per_unit).cast("int")
-
+from propense.session import written
 
 def small_table(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> DataFrame:
     """A handful of numbers held by the driver, as a local relation. ``columns``: "a int, b double"."""
@@ -64,128 +23,19 @@ def small_table(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> Dat
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(name for name, _ in types)})")
 
 
-@dataclass
-class _Piece:
-    """A range of one group's values that holds wanted ranks; ``base`` weights lie below it."""
-
-    group: int
-    lo: float
-    hi: float
-    base: int
-    ranks: list[int]
-    size: int | None = None  # distinct values, once counted
-
-
-def values_at_ranks(
-    freq: DataFrame, by: str, wanted: Mapping[int, Iterable[int]], bounds: Mapping[int, tuple[float, float]]
-) -> dict[tuple[int, int], float]:
-    """The value at each wanted 0-based rank of each group.
-
-    ``freq`` has one row (by, value, weight) per distinct value; ``by`` is a small integer with a fixed
-    few groups. Each round cuts the pieces that hold a wanted rank into SLOTS parts and keeps the part
-    with the rank, until a piece is one value or has few enough values to be ordered. Only that
-    handful of pieces travels through the driver; ``freq`` itself is never sorted or moved.
-    """
-    spark = freq.sparkSession
-    pieces = [_Piece(g, *bounds[g], 0, sorted(set(r))) for g, r in wanted.items()]
-    found: dict[tuple[int, int], float] = {}
-    first = True
-    while True:
-        for p in (p for p in pieces if p.lo == p.hi):
-            found.update({(p.group, r): p.lo for r in p.ranks})
-        pieces = [p for p in pieces if p.lo != p.hi]
-        if not pieces:
-            return found
-        if all(p.size is not None and p.size <= MAX_ORDERED for p in pieces):
-            found.update(_ordered(spark, freq, by, pieces))
-            return found
-        pieces = _narrowed(spark, freq, by, pieces, log=first)
-        first = False
-
-
-def _inside(spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece]) -> DataFrame:
-    ranges = small_table(
-        spark,
-        f"piece int, {by} int, lo double, hi double",
-        [(i, p.group, p.lo, p.hi) for i, p in enumerate(pieces)],
-    )
-    # A dozen ranges per group at most.
-    return freq.join(F.broadcast(ranges), by).where(F.col("value").between(F.col("lo"), F.col("hi")))
-
-
-def _targets(spark: SparkSession, pieces: list[_Piece]) -> DataFrame:
-    rows = [(i, r, r - p.base) for i, p in enumerate(pieces) for r in p.ranks]
-    return F.broadcast(small_table(spark, "piece int, rank bigint, place bigint", rows))
-
-
-def _narrowed(
-    spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece], log: bool
-) -> list[_Piece]:
-    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    if log:
-        least, most = (log_scale(F.greatest(F.least(c, F.lit(LARGEST)), F.lit(-LARGEST))) for c in (lo, hi))
-        slot = slot_of(log_scale(value), least, most)
-    else:
-        slot = slot_of(value, lo, hi)
-    counts = (
-        _inside(spark, freq, by, pieces)
-        .withColumn("slot", slot)
-        .groupBy("piece", "slot")
-        .agg(
-            F.sum("weight").alias("n"),
-            F.count(F.lit(1)).alias("size"),
-            F.min("value").alias("lo"),
-            F.max("value").alias("hi"),
-        )
-    )
-    # At most SLOTS rows per piece are accumulated here.
-    end = F.sum("n").over(Window.partitionBy("piece").orderBy("slot"))
-    hits = (
-        counts.withColumn("end", end)
-        .withColumn("start", F.col("end") - F.col("n"))
-        .join(_targets(spark, pieces), "piece")
-        .where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("end")))
-        .select("piece", "slot", "rank", "lo", "hi", "start", "size")
-    )
-    parts: dict[tuple[int, int], _Piece] = {}
-    for hit in hits.collect():
-        parent = pieces[hit["piece"]]
-        part = parts.setdefault(
-            (hit["piece"], hit["slot"]),
-            _Piece(parent.group, hit["lo"], hit["hi"], parent.base + hit["start"], [], hit["size"]),
-        )
-        if (part.lo, part.hi) == (parent.lo, parent.hi):
-            part.size = 0  # numbers too close to be told apart by slots: put them in order as they are
-        part.ranks.append(hit["rank"])
-    return list(parts.values())
-
-
-def _ordered(
-    spark: SparkSession, freq: DataFrame, by: str, pieces: list[_Piece]
-) -> dict[tuple[int, int], float]:
-    rows = _inside(spark, freq, by, pieces).select("piece", "value", "weight")
-    end = F.sum("weight").over(Window.partitionBy("piece").orderBy("value"))
-    hits = (
-        rows.withColumn("end", end)
-        .join(_targets(spark, pieces), "piece")
-        .where((F.col("place") < F.col("end")) & (F.col("place") >= F.col("end") - F.col("weight")))
-        .select("piece", "rank", "value")
-    )
-    return {(pieces[h["piece"]].group, h["rank"]): h["value"] for h in hits.collect()}
-
-
 def rank_by_hash(df: DataFrame, key: str, seed: int, strata: str | None = None) -> DataFrame:
     """Adds ``shuffled_rank``, each row's 0-based place in a seeded shuffle within its stratum, and
     ``stratum_size``.
 
     ``key`` must be unique. Hash prefixes serve as slots, and a hash fills them evenly, so each task
-    orders about 1/SLOTS of the rows, also where one stratum has most of them. A NULL stratum is one of
-    its own. The table of slot totals has at most SLOTS rows per stratum; Spark chooses how to join it.
+    orders about 1/16,384 of the rows, also where one stratum has most of them. A NULL stratum is one of
+    its own. ``df`` is read once, into a table of the shared folder; the slots are counted on that. The table
+    of slot totals has at most 16,384 rows per stratum; Spark chooses how to join it.
     """
     group = [ident(strata).alias("_stratum")] if strata else []
     names = ["_stratum"] if strata else []
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), ident(key)))
-    hashed = hashed.withColumn("_slot", F.shiftright("_hash", 50).cast("int"))
+    hashed = written(hashed.withColumn("_slot", F.shiftright("_hash", 50).cast("int")), "ranked")
     totals = hashed.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     within = Window.partitionBy(*names)
     totals = totals.select(

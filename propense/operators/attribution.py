@@ -9,6 +9,7 @@ leaf, ``a`` must come from x and ``b`` from z, and the leaf's value is shared ou
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -19,8 +20,9 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
@@ -75,6 +77,14 @@ def leaves_of(ensemble) -> list[Leaf]:
     return out
 
 
+def leaf_values(ensemble) -> list[list[float]]:
+    """Values of each tree's leaves, in the order in which the learner numbers them, times the tree's weight."""
+    return [
+        [float(value) * weight for value in _LEAF.findall(tree.toDebugString)]
+        for tree, weight in zip(ensemble.trees, ensemble.treeWeights)
+    ]
+
+
 def _leaf(value: float, path: Sequence[tuple[int, float, float]]) -> Leaf:
     bounds: dict[int, tuple[float, float]] = {}
     for j, low, high in path:
@@ -190,6 +200,23 @@ def stack_margin(stacks: Sequence[Stack], constant: float, rows: np.ndarray) ->
     return out
 
 
+def _used(leaves: Sequence[Leaf]) -> tuple[list[int], list[Leaf]]:
+    """The features that any leaf asks for, and the leaves over places among those.
+
+    There are at most as many as the trees have splits, however wide the vectors are.
+    """
+    used = sorted({int(j) for leaf in leaves for j in leaf.features}) or [0]
+    place = {j: k for k, j in enumerate(used)}
+    return used, [
+        Leaf(leaf.value, np.array([place[int(j)] for j in leaf.features], dtype=int), leaf.low, leaf.high) for leaf in leaves
+    ]
+
+
+def _listed(values: Sequence, kind: str) -> Column:
+    """An array that is one literal, not an expression per element."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
+
+
 def attribute(
     model: PipelineModel,
     train: DataFrame,
@@ -199,21 +226,26 @@ def attribute(
     sample_size: int | None = SAMPLE_SIZE,
     background_size: int = BACKGROUND_SIZE,
     seed: int = 42,
+    zeros: bool = True,
 ) -> DataFrame:
     """(instance, feature, value, contribution), one row per row and feature, with base and margin.
 
     Explains ``sample_size`` rows, or all for None, against at most ``background_size`` of ``train``.
     Leaves and background are of a bounded size and go to every task; the rows stay where they are.
+    Vectors are cut down to the features that leaves use before they are worked on, so a predictor with very
+    many categories costs no more than one with few. All others contribute 0: they are rows of the result as
+    well, made at the end without Python, unless ``zeros`` is off.
     """
     vectorise = PipelineModel(model.stages[:-1])
-    as_arrays = lambda df: vectorise.transform(df).select(
-        ident(key).alias("instance_id"), vector_to_array("features").alias("x")
+    used, leaves = _used(leaves_of(model.stages[-1]))
+    cut = VectorSlicer(inputCol="features", outputCol="_used", indices=used)
+    as_arrays = lambda df: cut.transform(vectorise.transform(df)).select(
+        ident(key).alias("instance_id"), "features", vector_to_array("_used").alias("x")
     )
-    picked = as_arrays(prep.sample_rows(train, key, background_size, seed)).collect()
+    picked = as_arrays(prep.sample_rows(train, key, background_size, seed)).select("x").collect()
     if not picked:
         raise ValueError("no background rows")
     background = np.array([r["x"] for r in picked])
-    leaves = leaves_of(model.stages[-1])
     base = float(margin(leaves, background).mean())
     # One copy per executor; plain arrays, so workers need no copy of this package to read them.
     sent = rows.sparkSession.sparkContext.broadcast(
@@ -228,34 +260,33 @@ def attribute(
         spread = min(rows.sparkSession.sparkContext.defaultParallelism, max(sample_size // 32, 1))
         rows = prep.sample_rows(rows, key, sample_size, seed).repartition(spread, ident(key))
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explain(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         arrays, constant, background = sent.value
         stacks = [Stack(*a) for a in arrays]
         for batch in batches:
-            if len(batch):
-                x = np.stack(batch["x"].to_numpy())
-                pieces = [x[i : i + CHUNK] for i in range(0, len(x), CHUNK)]
-                parts = [contributions(stacks, background, piece) for piece in pieces]
-                margins = [stack_margin(stacks, constant, piece) for piece in pieces]
-                yield pd.DataFrame(
-                    {
-                        "instance_id": batch["instance_id"],
-                        "x": batch["x"],
-                        "phi": list(np.concatenate(parts)),
-                        "margin": np.concatenate(margins),
-                    }
-                )
-
-    arrays = as_arrays(rows)
-    id_type = arrays.schema["instance_id"].dataType.simpleString()
-    explained = arrays.mapInPandas(
-        explain, f"instance_id {id_type}, x array<double>, phi array<double>, margin double"
-    )
-    names = F.array(*[F.lit(n) for n in prep.feature_names(model)])
-    zipped = F.arrays_zip(names.alias("feature_name"), "x", "phi")
-    return explained.select("instance_id", "margin", F.inline(zipped)).select(
+            phi, margins = [], []
+            for k in range(0, len(batch), CHUNK):
+                x = np.stack(batch.iloc[k : k + CHUNK].to_numpy())
+                phi += list(contributions(stacks, background, x))
+                margins += list(stack_margin(stacks, constant, x))
+            yield pd.DataFrame({"phi": phi, "margin": margins})
+
+    # annotations that are text cannot be resolved in a task's copy of the function
+    explain.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    explained = F.pandas_udf(explain, "phi array<double>, margin double")
+    found = as_arrays(rows).withColumn("e", explained("x"))
+    names = prep.feature_names(model)
+    if zeros:
+        place = np.full(len(names), -1)
+        place[used] = np.arange(len(used))
+        phi = F.transform(_listed(place.tolist(), "int"), lambda k: F.when(k < 0, 0.0).otherwise(F.get("e.phi", k)))
+        zipped = F.arrays_zip(_listed(names, "string").alias("name"), vector_to_array("features").alias("x"), phi.alias("phi"))
+    else:
+        some = _listed([names[j] for j in used], "string")
+        zipped = F.arrays_zip(some.alias("name"), F.col("x"), F.col("e.phi").alias("phi"))
+    return found.select("instance_id", F.col("e.margin").alias("margin"), F.inline(zipped).alias("name", "x", "phi")).select(
         "instance_id",
-        "feature_name",
+        F.col("name").alias("feature_name"),
         F.col("x").alias("feature_value"),
         F.col("phi").alias("contribution"),
         F.lit(base).alias("base_value"),

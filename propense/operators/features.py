@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from propense.functions.casting import NUMBER_PATTERN
 from propense.functions.columns import TEXTUAL, ident, require_columns, resolve
 from propense.functions.order import rank_by_hash
-from propense.session import cut_lineage
+from propense.session import written
 
 # What a missing predictor becomes.
 MISSING_TEXT = "Unknown"
@@ -243,10 +243,15 @@ def split(
     df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42, strata: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; the ranking is done once and stored for both."""
-    sides = cut_lineage(with_side(df, key, test_share, seed, strata))
+    sides = written(with_side(df, key, test_share, seed, strata), "split")
     return tuple(sides.where(F.col("side") == s).drop("side") for s in ("train", "test"))
 
 
+def fold_of(ranked: DataFrame, k: int) -> DataFrame:
+    """Adds ``fold`` to ranked rows, dealt out in turn; one ranking serves any number of folds."""
+    return ranked.withColumn("fold", F.pmod(F.col("shuffled_rank"), F.lit(k)).cast("int"))
+
+
 def with_folds(
     df: DataFrame, key: str, k: int, seed: int = 42, strata: str | None = None, exact: bool = False
 ) -> DataFrame:
@@ -256,9 +261,7 @@ def with_folds(
     ``exact`` deals the rows of each stratum out in turn, for one shuffle.
     """
     if exact:
-        ranked = rank_by_hash(df, key, seed, strata)
-        fold = F.pmod(F.col("shuffled_rank"), F.lit(k)).cast("int")
-        return ranked.withColumn("fold", fold).drop("shuffled_rank", "stratum_size")
+        return fold_of(rank_by_hash(df, key, seed, strata), k).drop("shuffled_rank", "stratum_size")
     return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), ident(key)), F.lit(k)).cast("int"))
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident
-from propense.functions.order import logit_slot, slot_of
 
-# Parts a slot of scores is cut into.
-PIECES = 1024
+
+# The helpers below travel to the tasks with the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _ratio(top, bottom):
@@ -22,10 +25,7 @@ def _ratio(top, bottom):
 
 
 def _score_counts(scored: DataFrame, label: str, probability: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score: a hot score is one row from here on.
-
-    Scores are probabilities. Others are ranked right as well, but those outside (0, 1) share two slots.
-    """
+    """Positives and negatives per distinct score: a hot score is one row from here on."""
     score = ident(probability).cast("double")
     known = scored.where(score.isNotNull() & ident(label).isNotNull())
     return known.groupBy(*by, score.alias("score")).agg(
@@ -33,38 +33,65 @@ def _score_counts(scored: DataFrame, label: str, probability: str, by: Sequence[
     )
 
 
-def _slot_totals(counts: DataFrame, by: Sequence[str], cutoff: float) -> DataFrame:
-    """Class counts per slot of scores, counts of either class above the cutoff, and the number of
-    (positive, negative) pairs ranked right, ties counted half.
+def _run_starts(by: pa.RecordBatch) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    ends = [np.zeros(0, np.int64)]
+    for column in by.columns:
+        ends.append(np.asarray(pc.run_end_encode(column, run_end_type=pa.int64()).run_ends)[:-1])
+    return np.unique(np.concatenate([np.zeros(1, np.int64), *ends]))
+
+
+COUNTS = ("pos", "neg", "pos_above", "neg_above")
 
-    A slot is cut into pieces between the lowest and highest score found in it, so that scores crowded
-    into one slot still spread over many tasks. The negatives below a score are those of lower slots,
-    of lower pieces of its slot, and those below it in its piece: only the scores of one piece, the
-    pieces of one slot and the slots are ever accumulated.
+
+def _run_totals(counts: DataFrame, by: Sequence[str], cutoff: float) -> DataFrame:
+    """Class counts, counts of either class above the cutoff, and the number of (positive, negative) pairs
+    ranked right, ties counted half, of the scores of each group that lie in one task.
+
+    Scores are dealt out by ranges, so that they spread over all tasks however crowded they are, and only
+    the sums of a task leave it. What the negatives of lower ranges add is made up for from those sums.
     """
-    score = F.col("score")
-    slotted = counts.withColumn("slot", logit_slot(score))
-    # A bounded number of slots per group of ``by``; Spark chooses how to join them.
-    ranges = slotted.groupBy(*by, "slot").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-    ranges = ranges.withColumnsRenamed({c: f"_{c}" for c in (*by, "slot")})
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "slot")])
-    pieces = slotted.join(ranges, same).withColumn(
-        "piece", slot_of(score, F.col("lo"), F.col("hi"), PIECES)
-    )
-    above = score > cutoff
-    inside = Window.partitionBy(*by, "slot", "piece").orderBy("score")
-    levels = (
-        pieces.withColumn("pos_above", F.when(above, F.col("pos")).otherwise(0))
-        .withColumn("neg_above", F.when(above, F.col("neg")).otherwise(0))
-        .withColumn("right", F.col("pos") * (F.sum("neg").over(inside) - F.col("neg") / 2.0))
-    )
-    for group, order in (([*by, "slot"], "piece"), ([*by], "slot")):
-        levels = levels.groupBy(*group, order).agg(
-            *[F.sum(c).alias(c) for c in ("pos", "neg", "pos_above", "neg_above", "right")]
-        )
-        lower = F.sum("neg").over(Window.partitionBy(*group).orderBy(order)) - F.col("neg")
-        levels = levels.withColumn("right", F.col("right") + F.col("pos") * lower)
-    return levels
+    by = list(by)
+    dealt = counts.repartitionByRange(*by, "score").sortWithinPartitions(*by, "score")
+    dealt = dealt.withColumn("part", F.spark_partition_id())
+    types = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in [*by, "part"])
+
+    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, open_sums = None, None
+
+        def closed() -> pa.RecordBatch:
+            columns = [*open_key.columns, *(pa.array([x], kind) for x, kind in zip(open_sums, [pa.int64()] * 4 + [pa.float64()]))]
+            return pa.RecordBatch.from_arrays(columns, names=[*by, "part", *COUNTS, "right"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.select([*by, "part"])
+            starts = _run_starts(batch.select(by)) if by else np.zeros(1, np.int64)
+            score, pos, neg = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("score", "pos", "neg"))
+            below = np.cumsum(neg) - neg
+            lengths = np.diff(np.append(starts, len(neg)))
+            below = below - np.repeat(below[starts], lengths)
+            right = pos * (below + neg / 2.0)
+            above = score > cutoff
+            sums = [np.add.reduceat(x, starts) for x in (pos, neg, pos * above, neg * above, right)]
+            for k, start in enumerate(starts.tolist()):
+                key, mine = keys.slice(start, 1), [x[k].item() for x in sums]
+                if open_key is not None and open_key.equals(key):
+                    # the run goes on from the batch before
+                    mine[4] += mine[0] * open_sums[1]
+                    open_sums = [a + b for a, b in zip(open_sums, mine)]
+                    continue
+                if open_key is not None:
+                    yield closed()
+                open_key, open_sums = key, mine
+        if open_key is not None:
+            yield closed()
+
+    parts = dealt.mapInArrow(sum_up, f"{types}, {', '.join(f'{c} long' for c in COUNTS)}, right double")
+    # a row per task and group
+    lower = F.sum("neg").over(Window.partitionBy(*by).orderBy("part")) - F.col("neg")
+    return parts.withColumn("right", F.col("right") + F.col("pos") * lower)
 
 
 def _auc():
@@ -74,17 +101,17 @@ def _auc():
 
 def roc_auc(scored: DataFrame, label: str, probability: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve: the share of (positive, negative) pairs ranked right."""
-    slots = _slot_totals(_score_counts(scored, label, probability, by), by, 0.5)
-    return slots.groupBy(*by).agg(_auc())
+    runs = _run_totals(_score_counts(scored, label, probability, by), by, 0.5)
+    return runs.groupBy(*by).agg(_auc())
 
 
 def classification_metrics(
     scored: DataFrame, label: str, probability: str, by: Sequence[str] = (), cutoff: float = 0.5
 ) -> DataFrame:
     """Confusion matrix and what follows from it, plus the area under the ROC curve, in one pass."""
-    slots = _slot_totals(_score_counts(scored, label, probability, by), by, cutoff)
+    runs = _run_totals(_score_counts(scored, label, probability, by), by, cutoff)
     count = lambda name: F.coalesce(F.sum(name), F.lit(0))
-    matrix = slots.groupBy(*by).agg(
+    matrix = runs.groupBy(*by).agg(
         count("pos_above").alias("true_positives"),
         (count("neg") - count("neg_above")).alias("true_negatives"),
         count("neg_above").alias("false_positives"),

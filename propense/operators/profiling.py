@@ -1,8 +1,8 @@
 """Column profiles: all numeric, or all categorical, columns of a table in one go.
 
-Both profiles start from one frequency table (field, value, weight). Its only large shuffle carries
-each distinct value of a field once per task, so a value that fills the table costs one row, and
-everything else - moments, mode, percentiles, shares - is computed from it.
+The numeric profile sums up its columns in the tasks that read them; only those sums are shuffled. The
+categorical one starts from a frequency table (field, value, count), whose shuffle carries each distinct
+value of a field once per task, so a value that fills the table costs one row.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +22,9 @@ from propense.functions.columns import (
     rounded,
     text_columns,
 )
+from propense.functions.columnwise import ALL, NON_ZERO, summarise
+from propense.functions.columnwise import Column as ColumnFacts
 from propense.functions.moments import sample_kurtosis, sample_skewness
-from propense.functions.order import small_table, values_at_ranks
 
 # Statistics over all values, and again over the non-zero ones.
 ENDS = ("", "_non_zero")
@@ -57,45 +57,68 @@ def numeric_profile(
     """11 statistics per numeric column over its values, the same over its non-zero values, and how
     many those are; all exact.
 
-    Runs its jobs at once and returns one row per column. Between the jobs only a few numbers per
-    column pass through the driver: counts, bounds and means, then the ranges its percentiles are in.
+    Runs its jobs at once and returns one row per column. They read ``df`` two or three times, so a table
+    that is dear to derive is better stored before. Between the jobs only a few numbers per column pass
+    through the driver: counts, moments, candidates for the mode and the ranges its percentiles are in.
     """
     columns = list(columns or numeric_columns(df))
     require_columns(df, columns)
-    values = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    freq = values.groupBy("field_id", "value").agg(F.count(F.lit(1)).alias("weight"))
-    freq = freq.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = {r["field_id"]: r.asDict() for r in _basic_statistics(freq).collect()}
-        if stats:
-            for row in _moments(freq, stats).collect():
-                stats[row["field_id"]].update(row.asDict())
-            _add_percentiles(freq, stats)
-    finally:
-        freq.unpersist()
+    cells = df.select(*[ident(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
     rows = []
-    for i, column in enumerate(columns):
-        field = stats.get(i, {})
-        row = [profile, layer, table, column]
-        for end in ENDS:
-            get = lambda name, end=end: field.get(name + end)
+    for name, found in zip(columns, summarise(cells, _quartile_ranks)):
+        row = [profile, layer, table, name]
+        for over in (ALL, NON_ZERO):
+            facts = found.moments.get(over, {})
+            low, middle, high = _quartiles(found, over)
             row += [
-                get("min_value"),
-                get("max_value"),
-                _difference(get("max_value"), get("min_value")),
-                get("median_value"),
-                get("mean_value"),
-                get("mode"),
-                get("25_percentile_value"),
-                get("75_percentile_value"),
-                _difference(get("75_percentile_value"), get("25_percentile_value")),
-                get("skewness"),
-                get("kurtosis"),
+                facts.get("lo"),
+                facts.get("hi"),
+                _difference(facts.get("hi"), facts.get("lo")),
+                middle,
+                facts.get("mean"),
+                found.modes.get(over),
+                low,
+                high,
+                _difference(high, low),
+                sample_skewness(facts),
+                sample_kurtosis(facts),
             ]
-        rows.append((*row, field.get("n_non_zero", 0)))
+        rows.append((*row, found.n(NON_ZERO)))
     return df.sparkSession.createDataFrame(rows, _profile_schema())
 
 
+def _places(n: int, q: float) -> tuple[int, int, float]:
+    """The two ranks a percentile lies between, and how far from the first."""
+    place = (n - 1) * q
+    return math.floor(place), math.ceil(place), place - math.floor(place)
+
+
+def _rank_among_all(rank: int, found: ColumnFacts, over: int) -> int:
+    """A rank among the non-zero values as one among all: the zeros sit between negatives and positives."""
+    return rank + found.zeros if over == NON_ZERO and rank >= found.negatives else rank
+
+
+def _quartile_ranks(found: ColumnFacts) -> list[int]:
+    ranks = []
+    for over in (ALL, NON_ZERO):
+        if found.n(over):
+            for q in QUARTILES.values():
+                ranks += [_rank_among_all(r, found, over) for r in _places(found.n(over), q)[:2]]
+    return ranks
+
+
+def _quartiles(found: ColumnFacts, over: int) -> list[float | None]:
+    """Interpolated between the values at the two neighbouring ranks."""
+    if not found.n(over):
+        return [None] * len(QUARTILES)
+    out = []
+    for q in QUARTILES.values():
+        low, high, fraction = _places(found.n(over), q)
+        a, b = (found.at[_rank_among_all(r, found, over)] for r in (low, high))
+        out.append(a if a == b else a + fraction * (b - a))
+    return out
+
+
 def _profile_schema() -> T.StructType:
     # Column names of a stored profile.
     schema = T.StructType()
@@ -115,86 +138,6 @@ def _difference(high: float | None, low: float | None) -> float | None:
     return None if high is None or low is None else high - low
 
 
-def _only(end: str) -> Column:
-    return F.col("value") != 0 if end else F.lit(True)
-
-
-def _basic_statistics(freq: DataFrame) -> DataFrame:
-    count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("weight"))), F.lit(0))
-    aggregates = [
-        count(F.col("value") == 0).alias("n_zero"),
-        count(F.col("value") < 0).alias("n_negative"),
-    ]
-    for end in ENDS:
-        value = F.when(_only(end), F.col("value"))
-        weight = F.when(_only(end), F.col("weight"))
-        aggregates += [
-            count(_only(end)).alias(f"n{end}"),
-            F.min(value).alias(f"min_value{end}"),
-            F.max(value).alias(f"max_value{end}"),
-            F.try_divide(F.sum(value * weight), F.sum(weight)).alias(f"mean_value{end}"),
-            F.max(weight).alias(f"max_weight{end}"),
-        ]
-    return freq.groupBy("field_id").agg(*aggregates)
-
-
-def _moments(freq: DataFrame, stats: dict[int, dict]) -> DataFrame:
-    """What needs the first statistics: skewness and kurtosis, from sums of powers around the mean,
-    which do not cancel; and the mode, the smallest of the values with the largest weight."""
-    known = ("mean_value", "min_value", "max_value", "max_weight")
-    names = [f"{name}{end}" for end in ENDS for name in known]
-    columns = "field_id int, " + ", ".join(f"{n} double" for n in names)
-    rows = [(i, *[row[n] for n in names]) for i, row in stats.items()]
-    known = small_table(freq.sparkSession, columns, rows)
-    sums, shapes = [], []
-    for end in ENDS:
-        d = F.col("value") - F.col(f"mean_value{end}")
-        weight = F.when(_only(end), F.col("weight"))
-        powers = {2: d * d, 3: d * d * d, 4: d * d * d * d}
-        sums += [F.sum(weight * p).alias(f"m{k}{end}") for k, p in powers.items()]
-        sums += [
-            F.sum(weight).cast("double").alias(f"n{end}"),
-            F.max(F.col(f"max_value{end}") > F.col(f"min_value{end}")).alias(f"varies{end}"),
-            F.min(F.when(weight == F.col(f"max_weight{end}"), F.col("value"))).alias(f"mode{end}"),
-        ]
-        n, m2, m3, m4, varies = (F.col(f"{c}{end}") for c in ("n", "m2", "m3", "m4", "varies"))
-        shapes += [
-            sample_skewness(n, m2, m3, varies).alias(f"skewness{end}"),
-            sample_kurtosis(n, m2, m4, varies).alias(f"kurtosis{end}"),
-        ]
-    # ``known`` has one row per profiled column.
-    joined = freq.join(F.broadcast(known), "field_id")
-    return joined.groupBy("field_id").agg(*sums).select(
-        "field_id", *[f"mode{end}" for end in ENDS], *shapes
-    )
-
-
-def _add_percentiles(freq: DataFrame, stats: dict[int, dict]) -> None:
-    """Interpolate each percentile between the values at its two neighbouring ranks.
-
-    A rank among the non-zero values is turned into one among all values: the zeros sit between the
-    negative and the positive ones.
-    """
-    places: dict[tuple[int, str], tuple[int, int, float]] = {}
-    for i, row in stats.items():
-        for end in ENDS:
-            for name, q in QUARTILES.items():
-                if row[f"n{end}"]:
-                    place = (row[f"n{end}"] - 1) * q
-                    ranks = [math.floor(place), math.ceil(place)]
-                    if end:
-                        ranks = [r if r < row["n_negative"] else r + row["n_zero"] for r in ranks]
-                    places[i, name + end] = (*ranks, place - math.floor(place))
-    wanted: dict[int, set[int]] = {}
-    for (i, _), (low, high, _fraction) in places.items():
-        wanted.setdefault(i, set()).update((low, high))
-    bounds = {i: (row["min_value"], row["max_value"]) for i, row in stats.items()}
-    found = values_at_ranks(freq, "field_id", wanted, bounds)
-    for (i, name), (low, high, fraction) in places.items():
-        a, b = found[i, low], found[i, high]
-        stats[i][name] = a if a == b else a + fraction * (b - a)
-
-
 def category_columns(df: DataFrame, max_integer_values: int = MAX_INTEGER_CATEGORIES) -> list[str]:
     """Text and boolean columns, and integer columns with few distinct values.
 

@@ -1,17 +1,20 @@
-"""Declarative data checks, compiled to one aggregation per table.
+"""Declarative data checks, compiled to two aggregations per table.
 
 A spec names a field and its rules. Rules that judge a row by itself become conditional counts, and all
-of them on a table share a single scan and a single one-row aggregate; only ``unique`` must group.
+of them on a table share a single scan and a single one-row aggregate; the fields that must be ``unique``
+share another scan, as grouping sets of one aggregate.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,80 +154,140 @@ def _check_applies(df: DataFrame, spec: FieldSpec) -> None:
                 raise ValueError(f"allowed values of '{spec.field}' do not match its type")
 
 
-def _result(spec: FieldSpec, rule: Rule, total: str, passed: str) -> str:
-    """One result row as a struct."""
-    columns = {
-        "database_name": _literal(spec.database),
-        "schema_name": _literal(spec.layer),
-        "table_name": _literal(spec.table),
-        "data_field_name": _literal(spec.field),
-        "total_records": total,
-        "check_type": _literal(rule.kind),
-        "records_passed": passed,
-        "records_failed": f"{total} - {passed}",
-        "check_name": _literal(f"{spec.name}_{rule.suffix}"),
-    }
-    return f"struct({', '.join(f'{value} AS {name}' for name, value in columns.items())})"
+RESULT = (
+    "database_name string, schema_name string, table_name string, data_field_name string, total_records long, "
+    "check_type string, records_passed long, records_failed long, check_name string"
+)
+# Sets of one grouping are told apart by the bits of a long.
+GROUPED_AT_ONCE = 32
+
+
+def _row_counts(df: DataFrame, checks: Sequence[tuple[FieldSpec, Rule]]) -> list[tuple[int, int]]:
+    """(rows, rows that pass) of each rule: one scan and a one-row aggregate for all of them."""
+    counts = ["count(1) AS total"]
+    for i, (spec, rule) in enumerate(checks):
+        passes = ROW_RULES[rule.kind](_name(spec.field), resolve(df, spec.field).dataType, rule.argument)
+        counts.append(f"count_if({passes}) AS passed_{i}")
+    row = df.selectExpr(*counts).first()
+    return [(row["total"], row[i + 1]) for i in range(len(checks))]
+
+
+def _unique_counts(df: DataFrame, checks: Sequence[tuple[FieldSpec, Rule]]) -> list[tuple[int, int]]:
+    """(rows, values that occur exactly once) of each field; NULL is one value.
+
+    All fields of a table are grouping sets of one aggregate: one scan and one exchange, to which a value
+    that fills a third of the table is one row per task.
+    """
+    fields = list(dict.fromkeys(resolve(df, spec.field).name for spec, _ in checks))
+    found: dict[str, tuple[int, int]] = {}
+    for k in range(0, len(fields), GROUPED_AT_ONCE):
+        some = fields[k : k + GROUPED_AT_ONCE]
+        names = [f"_{i}" for i in range(len(some))]
+        cells = df.select(*[ident(f).alias(n) for f, n in zip(some, names)])
+        sizes = cells.groupingSets([[n] for n in names], *names).agg(
+            F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_size")
+        )
+        counted = sizes.groupBy("_set").agg(F.sum("_size").alias("total"), F.count_if(F.col("_size") == 1).alias("passed"))
+        by_set = {r["_set"]: (r["total"], r["passed"]) for r in counted.collect()}
+        # the bit of the one field that is grouped by is not set
+        whole = (1 << len(some)) - 1
+        found |= {f: by_set.get(whole ^ (1 << len(some) - 1 - i), (0, 0)) for i, f in enumerate(some)}
+    return [found[resolve(df, spec.field).name] for spec, _ in checks]
+
+
+def _measured(df: DataFrame, specs: Sequence[FieldSpec]) -> list[tuple]:
+    """Result rows of all rules of the specs, in their order."""
+    checks = [(spec, rule) for spec in specs for rule in spec.rules]
+    counts: dict[int, tuple[int, int]] = {}
+    for measure, unique in ((_row_counts, False), (_unique_counts, True)):
+        mine = [i for i, (_, rule) in enumerate(checks) if (rule.kind == "unique") == unique]
+        if mine:
+            counts |= dict(zip(mine, measure(df, [checks[i] for i in mine])))
+    rows = []
+    for i, (spec, rule) in enumerate(checks):
+        total, passed = counts[i]
+        where = (spec.database, spec.layer, spec.table, spec.field)
+        rows.append((*where, total, rule.kind, passed, total - passed, f"{spec.name}_{rule.suffix}"))
+    return rows
+
+
+def _reason(err: Exception) -> str:
+    return str(err).split("\n")[0]
+
+
+def _isolated(df: DataFrame, specs: Sequence[FieldSpec], failures: dict[str, str]) -> list[tuple]:
+    """Results of the specs that run; where their shared jobs fail, they are halved until the cause is alone."""
+    try:
+        return _measured(df, specs)
+    except Exception as err:  # noqa: BLE001 - a failure belongs to its own spec only
+        if len(specs) == 1:
+            failures[specs[0].name] = _reason(err)
+            return []
+    half = len(specs) // 2
+    return _isolated(df, specs[:half], failures) + _isolated(df, specs[half:], failures)
 
 
 def check_table(df: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
-    """Results of all specs on one table: one scan, plus one grouping per ``unique`` field."""
-    counts, results, parts = ["count(1) AS total"], [], []
+    """Results of all specs on one table: one scan for rules on rows, one more for all ``unique`` fields."""
     for spec in specs:
         _check_applies(df, spec)
-        for rule in spec.rules:
-            if rule.kind == "unique":
-                parts.append(_check_unique(df, spec, rule))
-                continue
-            dtype = resolve(df, spec.field).dataType
-            passes = ROW_RULES[rule.kind](_name(spec.field), dtype, rule.argument)
-            passed = f"passed_{len(results)}"
-            counts.append(f"count_if({passes}) AS {passed}")
-            results.append(_result(spec, rule, "total", passed))
-    if results:
-        parts.append(df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(results)}))"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _check_unique(df: DataFrame, spec: FieldSpec, rule: Rule) -> DataFrame:
-    """Values occurring exactly once pass; NULL counts as one value.
-
-    A value that fills a third of the table shrinks to one row per task before the shuffle.
-    """
-    sizes = df.groupBy(ident(spec.field).alias("value")).agg(F.count(F.lit(1)).alias("size"))
-    counted = sizes.selectExpr("coalesce(sum(size), 0) AS total", "count_if(size = 1) AS passed")
-    return counted.selectExpr(f"inline(array({_result(spec, rule, 'total', 'passed')}))")
+    return df.sparkSession.createDataFrame(_measured(df, specs), RESULT)
+
+
+def _check_one(read: Callable[[str, str], DataFrame], where: tuple[str, str], specs: Sequence[FieldSpec]):
+    """(session, result rows, failures) of one table's specs."""
+    failures: dict[str, str] = {}
+    try:
+        df = read(*where)
+    except Exception as err:  # noqa: BLE001 - without its table no spec can run
+        return None, [], {spec.name: _reason(err) for spec in specs}
+    fitting = []
+    for spec in specs:
+        try:
+            _check_applies(df, spec)
+        except Exception as err:  # noqa: BLE001
+            failures[spec.name] = _reason(err)
+            continue
+        fitting.append(spec)
+    try:
+        rows = _measured(df, fitting)
+    except Exception:  # noqa: BLE001 - found out below
+        try:
+            _row_counts(df, [])
+        except Exception as err:  # noqa: BLE001 - the table cannot be read at all
+            return df.sparkSession, [], failures | {spec.name: _reason(err) for spec in fitting}
+        rows = _isolated(df, fitting, failures) if fitting else []
+    return df.sparkSession, rows, failures
 
 
 def run_checks(
-    read: Callable[[str, str], DataFrame], specs: Iterable[FieldSpec]
+    read: Callable[[str, str], DataFrame], specs: Iterable[FieldSpec], parallelism: int = 8
 ) -> tuple[DataFrame | None, dict[str, str]]:
     """All specs over all their tables; ``read(layer, table)`` gives a table.
 
-    A spec that cannot run is returned with its reason, and the rest go on. The results have a time
-    stamp; a check passed if and only if it has no failed record.
+    Tables are read and checked side by side, each in a job group of its own. A spec that cannot run, or
+    that fails only while it runs, is returned with its reason and has no results; the rest go on. The
+    results, a row per check, have a time stamp; a check passed if and only if it has no failed record.
     """
     by_table: dict[tuple[str, str], list[FieldSpec]] = {}
-    failures: dict[str, str] = {}
-    frames: dict[tuple[str, str], DataFrame] = {}
     for spec in specs:
-        where = (spec.layer, spec.table)
-        try:
-            if where not in frames:
-                frames[where] = read(*where)
-            _check_applies(frames[where], spec)
-        except Exception as err:  # noqa: BLE001 - a failure belongs to its own spec only
-            failures[spec.name] = str(err).split("\n")[0]
-            continue
-        if spec.rules:
-            by_table.setdefault(where, []).append(spec)
-    if not by_table:
+        by_table.setdefault((spec.layer, spec.table), []).append(spec)
+    spark = SparkSession.active()
+
+    def check(where: tuple[str, str]):
+        spark.sparkContext.setJobGroup(f"checks-{uuid.uuid4().hex}", f"checks of {'.'.join(where)}")
+        return _check_one(read, where, by_table[where])
+
+    rows: list[tuple] = []
+    failures: dict[str, str] = {}
+    with ThreadPool(max(1, min(parallelism, len(by_table)))) as pool:
+        for session, found, failed in pool.map(inheritable_thread_target(spark)(check), by_table, chunksize=1):
+            spark = session or spark
+            rows += found
+            failures |= failed
+    if not rows:
         return None, failures
-    parts = [check_table(frames[where], group) for where, group in by_table.items()]
-    return (
-        reduce(DataFrame.unionByName, parts).withColumn("check_timestamp", F.current_timestamp()),
-        failures,
-    )
+    return spark.createDataFrame(rows, RESULT).withColumn("check_timestamp", F.current_timestamp()), failures
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -22,9 +24,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propense.functions.columns import ident, require_columns
+from propense.functions.order import rank_by_hash
 from propense.operators import features as prep
 from propense.operators import metrics
-from propense.session import cut_lineage
+from propense.operators.attribution import leaf_values
+from propense.session import written
 from propense.sources.export import iso_now, join_names, split_names
 
 Settings = dict[str, float]
@@ -75,7 +79,10 @@ SPACES: dict[str, dict[str, list]] = {
         "n_estimators": [100, 200, 300, 500, 1000, 2000],
     },
 }
-INTEGER_SETTINGS = ("max_depth", "min_child_weight", "n_estimators")
+# The number of trees. A longer ensemble begins with the trees of a shorter one.
+LENGTH = "n_estimators"
+DEFAULT_LENGTH = 20
+INTEGER_SETTINGS = ("max_depth", "min_child_weight", LENGTH)
 # Candidate splits per numeric predictor (the learner bins values; its own default would be 32).
 MAX_BINS = 256
 # Settings a history row always has a column for.
@@ -137,10 +144,10 @@ def _labelled(rows: DataFrame, spec: ModelSpec, classes: list | None, scaler) ->
 def training_set(df: DataFrame, spec: ModelSpec) -> TrainingSet:
     """Select, clean and label the rows, and write them out once.
 
-    Boosting rereads its input hundreds of times; the checkpoint spares it the joins behind the table,
+    Boosting rereads its input hundreds of times; the written rows spare it the joins behind the table,
     also when an executor is lost.
     """
-    rows = cut_lineage(_known_targets(df, spec))
+    rows = written(_known_targets(df, spec), "training")
     if spec.kind == "propensity":
         classes = prep.binary_classes(rows, spec.target)
         rows = _labelled(rows, spec, classes, None)
@@ -151,8 +158,17 @@ def training_set(df: DataFrame, spec: ModelSpec) -> TrainingSet:
     return TrainingSet(_labelled(rows, spec, None, scaler), rows.count(), scaler=scaler)
 
 
-def draw_settings(space: Mapping[str, Sequence], n: int, seed: int) -> list[Settings]:
-    """n different settings drawn at random (all of them, where the space has no more)."""
+def draw_settings(space: Mapping[str, Sequence], n: int, seed: int, staged: bool = False) -> list[Settings]:
+    """n different settings drawn at random (all of them, where the space has no more).
+
+    ``staged`` draws settings without a number of trees, and takes each of them with all numbers there are:
+    those share a fit.
+    """
+    if staged and LENGTH in space:
+        lengths = sorted(space[LENGTH])
+        rest = {name: options for name, options in space.items() if name != LENGTH}
+        bases = draw_settings(rest, -(-n // len(lengths)), seed)
+        return [{name: b.get(name, length) for name in space} for b in bases for length in lengths][:n]
     size = reduce(lambda a, b: a * len(b), space.values(), 1)
     rng = random.Random(seed)
     drawn: dict[tuple, None] = {}
@@ -165,6 +181,10 @@ def draw_settings(space: Mapping[str, Sequence], n: int, seed: int) -> list[Sett
     return [dict(zip(space, values)) for values in drawn]
 
 
+def _length(settings: Settings) -> int:
+    return int(settings.get(LENGTH, DEFAULT_LENGTH))
+
+
 def estimator(spec: ModelSpec, settings: Settings, rows: int):
     """The tree learner for some settings.
 
@@ -176,7 +196,7 @@ def estimator(spec: ModelSpec, settings: Settings, rows: int):
         labelCol="label",
         seed=spec.seed,
         maxDepth=int(settings.get("max_depth", 5)),
-        maxIter=int(settings.get("n_estimators", 20)),
+        maxIter=_length(settings),
         stepSize=float(settings.get("learning_rate", 0.1)),
         minInstancesPerNode=int(settings.get("min_child_weight", 1)),
         minInfoGain=float(settings.get("gamma", 0.0)) / max(rows, 1),
@@ -198,6 +218,54 @@ def _score(scored: DataFrame, spec: ModelSpec, scale: float) -> float:
     return scored.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0] * scale
 
 
+def _staged(model, lengths: Sequence[int], column: str):
+    """The margins of the first trees, for several numbers of them: an array beside the leaves of ``column``.
+
+    The table of leaf values is as large as the model; a copy goes to every executor.
+    """
+    values = leaf_values(model)
+    table = np.zeros((len(values), max(map(len, values))))
+    for k, tree in enumerate(values):
+        table[k, : len(tree)] = tree
+    sent = SparkSession.active().sparkContext.broadcast(table)
+    stops = np.minimum(np.array(lengths), len(values)) - 1
+
+    def margins(leaves: pd.Series) -> pd.Series:
+        table = sent.value
+        trees = np.arange(len(table))
+        out = []
+        for k in range(0, len(leaves), 1024):
+            places = np.stack(leaves.iloc[k : k + 1024].to_numpy()).astype(np.int64)
+            out += list(table[trees, places].cumsum(axis=1)[:, stops])
+        return pd.Series(out, dtype=object)
+
+    # annotations that are text cannot be resolved in a task's copy of the function
+    margins.__annotations__ = {"leaves": pd.Series, "return": pd.Series}
+    return F.pandas_udf(margins, "array<double>")(vector_to_array(column))
+
+
+def staged_scores(
+    train: DataFrame, test: DataFrame, spec: ModelSpec, settings: Settings, lengths: Sequence[int], rows: int, scale: float = 1.0
+) -> dict[int, float]:
+    """Scores on ``test`` of one fit on ``train`` for several numbers of trees, in one pass over the test rows.
+
+    Boosting adds tree by tree, so the first of a longer ensemble are the shorter one. Scores are exact.
+    """
+    lengths = sorted(set(lengths))
+    learner = estimator(spec, {**settings, LENGTH: lengths[-1]}, rows)
+    if len(lengths) == 1:
+        return {lengths[0]: _score(learner.fit(train).transform(test), spec, scale)}
+    model = learner.setParams(leafCol="_leaf").fit(train)
+    scored = model.transform(test).select("label", _staged(model, lengths, "_leaf").alias("margins"))
+    if spec.kind == "revenue":
+        errors = [F.avg(F.abs(F.col("label") - F.get("margins", F.lit(k)))) for k in range(len(lengths))]
+        return {n: error * scale for n, error in zip(lengths, scored.agg(*errors).first())}
+    each = scored.select("label", F.posexplode("margins").alias("stage", "margin"))
+    chance = 1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))
+    found = metrics.roc_auc(each.withColumn("probability", chance), "label", "probability", ["stage"]).collect()
+    return {lengths[r["stage"]]: r["auc_score"] for r in found}
+
+
 @contextmanager
 def _prepared(spec: ModelSpec, train: DataFrame, *others: DataFrame):
     """Preparation fitted on ``train``, and the prepared frames, kept while they are worked on."""
@@ -245,24 +313,37 @@ def cross_validate(
     """Score every trial on every fold.
 
     A fold is prepared once, on its training part, for the trials of all runs, and only one fold is
-    kept at a time. Several trials are fitted side by side, and each fit is a distributed job.
+    kept at a time. Trials that differ in their number of trees alone, in whatever run, share a fit.
+    Several fits go side by side, the longest first, and each is a distributed job.
     """
+    groups: dict[tuple, list[Trial]] = {}
+    for t in trials:
+        groups.setdefault(tuple(sorted((n, v) for n, v in t.settings.items() if n != LENGTH)), []).append(t)
+    order = sorted(groups.values(), key=lambda g: -max(_length(t.settings) for t in g))
     for i in range(k):
         train, test = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
         with _prepared(spec, train, test) as (_, (train, test)):
 
-            def score(trial: Trial, train=train, test=test) -> None:
+            def score(group: list[Trial], train=train, test=test) -> None:
+                group = [t for t in group if t.error is None]
+                if not group:
+                    return
                 start = time.monotonic()
                 try:
-                    model = estimator(spec, trial.settings, rows).fit(train)
-                    trial.scores.append(_score(model.transform(test), spec, scale))
-                except Exception as err:  # noqa: BLE001 - reported with the run it belongs to
-                    trial.error = str(err).split("\n")[0]
-                trial.seconds += time.monotonic() - start
+                    lengths = [_length(t.settings) for t in group]
+                    found = staged_scores(train, test, spec, group[0].settings, lengths, rows, scale)
+                    for t, n in zip(group, lengths):
+                        if found[n] is None:
+                            raise ValueError("a fold has rows of one class only")
+                        t.scores.append(found[n])
+                except Exception as err:  # noqa: BLE001 - reported with the runs it belongs to
+                    for t in group:
+                        t.error = str(err).split("\n")[0]
+                for t in group:
+                    t.seconds += (time.monotonic() - start) / len(group)
 
             with ThreadPool(parallelism) as pool:
-                going = [t for t in trials if t.error is None]
-                pool.map(inheritable_thread_target(folded.sparkSession)(score), going, chunksize=1)
+                pool.map(inheritable_thread_target(folded.sparkSession)(score), order, chunksize=1)
 
 
 @dataclass
@@ -286,9 +367,11 @@ def search(
     n_iter: int = 100,
     parallelism: int = 4,
     importance: bool | None = None,
+    staged: bool = False,
 ) -> SearchResult:
     """Randomised search: for each number of folds several runs, each with settings of its own.
 
+    ``staged`` tries every drawn setting with all numbers of trees of the space, for one fit a fold.
     A run that fails is reported and the others go on. With ``importance`` (the default for revenue
     models) the best setting of each run is fitted on all rows for its feature importances.
     """
@@ -296,14 +379,15 @@ def search(
     importance = spec.kind == "revenue" if importance is None else importance
     data = training_set(df, spec)
     strata = "label" if spec.kind == "propensity" else None
+    # one ranking for all numbers of folds
+    ranked = written(rank_by_hash(data.rows, spec.key, spec.seed, strata), "search")
     trials: list[Trial] = []
     folds_of: dict[int, int] = {}
     for k in k_folds:
         runs = range(len(folds_of), len(folds_of) + runs_per_k)
         folds_of.update(dict.fromkeys(runs, k))
-        mine = [Trial(run, s) for run in runs for s in draw_settings(space, n_iter, spec.seed + run)]
-        folded = prep.with_folds(data.rows, spec.key, k, spec.seed, strata, exact=True)
-        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+        mine = [Trial(run, s) for run in runs for s in draw_settings(space, n_iter, spec.seed + run, staged)]
+        folded = prep.fold_of(ranked, k).persist(StorageLevel.MEMORY_AND_DISK)
         scale = data.scaler.std if data.scaler else 1.0
         cross_validate(folded, spec, mine, k, data.count, parallelism, scale)
         folded.unpersist()
@@ -327,10 +411,14 @@ def _best_importances(data: TrainingSet, spec: ModelSpec, trials: Sequence[Trial
         if t.run not in best or sign * t.mean < sign * best[t.run].mean:
             best[t.run] = t
     rows = []
+    fitted: dict[tuple, PipelineModel] = {}
     with _prepared(spec, data.rows) as (prepared, (inputs,)):
         for run, trial in best.items():
-            trees = estimator(spec, trial.settings, data.count).fit(inputs)
-            rows += _importances(run, PipelineModel([*prepared.stages, trees]))
+            settings = tuple(sorted(trial.settings.items()))
+            if settings not in fitted:
+                trees = estimator(spec, trial.settings, data.count).fit(inputs)
+                fitted[settings] = PipelineModel([*prepared.stages, trees])
+            rows += _importances(run, fitted[settings])
     return rank_importance(importance_table(data.rows.sparkSession, rows))
 
 
@@ -514,8 +602,13 @@ def load_model(spark: SparkSession, path: str, scaled: bool = False):
 
 
 def latest_predictors(history: DataFrame) -> list[str]:
-    """Predictor list of the newest row of a table of final models."""
-    latest = history.orderBy(F.desc("model_timestamp")).limit(1)
+    """Predictor list of the newest row of a table of final models.
+
+    Of rows with the same time stamp the one whose other columns sort last is taken, whatever order they
+    are read in.
+    """
+    ties = [F.desc(ident(c)) for c in sorted(history.columns) if c != "model_timestamp"]
+    latest = history.orderBy(F.desc("model_timestamp"), *ties).limit(1)
     row = latest.select(split_names(F.col("predictive_variables")).alias("names")).first()
     if row is None:
         raise ValueError("the table of final models is empty")

@@ -60,3 +60,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage once, so that iterative work rereads it, not its joins."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read again, by column where that is enough."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from propense.session import cut_lineage
+from propense.functions.columns import ident
+from propense.session import cut_lineage, written
 from propense.sources.tables import rename_repeats
 
 # Fixed value: time stamp in default file names.
@@ -24,6 +26,15 @@ class SqlResult:
     query: DataFrame | str
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """As columns where files can hold its types, else as rows."""
+    kinds = {f.name: "string" for f in df.schema.fields if isinstance(f.dataType, T.NullType)}
+    try:
+        return written(df.withColumns({c: ident(c).cast(kind) for c, kind in kinds.items()}), "query")
+    except AnalysisException:
+        return cut_lineage(df)
+
+
 def run_sql(spark: SparkSession, text: str) -> SqlResult:
     """Run a query into the shared folder; its frame reads what was written, so it runs once.
 
@@ -36,7 +47,7 @@ def run_sql(spark: SparkSession, text: str) -> SqlResult:
             return SqlResult(1, df)
         if len({c.lower() for c in df.columns}) < len(df.columns):
             df = df.toDF(*rename_repeats(df.columns))
-        return SqlResult(1, cut_lineage(df))
+        return SqlResult(1, _kept(df))
     except PySparkException as err:
         return SqlResult(0, str(err))
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propense.functions.columns import ident, require_columns
+from propense.sources.snapshots import Snapshots
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def rename_repeats(columns: Sequence[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class TableStore:
-    """Tables by layer: in the session catalog, or as Parquet below ``root`` where one is given."""
+    """Tables by layer: in the session catalog, or as snapshots below ``root`` where one is given."""
 
     spark: SparkSession
     root: str | None = None
@@ -67,14 +68,13 @@ class TableStore:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def snapshots(self, layer: str, table: str) -> Snapshots:
+        return Snapshots(self.spark, self.path(layer, table))
+
     def exists(self, layer: str, table: str) -> bool:
         if self.root is None:
             return self.spark.catalog.tableExists(f"{layer}.{table}")
-        try:
-            self.spark.read.parquet(self.path(layer, table))
-        except AnalysisException:
-            return False
-        return True
+        return self.snapshots(layer, table).exists()
 
     def require(self, *names: tuple[str, str]) -> None:
         """Raise with the list of tables a step needs but does not find."""
@@ -85,26 +85,33 @@ class TableStore:
     def read(self, layer: str, table: str) -> DataFrame:
         if self.root is None:
             return self.spark.table(f"{layer}.{table}")
-        # Rows appended later may have more columns than the first ones.
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, table))
+        return self.snapshots(layer, table).read()
 
     def replace(
         self, df: DataFrame, layer: str, table: str, bucket_by: str | None = None, buckets: int = 0
     ) -> int:
         """Write the table anew; returns the row count, observed during the write itself.
 
-        A catalog table joined on one key over and over is worth bucketing on it: the joins of the
-        silver and decision stages then need no shuffle.
+        The old rows stay until the new ones are there, so a write that fails changes nothing and a table
+        can be replaced from itself. A catalog table joined on one key over and over is worth bucketing on
+        it: the joins of the silver and decision stages then need no shuffle.
         """
+        if self.root is not None:
+            return self.snapshots(layer, table).replace(df)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         observed = Observation()
-        writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        if self.root is None:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            if bucket_by and buckets:
-                writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-            writer.saveAsTable(f"{layer}.{table}")
-        else:
-            writer.parquet(self.path(layer, table))
+        writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write
+        if bucket_by and buckets:
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        # another name first: the old table goes only when the new one is whole
+        new = f"{layer}.{table}__{uuid.uuid4().hex}"
+        try:
+            writer.saveAsTable(new)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {new}")
+            raise
+        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+        self.spark.sql(f"ALTER TABLE {new} RENAME TO {layer}.{table}")
         return observed.get["rows"]
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
@@ -123,7 +130,7 @@ class TableStore:
                 df = df.select(*[ident(c) for c in self.spark.table(name).columns])
             df.write.mode("append").saveAsTable(name)
         else:
-            df.write.mode("append").parquet(self.path(layer, table))
+            self.snapshots(layer, table).append(df)
 
     def preview(self, layer: str, table: str, n: int = 5) -> DataFrame:
         return self.read(layer, table).limit(n)

@@ -71,6 +71,42 @@ def test_sweep_equals_single_thresholds(spark, roles):
         assert row["positive_offers"] == decision.positive_offers(outcome, "client").count()
 
 
+def test_sweep_of_a_thousand_thresholds(spark):
+    """Every threshold against a plain loop, with ties, gaps, NULLs and probabilities at a threshold."""
+    import random
+
+    rng = random.Random(3)
+    products = ["a", "b", "c"]
+    grid = [k / 1000 for k in range(1000)]
+    chance = lambda: rng.choice([None, 0.0, 1.0, 0.25, rng.randrange(1000) / 1000, rng.random(), -1.0, 2.0])
+    worth = lambda: rng.choice([None, 0.0, -3.0, 8.0, rng.randrange(100) / 4])
+    rows = [(k, *[x for _ in products for x in (chance(), worth())]) for k in range(300)]
+    columns = ", ".join(f"{p}_predicted_probability double, {p}_predicted_revenue double" for p in products)
+    scores = spark.createDataFrame(rows, f"client long, {columns}").repartition(3)
+    got = {r["threshold"]: r for r in decision.threshold_sweep(scores, products, [*grid, 0.5]).collect()}
+    assert sorted(got) == grid
+    for t in grid:
+        values, best = [], dict.fromkeys(products, 0)
+        for _, *cells in rows:
+            worths = [
+                0.0 if p is not None and p < t else None if p is None or r is None else p * r for p, r in zip(cells[::2], cells[1::2])
+            ]
+            known = [w for w in worths if w is not None]
+            value = max(known, default=None)
+            best[next((p for p, w in zip(products, worths) if w is not None and w == value), products[-1])] += 1
+            values.append(value)
+        row = got[t]
+        assert row["customers"] == 300 and row["positive_offers"] == sum(v is not None and v > 0 for v in values)
+        assert row["total_expected_revenue"] == pytest.approx(sum(v for v in values if v is not None), abs=0.006)
+        assert [row[f"best_{p}"] for p in products] == list(best.values())
+    assert decision.threshold_sweep(scores.limit(0), products, grid).count() == 0
+    with pytest.raises(ValueError, match="finite"):
+        decision.threshold_sweep(scores, products, [])
+    # customers are not taken times thresholds, and are read once
+    plan = decision.threshold_sweep(scores, products, grid)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+
+
 def test_top_k_with_equal_values_is_settled_by_key(spark):
     df = spark.range(1000).selectExpr("id AS client", "5.0D AS max_expected_revenue", "'A' AS best_product_type")
     assert [r["client"] for r in decision.top_offers(df, "client", 4).collect()] == [0, 1, 2, 3]

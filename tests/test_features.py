@@ -139,3 +139,23 @@ def test_sample(spark):
     assert len(set(once)) == 50
     assert once == features.sample_rows(df.repartition(7), "id", 50).collect()
     assert features.sample_rows(df, "id", 5000).count() == 500
+
+
+def test_ranks_read_their_input_once(spark, tmp_path):
+    """The rows to rank are computed once, however many things are asked of the ranks."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).selectExpr("id", "id % 3 AS s").mapInArrow(count, "id long, s long")
+    ranked = rank_by_hash(df, "id", 1, "s")
+    folds = [features.fold_of(ranked, k) for k in (3, 4, 5)]
+    for k, folded in zip((3, 4, 5), folds):
+        sizes = {(r["s"], r["fold"]): r["count"] for r in folded.groupBy("s", "fold").count().collect()}
+        assert len(sizes) == 3 * k and max(sizes.values()) - min(sizes.values()) <= 1
+    train, test = features.split(df, "id", 0.2, 7, strata="s")
+    assert train.count() + test.count() == 500
+    assert seen.value == 1000

@@ -49,6 +49,39 @@ def test_auc_of_awkward_scores(spark, score):
     assert got == pytest.approx(sum(pairs) / len(pairs), rel=1e-12)
 
 
+def test_auc_by_groups_with_nulls(spark, monkeypatch):
+    """Groups that share tasks and batches, a NULL group, groups of one class, and a group over all tasks."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "b", "c"]), rng.choice([None, 1]), rng.randint(0, 1), rng.randrange(300) / 300) for _ in range(3000)]
+    rows += [("big", 2, rng.randint(0, 1), rng.random()) for _ in range(4000)] + [("one", 3, 1, 0.5)] * 3
+    rows += [("a", 1, None, 0.5), ("a", 1, 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, y int, p double").repartition(5)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        got = {(r["g"], r["h"]): r for r in metrics.classification_metrics(df, "y", "p", ["g", "h"], cutoff=0.3).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    groups = {}
+    for g, h, y, p in rows:
+        if y is not None and p is not None:
+            groups.setdefault((g, h), []).append((y, p))
+    assert set(got) == set(groups)
+    for key, cells in groups.items():
+        high, low = [p for y, p in cells if y], [p for y, p in cells if not y]
+        pairs = sum((p > n) + (p == n) / 2 for p in high for n in low)
+        want = pairs / (len(high) * len(low)) if high and low else None
+        assert got[key]["auc_score"] == (None if want is None else pytest.approx(want, rel=1e-12))
+        assert got[key]["true_positives"] == sum(p > 0.3 for p in high) and got[key]["false_positives"] == sum(p > 0.3 for p in low)
+
+
+def test_scores_are_read_once(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    scored = lines.selectExpr("l_linenumber % 2 AS y", "l_discount * 10 AS p", "l_returnflag AS g")
+    plan = metrics.classification_metrics(scored, "y", "p", ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def test_regression(spark):
     rows = [(1.0, 2.0), (3.0, 3.0), (5.0, 2.0)]
     row = metrics.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from propense.functions import order
+from propense.functions import columnwise
 from propense.operators import profiling
 
 
@@ -51,12 +51,13 @@ def test_small_samples_agree_with_sql(spark, values):
             assert row[name + end] == (None if value is None else pytest.approx(value))
 
 
-@pytest.mark.parametrize("max_ordered, slots", [(1 << 20, 1 << 14), (3, 4), (1, 2)])
-def test_percentiles_of_awkward_shapes(spark, monkeypatch, max_ordered, slots):
+@pytest.mark.parametrize("slot_bits, head_bits, candidates", [(13, 14, 256), (6, 8, 2), (4, 4, 1)])
+def test_percentiles_of_awkward_shapes(spark, monkeypatch, slot_bits, head_bits, candidates):
     """Long tails, near-equal values and a hot value; few slots force many rounds of narrowing."""
-    monkeypatch.setattr(order, "MAX_ORDERED", max_ordered)
-    monkeypatch.setattr(order, "SLOTS", slots)
-    monkeypatch.setattr(order.slot_of, "__defaults__", (slots,))
+    monkeypatch.setattr(columnwise, "SLOT_BITS", slot_bits)
+    monkeypatch.setattr(columnwise, "MORE_BITS", slot_bits)
+    monkeypatch.setattr(columnwise, "HEAD_BITS", head_bits)
+    monkeypatch.setattr(columnwise, "CANDIDATES", candidates)
     rng = random.Random(1)
     columns = {
         "tail": [math.exp(rng.gauss(0, 6)) for _ in range(300)],
@@ -71,6 +72,53 @@ def test_percentiles_of_awkward_shapes(spark, monkeypatch, max_ordered, slots):
         for end, part in (("", values), ("_non_zero", values[values != 0])):
             for name, q in profiling.QUARTILES.items():
                 assert row[name + end] == pytest.approx(np.quantile(part, q), rel=1e-12, abs=1e-300)
+            found, counts = np.unique(part, return_counts=True)
+            assert row["mode" + end] == found[counts == counts.max()].min()
+            assert (row["min_value" + end], row["max_value" + end]) == (part.min(), part.max())
+
+
+def test_modes_by_candidates(spark, monkeypatch):
+    """Frequent values need no full count, however many others there are; nearly distinct ones get it."""
+    monkeypatch.setattr(columnwise, "CANDIDATES", 8)
+    counted = []
+    full = columnwise._full_modes
+    monkeypatch.setattr(columnwise, "_full_modes", lambda df, name: counted.append(name) or full(df, name))
+    rng = random.Random(4)
+    columns = {
+        "hot": [7.5] * 400 + [float(i) for i in range(600)],
+        "two": [2.0] * 300 + [-1.0] * 300 + [i / 3 + 0.1 for i in range(400)],
+        "few": [float(i % 6) for i in range(1000)],
+        "distinct": [rng.random() for _ in range(1000)],
+        "zero": [0.0] * 500 + [i + 0.5 for i in range(500)],
+        "late": [float(i) for i in range(998)] + [5.0, 5.0],
+    }
+    rows = list(zip(*columns.values()))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(7)
+    got = {r["data_field_name"]: (r["mode"], r["mode_non_zero"]) for r in profiling.numeric_profile(df).collect()}
+    least = min(columns["distinct"])
+    assert got == {"hot": (7.5, 7.5), "two": (-1.0, -1.0), "few": (0.0, 1.0), "distinct": (least, least), "zero": (0.0, 0.5), "late": (5.0, 5.0)}
+    assert sorted(counted) == ["_3", "_4", "_5"]
+    # no cells are taken apart on the way
+    plan = columnwise._first_pass(df.select("hot"), 1)._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+
+
+@pytest.mark.parametrize("kind, values", [("decimal(12,2)", "0.25"), ("byte", "3"), ("float", "0.1"), ("long", "9007199254740993")])
+def test_kinds_of_numbers(spark, kind, values):
+    df = spark.sql(f"SELECT CAST({values} AS {kind}) AS v UNION ALL SELECT NULL UNION ALL SELECT CAST(0 AS {kind})")
+    row = profiling.numeric_profile(df).first()
+    want = float(np.float32(0.1)) if kind == "float" else float(values)
+    assert (row["max_value"], row["mode_non_zero"], row["median_value"], row["count_non_zero"]) == (want, want, want / 2, 1)
+
+
+def test_means_over_many_tasks(spark):
+    df = spark.range(5000).selectExpr("id % 40 AS a", "id * 0.37 AS b", "CAST(NULL AS DOUBLE) AS c")
+    got = {r["data_field_name"]: r for r in profiling.numeric_profile(df).collect()}
+    values = np.arange(5000) * 0.37
+    assert got["b"]["median_value"] == pytest.approx(np.median(values), rel=1e-14)
+    assert got["b"]["mean_value"] == pytest.approx(values.mean(), rel=1e-12)
+    assert (got["a"]["mode"], got["a"]["25_percentile_value"], got["c"]["mode"]) == (0.0, 9.75, None)
 
 
 def test_categorical_facts(spark):
@@ -96,10 +144,7 @@ def test_maps_for_any_number_of_categories(spark):
     assert profiling.category_distribution(df, ["many"]).count() == 1500
 
 
-def test_infinite_and_tiny_values_are_ranked(spark, monkeypatch):
-    from propense.functions import order
-
-    monkeypatch.setattr(order, "MAX_ORDERED", 10)
+def test_infinite_and_tiny_values_are_ranked(spark):
     inf, tiny = float("inf"), 5e-324
     columns = {
         "low": [-inf] * 30 + [float(i) for i in range(70)],

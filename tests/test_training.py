@@ -74,6 +74,47 @@ def test_bins_are_a_setting():
     assert training.estimator(SALE, {"max_bins": 64}, 10).getMaxBins() == 64
 
 
+def _parts(rows, spec):
+    data = training.training_set(rows, spec)
+    prepared = spec.features.fit(data.rows)
+    ready = prepared.transform(data.rows)
+    return ready.where("client % 3 <> 0").cache(), ready.where("client % 3 = 0").cache(), data
+
+
+@pytest.mark.parametrize("spec", [SALE, REVENUE])
+def test_staged_scores_are_those_of_fits_of_their_own(rows, spec):
+    train, test, data = _parts(rows.where("revenue <> 0") if spec is REVENUE else rows, spec)
+    settings = {"max_depth": 3, "learning_rate": 0.3, "colsample_bytree": 0.6}
+    scale = data.scaler.std if data.scaler else 1.0
+    staged = training.staged_scores(train, test, spec, settings, [1, 7, 3, 7], data.count, scale)
+    assert sorted(staged) == [1, 3, 7]
+    for n, score in staged.items():
+        alone = training.staged_scores(train, test, spec, settings, [n], data.count, scale)
+        assert score == pytest.approx(alone[n], rel=1e-12)
+
+
+def test_settings_that_differ_in_length_share_a_fit(rows, monkeypatch):
+    fits = []
+    make = training.estimator
+    monkeypatch.setattr(training, "estimator", lambda spec, settings, n: fits.append(dict(settings)) or make(spec, settings, n))
+    space = {"max_depth": [1, 2], "n_estimators": [2, 4, 3], "learning_rate": [0.3]}
+    found = training.search(rows, SALE, space=space, k_folds=(2,), runs_per_k=2, n_iter=6)
+    # two runs of all six settings: one fit for each depth and fold, of the longest
+    assert sorted((f["max_depth"], f["n_estimators"]) for f in fits) == [(1, 4)] * 2 + [(2, 4)] * 2
+    assert found.settings.count() == 12 and not found.errors
+    both = [sorted(r["auc_score"] for r in found.settings.where(f"iteration_id = {k}").collect()) for k in (0, 1)]
+    assert both[0] == both[1]
+
+
+def test_staged_drawing():
+    space = training.SPACES["propensity"]
+    drawn = training.draw_settings(space, 20, 3, staged=True)
+    assert len(drawn) == 20 and all(list(s) == list(space) for s in drawn)
+    bases = {tuple(v for n, v in s.items() if n != "n_estimators") for s in drawn}
+    assert len(bases) == 3 and {s["n_estimators"] for s in drawn} == set(space["n_estimators"])
+    assert len({tuple(s.values()) for s in drawn}) == 20
+
+
 def test_search_and_lookup(rows):
     space = {"max_depth": [1, 3], "n_estimators": [3], "learning_rate": [0.3]}
     result = training.search(rows, SALE, space=space, k_folds=(2, 3), runs_per_k=1, n_iter=2, importance=True)
@@ -204,3 +245,43 @@ def test_many_deep_trees_are_attributed_quickly():
     assert time.monotonic() - start < 60
     want = attribution.margin(leaves, x) - attribution.margin(leaves, z).mean()
     assert np.abs(phi.sum(axis=1) - want).max() < 1e-9
+
+
+def test_wide_categories_are_attributed_sparsely(spark):
+    """A predictor with very many categories: tasks see the features that leaves use, and no others."""
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "id AS client", "CAST(id % 97 AS DOUBLE) AS a", "concat('c', id % 5000) AS wide", "CAST(id % 97 > 50 OR id % 5000 < 40 AS INT) AS sale"
+    )
+    spec = training.ModelSpec("w", "propensity", "sale", "client", ("a", "wide"), ("wide",))
+    final = training.fit_final(df, spec, {"max_depth": 2, "n_estimators": 3, "learning_rate": 0.5})
+    some = df.where("client < 60")
+    sparse = attribution.attribute(final.model, df, some, "client", zeros=False)
+    whole = attribution.attribute(final.model, df, some, "client")
+    used, _ = attribution._used(attribution.leaves_of(final.model.stages[-1]))
+    assert sparse.count() == 60 * len(used) < 60 * 12 and whole.count() == 60 * 5000
+    key = ["instance_id", "feature_name", "feature_value", "contribution", "base_value", "margin"]
+    rest = whole.select(key).exceptAll(sparse.select(key))
+    assert rest.count() == 60 * (5000 - len(used)) and rest.where("contribution <> 0").count() == 0
+    # the zero rows have the values of their features: one category, or none for the first
+    ones = whole.where("feature_name LIKE 'wide%'").groupBy("instance_id").agg(F.sum("feature_value").alias("s")).groupBy("s").count()
+    assert {r["s"]: r["count"] for r in ones.collect()} == {0.0: 1, 1.0: 59}
+    sums = whole.groupBy("instance_id").agg((F.sum("contribution") + F.first("base_value") - F.first("margin")).alias("off"))
+    assert sums.agg(F.max(F.abs("off"))).first()[0] < 1e-9
+    # brute force: the definition over dense vectors
+    leaves = attribution.leaves_of(final.model.stages[-1])
+    dense = lambda d: np.array(
+        [r[0] for r in final.model.transform(d).orderBy("client").select(vector_to_array("features")).collect()]
+    )
+    background = dense(attribution.prep.sample_rows(df, "client", attribution.BACKGROUND_SIZE, 42))
+    want = attribution.contributions(attribution.stacked(leaves), background, dense(some))
+    got = {(r["instance_id"], r["feature_name"]): r["contribution"] for r in sparse.collect()}
+    names = attribution.prep.feature_names(final.model)
+    assert max(abs(got[i, names[j]] - want[i, j]) for i in range(60) for j in used) < 1e-12
+
+
+def test_the_latest_of_equal_time_stamps_is_settled(spark):
+    rows = [("t1", "a", "x"), ("t2", "b", "y"), ("t2", "c", "x"), ("t2", None, "z")]
+    for part in (1, 3):
+        history = spark.createDataFrame(rows, "model_timestamp string, predictive_variables string, z string").repartition(part)
+        assert training.latest_predictors(history) == ["c"]
