@@ -196,11 +196,11 @@ def categorical_profile(
     profile: str = "categorical_profile",
     layer: str = "silver",
     table: str = "train",
-    with_map: bool = True,
 ) -> DataFrame:
     """Completeness, most and least frequent value and balance of every categorical column.
 
-    On equal counts the value that sorts first is the more frequent one.
+    On equal counts the value that sorts first is the more frequent one. How the values are distributed is
+    a table of its own, ``category_distribution``: no row here grows with the number of values.
     """
     columns = list(columns or category_columns(df))
     require_columns(df, columns)
@@ -219,8 +219,6 @@ def categorical_profile(
         F.max_by("value", by_frequency).alias("least_frequent_category"),
         F.coalesce(F.min(count), zero).alias("least_frequent_count"),
     )
-    if with_map:
-        stats = stats.join(F.broadcast(_distribution_maps(freq, stats)), "field_id", "left")
     stats = _fields(df, columns).join(F.broadcast(stats), "field_id", "left")
 
     number = lambda name: F.coalesce(F.col(name), zero).alias(name)
@@ -248,26 +246,6 @@ def categorical_profile(
         percentage("least_frequent_count").alias("least_frequent_percentage"),
         ratio.alias("balance_ratio"),
         (ratio < 2.0).alias("is_balanced"),
-        *(["category_distribution"] if with_map else []),
-    )
-
-
-def _distribution_maps(freq: DataFrame, stats: DataFrame) -> DataFrame:
-    """value -> (count, percentage) of every field, whatever its width.
-
-    A map is one cell: for columns too wide for that, take the long table of ``category_distribution``
-    and call the profile without maps.
-    """
-    # One row per profiled column.
-    rows = freq.where("value IS NOT NULL").join(
-        F.broadcast(stats.select("field_id", "non_null_records")), "field_id"
-    )
-    entry = F.struct(
-        F.col("value"),
-        F.struct("count", _share(F.col("count"), F.col("non_null_records")).alias("percentage")),
-    )
-    return rows.groupBy("field_id").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("category_distribution")
     )
 
 

@@ -85,6 +85,8 @@ DEFAULT_LENGTH = 20
 INTEGER_SETTINGS = ("max_depth", "min_child_weight", LENGTH)
 # Candidate splits per numeric predictor (the learner bins values; its own default would be 32).
 MAX_BINS = 256
+# Rows below which a part of the training data is not worth a task of its own.
+ROWS_OF_A_PART = 20_000
 # Settings a history row always has a column for.
 KNOWN_SETTINGS = tuple(dict.fromkeys([*(n for s in SPACES.values() for n in s), "max_bins", "scale_pos_weight"]))
 
@@ -267,12 +269,16 @@ def staged_scores(
 
 
 @contextmanager
-def _prepared(spec: ModelSpec, train: DataFrame, *others: DataFrame):
-    """Preparation fitted on ``train``, and the prepared frames, kept while they are worked on."""
+def _prepared(spec: ModelSpec, rows: int, train: DataFrame, *others: DataFrame):
+    """Preparation fitted on ``train``, and the prepared frames, kept while they are worked on.
+
+    Boosting runs many short jobs over them, so a table of few rows is kept in few parts.
+    """
+    parts = -(-max(rows, 1) // ROWS_OF_A_PART)
     prepared = spec.features.fit(train)
     columns = ["features", "label"] + (["weight"] if spec.kind == "propensity" else [])
     frames = [
-        prepared.transform(df).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared.transform(df).select(*columns).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
         for df in (train, *others)
     ]
     try:
@@ -322,7 +328,7 @@ def cross_validate(
     order = sorted(groups.values(), key=lambda g: -max(_length(t.settings) for t in g))
     for i in range(k):
         train, test = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
-        with _prepared(spec, train, test) as (_, (train, test)):
+        with _prepared(spec, rows, train, test) as (_, (train, test)):
 
             def score(group: list[Trial], train=train, test=test) -> None:
                 group = [t for t in group if t.error is None]
@@ -412,7 +418,7 @@ def _best_importances(data: TrainingSet, spec: ModelSpec, trials: Sequence[Trial
             best[t.run] = t
     rows = []
     fitted: dict[tuple, PipelineModel] = {}
-    with _prepared(spec, data.rows) as (prepared, (inputs,)):
+    with _prepared(spec, data.count, data.rows) as (prepared, (inputs,)):
         for run, trial in best.items():
             settings = tuple(sorted(trial.settings.items()))
             if settings not in fitted:
@@ -477,7 +483,7 @@ def best_parameters(runs: DataFrame, spec: ModelSpec) -> Settings:
 
 def fit_pipeline(data: TrainingSet, spec: ModelSpec, settings: Settings) -> PipelineModel:
     """Preparation and trees, fitted on all rows, as one flat pipeline."""
-    with _prepared(spec, data.rows) as (prepared, (inputs,)):
+    with _prepared(spec, data.count, data.rows) as (prepared, (inputs,)):
         trees = estimator(spec, settings, data.count).fit(inputs)
     return PipelineModel([*prepared.stages, trees])
 

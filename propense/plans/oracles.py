@@ -316,12 +316,6 @@ SELECT data_field_name, v AS category_value, n AS count,
 FROM ({_frequencies(table, columns)}) WHERE v IS NOT NULL"""
 
 
-def _joined_distribution(table: str, columns) -> str:
-    return f"""
-SELECT data_field_name, string_agg(v || '=' || n, ';' ORDER BY v) AS distribution
-FROM ({_frequencies(table, columns)}) WHERE v IS NOT NULL GROUP BY data_field_name"""
-
-
 def _value_counts(table: str, column: str) -> str:
     return (
         f"SELECT {column} AS category_value, count(*) AS count, "
@@ -351,8 +345,8 @@ FROM sales, (SELECT avg(revenue_{p}) AS m FROM sales WHERE revenue_{p} <> 0) WHE
         "profile_numeric_lineitem": _numeric_profile("lineitem", LINEITEM_NUMBERS),
         "profile_categorical": with_roles(_categorical_profile("train", categories), "train"),
         "profile_categorical_orders": _categorical_profile("orders", ["o_orderstatus", "o_orderpriority"]),
-        "profile_distributions": with_roles(_joined_distribution("train", categories), "train"),
-        "profile_distributions_customers": _joined_distribution("orders", ["o_custkey"]),
+        "profile_distributions": with_roles(_distribution("train", categories), "train"),
+        "profile_distributions_customers": _distribution("orders", ["o_custkey"]),
         "category_distribution": with_roles(_distribution("train", categories), "train"),
         "category_distribution_events": _distribution("events", ["event_type", "props"]),
         "value_counts": _value_counts("orders", "o_orderpriority"),
@@ -492,6 +486,100 @@ FROM (SELECT product, count(*) AS samples, avg(abs(revenue - predicted)) AS mae,
     }
 
 
+EXACT_TREES, EXACT_RATE = 50, 0.1
+
+
+def _exact_classes(predictor: str) -> str:
+    """CTEs for the classifiers of one predictor: what their trees add up to, step by step, is a recursion over the
+    weights of the two classes within each value of the predictor. The weights even the classes out."""
+    rows = " UNION ALL ".join(f"SELECT '{p}' AS product, {predictor} AS v, sale_{p} AS y FROM train" for p in PRODUCTS)
+    return f"""labelled AS ({rows}),
+even AS (SELECT product, coalesce(count(*) FILTER (y <> 1)::DOUBLE / nullif(count(*) FILTER (y = 1), 0), 1) AS w FROM labelled GROUP BY product),
+cells AS (SELECT product, v, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y <> 1) AS neg FROM labelled GROUP BY ALL),
+steps AS (
+    SELECT 1 AS t, product, v, pos, neg, pos * w AS a, neg::DOUBLE AS b, (pos * w - neg) / (pos * w + neg) AS m FROM cells JOIN even USING (product)
+    UNION ALL
+    SELECT t + 1, product, v, pos, neg, a, b, m + {EXACT_RATE} * (a * 4 / (1 + exp(2 * m)) - b * 4 / (1 + exp(-2 * m))) / (a + b)
+    FROM steps WHERE t < {EXACT_TREES}
+),
+fitted AS (SELECT *, 1 / (1 + exp(-2 * m)) AS p FROM steps WHERE t = {EXACT_TREES})"""
+
+
+def _recursive(extra: str, body: str, *roles: str) -> str:
+    return with_roles(body, *roles, extra=extra).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _exact_revenue() -> tuple[str, str]:
+    """Regressors of the absolute error: each tree adds the mean sign of what is left, within each segment."""
+    rows = " UNION ALL ".join(
+        f"SELECT '{p}' AS product, coalesce(segment, 'Unknown') AS v, revenue_{p} AS y FROM train WHERE revenue_{p} <> 0" for p in PRODUCTS
+    )
+    steps = "s1 AS (SELECT product, v, avg(z) AS m FROM scaled GROUP BY ALL)"
+    for t in range(1, EXACT_TREES):
+        steps += f""",
+s{t + 1} AS MATERIALIZED (SELECT product, v, any_value(m) + {EXACT_RATE} * avg(CASE WHEN z < m THEN -1.0::DOUBLE ELSE 1.0 END) AS m
+    FROM scaled JOIN s{t} USING (product, v) GROUP BY product, v)"""
+    extra = f"""bought AS ({rows}),
+scale AS (SELECT product, avg(y) AS mean, stddev_pop(y) AS std FROM bought GROUP BY product),
+scaled AS MATERIALIZED (SELECT product, v, (y - mean) / std AS z FROM bought JOIN scale USING (product)),
+{steps}"""
+    return extra, f"""SELECT client, product, {_r('m * std + mean', 3)} AS predicted_revenue
+FROM holdout h JOIN s{EXACT_TREES} s ON coalesce(h.segment, 'Unknown') = v JOIN scale USING (product)"""
+
+
+def _exact() -> dict[str, str]:
+    classes = _exact_classes("coalesce(segment, 'Unknown')")
+    pairs = """(SELECT h.product, sum(h.pos * l.neg * CASE WHEN h.p > l.p THEN 1.0 WHEN h.p = l.p THEN 0.5 ELSE 0 END) AS right_pairs
+  FROM fitted h JOIN fitted l USING (product) GROUP BY h.product)"""
+    matrix = """(SELECT product, sum(pos) AS pos, sum(neg) AS neg, coalesce(sum(pos) FILTER (p > 0.5), 0) AS tp,
+  coalesce(sum(neg) FILTER (p > 0.5), 0) AS fp FROM fitted GROUP BY product)"""
+    ratio = lambda a, b: f"coalesce(({a})::DOUBLE / nullif({b}, 0), 0)"
+    precision, recall = ratio("tp", "tp + fp"), ratio("tp", "pos")
+    return {
+        "exact_propensity": _recursive(
+            classes,
+            f"""SELECT client, product, {_r('p')} AS predicted_probability, CAST(p > 0.5 AS INTEGER) AS predicted_class
+FROM holdout h JOIN fitted ON coalesce(h.segment, 'Unknown') = v""",
+            "holdout",
+            "train",
+        ),
+        "exact_metrics": _recursive(
+            classes,
+            f"""SELECT 'sale_' || product AS response_variable, 'segment' AS predictive_variables,
+  {_r('right_pairs / (pos * neg)')} AS auc_score, {_r(ratio('tp + neg - fp', 'pos + neg'))} AS accuracy,
+  {_r(precision)} AS precision, {_r(recall)} AS recall,
+  {_r(ratio(f'2 * {precision} * {recall}', f'{precision} + {recall}'))} AS f1_score,
+  tp::BIGINT AS true_positives, fp::BIGINT AS false_positives, (pos + neg)::BIGINT AS training_samples,
+  {_r('5.0::DOUBLE')} AS param_max_depth, {_r(f'{EXACT_TREES}.0::DOUBLE')} AS param_n_estimators,
+  {_r(f'{EXACT_RATE}::DOUBLE')} AS param_learning_rate, NULL::DOUBLE AS param_gamma
+FROM {matrix} m JOIN {pairs} q USING (product)""",
+            "train",
+        ),
+        "exact_revenue": _recursive(*_exact_revenue(), "holdout", "train"),
+        "exact_attribution": _recursive(
+            f"""{_exact_classes("coalesce(sale_f, 0)")},
+picked AS (SELECT coalesce(sale_f, 0) AS v FROM train ORDER BY md5('42:' || client), client LIMIT 100),
+base AS (SELECT product, avg(m) AS base FROM picked JOIN fitted USING (v) GROUP BY product),
+scale AS (SELECT avg(coalesce(sale_f, 0)) AS mean, stddev_pop(coalesce(sale_f, 0)) AS std FROM train)""",
+            f"""SELECT client AS instance_id, 'sale_f' AS feature_name, {_r('(v - mean) / std')} AS feature_value,
+  {_r('m - base')} AS contribution, {_r('base')} AS base_value, {_r('m')} AS margin, product
+FROM train t JOIN fitted f ON coalesce(t.sale_f, 0) = f.v JOIN base USING (product) CROSS JOIN scale""",
+            "train",
+        ),
+        "search_facts": """SELECT kind, CAST(6 AS BIGINT) AS runs, CAST(3 AS BIGINT) AS folds, CAST(0 AS BIGINT) AS not_best,
+  CAST(12 AS BIGINT) AS settings, CAST(2 AS BIGINT) AS lengths FROM (VALUES ('propensity'), ('revenue')) AS t(kind)""",
+        "model_facts": with_roles(
+            " UNION ALL ".join(
+                f"""SELECT '{p}' AS product, count(*) AS scored, count(*) FILTER (sale_{p} = 1) AS positives, true AS auc_agrees,
+  true AS auc_above_chance, count(*) FILTER (revenue_{p} <> 0) AS buyers,
+  {_r(f'avg(revenue_{p}) FILTER (revenue_{p} <> 0)', 3)} AS mean_actual, true AS mae_agrees, true AS mae_below_mean FROM train"""
+                for p in PRODUCTS
+            ),
+            "train",
+        ),
+    }
+
+
 def models() -> dict[str, str]:
     """The steps around the learner, over tables derived from the given ones, and facts of fits and scores."""
     trials = """WITH trials AS (SELECT c_custkey % 12 AS iteration_id, c_custkey // 12 AS setting,
@@ -506,7 +594,7 @@ def models() -> dict[str, str]:
   count(*) FILTER (sale_{p} = 0) AS negatives, count(*) AS training_samples FROM train"""
         for p in PRODUCTS
     )
-    return {
+    return _exact() | {
         "sample_rows": with_roles(
             "SELECT client, sale_o FROM train ORDER BY md5('42:' || client), client LIMIT 1000", "train"
         ),
@@ -547,11 +635,16 @@ FROM (SELECT o_orderpriority FROM orders ORDER BY o_orderkey DESC LIMIT 1)""",
 
 def files() -> dict[str, str]:
     loaded = " UNION ALL ".join(
-        f"SELECT '{t}_ingestion' AS job, 'bronze' AS layer, '{t}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {t}"
-        for t in ("customer", "orders", "nation")
+        f"SELECT '{t}_ingestion' AS job, 'bronze' AS layer, '{t}' AS \"table\", 'ok' AS status, count(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM {t}"
+        for t in ("customer", "orders", "nation", "region", "supplier")
     )
     return {
-        "ingest_jobs": f"{loaded} UNION ALL SELECT 'absent_ingestion', 'bronze', 'absent', 'failed', NULL",
+        "ingest_jobs": f"{loaded} UNION ALL SELECT 'absent_ingestion', 'bronze', 'absent', 'failed', NULL, NULL",
+        "ingested_sheet_orders": "SELECT * FROM orders",
+        "ingested_sheet_customer": "SELECT * FROM customer",
+        "torn_sheet": "SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN 'o_totalprice is no double: n/a' END AS reason FROM orders",
+        "replaced_from_itself": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS priority FROM orders",
         "ingested_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "sql_with_repeats": with_roles(
             "SELECT sale_o, count_f, * EXCLUDE (sale_o, count_f), sale_o AS sale_o_1, count_f AS count_f_1 "

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import lru_cache, reduce
+from multiprocessing.pool import ThreadPool
 from threading import RLock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,28 +166,20 @@ def _category_columns(r: Roles) -> DataFrame:
     return r.spark.createDataFrame([(c,) for c in found], "data_field_name string")
 
 
-def _distributions(r: Roles, df: DataFrame | None = None, columns=TRAIN_CATEGORIES) -> DataFrame:
-    """The distribution column of the categorical profile, as text in the order of the values."""
-    profile = profiling.categorical_profile(r.train if df is None else df, columns)
-    entry = lambda e: F.format_string("%s=%d", e["key"], e["value"]["count"])
-    entries = F.transform(F.array_sort(F.map_entries("category_distribution")), entry)
-    return profile.select("data_field_name", F.array_join(entries, ";").alias("distribution"))
-
-
 PROFILING = {
     "profile_numeric": lambda r: _rounded(_without_ids(profiling.numeric_profile(written(r.train)))),
     "profile_numeric_lineitem": lambda r: _rounded(
         _without_ids(profiling.numeric_profile(r.table("lineitem")))
     ),
     "profile_categorical": lambda r: _without_ids(
-        profiling.categorical_profile(r.train, TRAIN_CATEGORIES, with_map=False)
+        profiling.categorical_profile(r.train, TRAIN_CATEGORIES)
     ),
     "profile_categorical_orders": lambda r: _without_ids(
-        profiling.categorical_profile(r.table("orders"), with_map=False)
+        profiling.categorical_profile(r.table("orders"))
     ),
     "category_columns": _category_columns,
-    "profile_distributions": _distributions,
-    "profile_distributions_customers": lambda r: _distributions(r, r.table("orders").select("o_custkey"), ["o_custkey"]),
+    "profile_distributions": lambda r: profiling.category_distribution(written(r.train), TRAIN_CATEGORIES),
+    "profile_distributions_customers": lambda r: profiling.category_distribution(r.table("orders"), ["o_custkey"]),
     "category_distribution": lambda r: profiling.category_distribution(r.train, TRAIN_CATEGORIES),
     "category_distribution_events": lambda r: profiling.category_distribution(
         r.table("events"), ["event_type", "props"]
@@ -301,15 +295,15 @@ METRICS = {
 }
 
 
-# Small searches and fits: their shape is that of the full ones, which take hours by design.
-SMALL_SPACE = {
-    "max_depth": [2, 3, 4],
-    "min_child_weight": [1, 5],
-    "gamma": [0.0, 1.0],
-    "colsample_bytree": [0.6, 0.8],
-    "learning_rate": [0.1, 0.2, 0.3],
-    "n_estimators": [3, 5],
-}
+# The ranges of a search, but for the number of trees: a tree costs the learner a dozen short jobs, so
+# that the hundreds of the full ranges take hours. README has the measured times.
+LENGTHS = [3, 6]
+
+
+def _space(name: str) -> dict[str, list]:
+    return {**training.SPACES[name], "n_estimators": LENGTHS}
+
+
 FIXED_SETTINGS = {"max_depth": 3, "n_estimators": 4, "learning_rate": 0.3}
 
 
@@ -331,13 +325,24 @@ def _train_buyers(r: Roles) -> DataFrame:
     return tables.scan(r.train, non_zero="revenue_o")
 
 
-def _search(r: Roles, spec: training.ModelSpec, df: DataFrame, **more) -> training.SearchResult:
-    return training.search(df, spec, space=SMALL_SPACE, k_folds=(3,), runs_per_k=1, n_iter=2, **more)
+@lru_cache(maxsize=16)
+def _search(spark: SparkSession, sf_dir: str, kind: str, product: str, space: str, runs: int) -> training.SearchResult:
+    """Runs for each of 3, 4 and 5 folds, kept for the queries that ask for different sides of a search."""
+    r = Roles(spark, sf_dir)
+    train = written(r.train)
+    if kind == "propensity":
+        spec, rows = _propensity_spec(product), train
+    else:
+        spec, rows = _revenue_spec(product), tables.scan(train, non_zero=f"revenue_{product}")
+    return training.search(rows, spec, space=_space(space), runs_per_k=runs, n_iter=2, parallelism=8, staged=True, importance=kind == "revenue")
+
+
+def _runs(kind: str, space: str | None = None, runs: int = 2) -> Callable[[Roles], training.SearchResult]:
+    return lambda r: _search(r.spark, r.sf_dir, kind, "o", space or kind, runs)
 
 
 def _best_parameters(r: Roles) -> DataFrame:
-    spec = _propensity_spec()
-    best = training.best_parameters(_search(r, spec, r.train).runs, spec)
+    best = training.best_parameters(_runs("propensity")(r).runs, _propensity_spec())
     return r.spark.createDataFrame([tuple(map(float, best.values()))], [*best])
 
 
@@ -484,11 +489,156 @@ def _attribution(r: Roles, spec: training.ModelSpec, df: DataFrame, **more) -> D
     return attribution.attribute(final.model, df, r.holdout, "client", **more)
 
 
+# Models of one categorical predictor, whose trees part all categories: what they predict has a closed form.
+EXACT_SETTINGS = {"max_depth": 5, "n_estimators": 50, "learning_rate": 0.1}
+
+
+def _exact_spec(kind: str, p: str, predictor: str = "segment") -> training.ModelSpec:
+    target = f"sale_{p}" if kind == "propensity" else f"revenue_{p}"
+    categorical = (predictor,) if predictor == "segment" else ()
+    return training.ModelSpec(f"exact_{p}", kind, target, "client", (predictor,), categorical, scale_target=kind == "revenue")
+
+
+@lru_cache(maxsize=16)
+def _exact_models(spark: SparkSession, sf_dir: str, kind: str, predictor: str = "segment") -> dict[str, training.FinalModel]:
+    """A model per product, fitted side by side and kept for the queries that use them."""
+    train = written(Roles(spark, sf_dir).train)
+
+    def fit(p: str) -> training.FinalModel:
+        rows = train if kind == "propensity" else tables.scan(train, non_zero=f"revenue_{p}")
+        return training.fit_final(rows, _exact_spec(kind, p, predictor), EXACT_SETTINGS)
+
+    with ThreadPool(len(PRODUCTS)) as pool:
+        return dict(zip(PRODUCTS, pool.map(inheritable_thread_target(spark)(fit), PRODUCTS, chunksize=1)))
+
+
+def _exact_propensity(r: Roles) -> DataFrame:
+    """Probability and class of every holdout client for every product, after 50 trees."""
+    scored = [
+        training.score_propensity(final.model, r.holdout, "client").select(
+            "client", F.lit(p).alias("product"), "predicted_probability", "predicted_class"
+        )
+        for p, final in _exact_models(r.spark, r.sf_dir, "propensity").items()
+    ]
+    return _rounded(reduce(DataFrame.unionByName, scored))
+
+
+def _exact_metrics(r: Roles) -> DataFrame:
+    """Metrics of the training rows, and the history row's names and settings."""
+    names = "response_variable predictive_variables auc_score accuracy precision recall f1_score true_positives false_positives".split()
+    names += ["training_samples", "param_max_depth", "param_n_estimators", "param_learning_rate", "param_gamma"]
+    found = []
+    for final in _exact_models(r.spark, r.sf_dir, "propensity").values():
+        # by way of a table, as history is read back
+        path = tables.TableStore(r.spark, scratch_path(r.spark, "history"))
+        path.append(final.history_row(), "models", "final")
+        history = path.read("models", "final").select(*names)
+        found.append(history.withColumn("training_samples", F.col("training_samples").cast("long")))
+    return _rounded(reduce(DataFrame.unionByName, found))
+
+
+def _exact_revenue(r: Roles) -> DataFrame:
+    """Revenue of every holdout client for every product, saved, loaded and back on the target's own scale."""
+    scored = []
+    for p, final in _exact_models(r.spark, r.sf_dir, "revenue").items():
+        path = scratch_path(r.spark, "model")
+        training.save_model(final, path)
+        model, scaler = training.load_model(r.spark, path, scaled=True)
+        rows = training.score_revenue(model, r.holdout, "predicted_revenue", scaler)
+        scored.append(rows.select("client", F.lit(p).alias("product"), "predicted_revenue"))
+    return _rounded(reduce(DataFrame.unionByName, scored), 3)
+
+
+def _exact_attribution(r: Roles) -> DataFrame:
+    """Every training client's contribution of the one predictor, for every product."""
+    train = written(r.train)
+    parts = []
+    for p, final in _exact_models(r.spark, r.sf_dir, "propensity", "sale_f").items():
+        detail = attribution.attribute(final.model, train, train, "client")
+        parts.append(detail.withColumn("product", F.lit(p)))
+    return _rounded(reduce(DataFrame.unionByName, parts))
+
+
+def _search_facts(r: Roles) -> DataFrame:
+    """What a search must hold, by kind: runs, folds, settings, lengths, and runs that do not keep their best setting."""
+    found = []
+    for kind in ("propensity", "revenue"):
+        result = _runs(kind)(r)
+        score = training.SCORE[kind]
+        best = F.max(score) if kind == "propensity" else F.min(score)
+        best = result.settings.groupBy("iteration_id").agg(best.alias("best"))
+        runs = result.runs.join(best, "iteration_id")
+        facts = runs.agg(
+            F.lit(kind).alias("kind"),
+            F.count(F.lit(1)).alias("runs"),
+            F.countDistinct("k_folds").alias("folds"),
+            F.count_if(F.col(score) != F.col("best")).alias("not_best"),
+        )
+        sizes = result.settings.agg(F.count(F.lit(1)).alias("settings"), F.countDistinct("n_estimators").alias("lengths"))
+        found.append(facts.join(F.broadcast(sizes)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _model_facts(r: Roles) -> DataFrame:
+    """The models of all predictors, by product: their metrics against the scores themselves, and a mean's.
+
+    The area under the curve is counted anew by pairs of rows, the error by rows; a model that learns nothing
+    is no better than chance or than the mean.
+    """
+    train = written(r.train)
+
+    def facts(p: str) -> list:
+        final = training.fit_final(train, _propensity_spec(p), FIXED_SETTINGS)
+        scores = training.score_propensity(final.model, train, "client").join(train.select("client", f"sale_{p}"), "client")
+        counts = scores.groupBy("predicted_probability").agg(
+            F.count_if(F.col(f"sale_{p}") == 1).alias("pos"), F.count_if(F.col(f"sale_{p}") == 0).alias("neg")
+        )
+        high, low = counts.where("pos > 0").alias("high"), counts.where("neg > 0").alias("low")
+        right = F.when(F.col("high.predicted_probability") > F.col("low.predicted_probability"), 1.0).when(
+            F.col("high.predicted_probability") == F.col("low.predicted_probability"), 0.5
+        )
+        pairs = F.col("high.pos") * F.col("low.neg")
+        auc = high.join(low, F.col("high.predicted_probability") >= F.col("low.predicted_probability")).agg(F.sum(right * pairs)).first()[0]
+        row = final.metrics.first()
+        all_pairs = row["positive_class_count"] * row["negative_class_count"]
+        buyers = tables.scan(train, non_zero=f"revenue_{p}")
+        revenue = training.fit_final(buyers, _revenue_spec(p), FIXED_SETTINGS)
+        predicted = training.score_revenue(revenue.model, buyers, "predicted", revenue.scaler)
+        target = F.col(f"revenue_{p}")
+        mean = buyers.agg(F.avg(target)).first()[0]
+        errors = predicted.agg(F.avg(F.abs(target - F.col("predicted"))), F.avg(F.abs(target - mean))).first()
+        tested = revenue.metrics.first()
+        return [
+            p,
+            scores.count(),
+            row["positive_class_count"],
+            abs(row["auc_score"] - auc / all_pairs) < 1e-9,
+            row["auc_score"] > 0.5,
+            tested["samples"],
+            round(tested["mean_actual"] + 1e-8, 3),
+            abs(tested["mae"] - errors[0]) < 1e-6 * errors[0],
+            errors[0] < errors[1],
+        ]
+
+    with ThreadPool(len(PRODUCTS)) as pool:
+        rows = pool.map(inheritable_thread_target(r.spark)(facts), PRODUCTS, chunksize=1)
+    columns = "product string, scored long, positives long, auc_agrees boolean, auc_above_chance boolean, buyers long, "
+    columns += "mean_actual double, mae_agrees boolean, mae_below_mean boolean"
+    return r.spark.createDataFrame(rows, columns)
+
+
 MODELS = {
-    "search_propensity": lambda r: _search(r, _propensity_spec(), r.train).runs,
-    "search_revenue": lambda r: _search(r, _revenue_spec(), _train_buyers(r), importance=False).runs,
-    "top_settings": lambda r: training.top_settings(_search(r, _propensity_spec(), r.train), _propensity_spec(), 1),
-    "feature_importance": lambda r: _search(r, _revenue_spec(), _train_buyers(r)).importance,
+    "search_propensity": lambda r: _runs("propensity")(r).runs,
+    "search_revenue": lambda r: _runs("revenue")(r).runs,
+    "search_facts": _search_facts,
+    "top_settings": lambda r: training.top_settings(_runs("propensity")(r), _propensity_spec(), 2),
+    "search_top": lambda r: training.top_settings(_runs("propensity", "propensity_top", 1)(r), _propensity_spec(), 3),
+    "feature_importance": lambda r: _runs("revenue")(r).importance,
+    "exact_propensity": _exact_propensity,
+    "exact_metrics": _exact_metrics,
+    "exact_revenue": _exact_revenue,
+    "exact_attribution": _exact_attribution,
+    "model_facts": _model_facts,
     "best_params": _best_parameters,
     "best_run": _best_run,
     "ranked_settings": _ranked_settings,
@@ -515,19 +665,59 @@ MODELS = {
 }
 
 
+SHEETS = ("customer", "orders", "nation", "region", "supplier")
+
+
+def _sheet_jobs(r: Roles, root: str) -> list[ingest.IngestJob]:
+    """All columns of the raw tables as text sheets, and the jobs that load them."""
+    jobs = []
+    for name in SHEETS:
+        df = r.table(name)
+        export.export_csv(df, f"{root}/raw", f"{name}.csv")
+        options = {"multiLine": "true"}
+        jobs.append(
+            ingest.IngestJob(f"{name}_ingestion", "bronze", name, f"{root}/raw", name, schema=df.schema, options=options)
+        )
+    return jobs
+
+
 def _ingest(r: Roles) -> DataFrame:
     """Export the raw tables as text sheets, then ingest them by job file; one job fails on purpose."""
     root = scratch_path(r.spark, "ingest")
-    jobs = []
-    for name, schema in SHEETS.items():
-        columns = [c.split()[0] for c in schema.split(",")]
-        export.export_csv(r.table(name).select(*columns), f"{root}/raw", f"{name}.csv")
-        jobs.append(ingest.IngestJob(f"{name}_ingestion", "bronze", name, f"{root}/raw", name, schema=schema))
+    jobs = _sheet_jobs(r, root)
     jobs.insert(1, ingest.IngestJob("absent_ingestion", "bronze", "absent", f"{root}/raw", "absent"))
     store = tables.TableStore(r.spark, f"{root}/lake")
     status = ingest.run_jobs(store, jobs)
     store.require(*[("bronze", name) for name in SHEETS])
-    return status.select("job", "layer", "table", "status", "rows")
+    return status.select("job", "layer", "table", "status", "rows", "rejected")
+
+
+def _ingested_sheet(name: str) -> Query:
+    """A table as it is after its way through a sheet: every column, every value."""
+
+    def run(r: Roles) -> DataFrame:
+        root = scratch_path(r.spark, "sheets")
+        store = tables.TableStore(r.spark, f"{root}/lake")
+        jobs = [job for job in _sheet_jobs(r, root) if job.table == name]
+        ingest.run_jobs(store, jobs)
+        return store.read("bronze", name)
+
+    return run
+
+
+def _torn_sheet(r: Roles) -> DataFrame:
+    """Orders whose sheet has odd cells: those rows are rejected by place, the others are in the table."""
+    root = scratch_path(r.spark, "torn")
+    odd = F.when(F.col("o_orderkey") % 100 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    sheet = r.table("orders").select("o_orderkey", odd.alias("o_totalprice"), "o_orderstatus")
+    export.export_csv(sheet, f"{root}/raw", "orders.csv")
+    job = ingest.IngestJob("torn", "bronze", "orders", f"{root}/raw", "orders", schema="o_orderkey long, o_totalprice double, o_orderstatus string")
+    store = tables.TableStore(r.spark, f"{root}/lake")
+    ingest.run_jobs(store, [job])
+    kept = store.read("bronze", "orders").select("o_orderkey", F.lit(None).cast("string").alias("reason"))
+    rejected = store.read("bronze", ingest.rejects_table("orders"))
+    key = F.get_json_object("text", "$.o_orderkey").cast("long")
+    return kept.union(rejected.select(key.alias("o_orderkey"), "reason"))
 
 
 def _ingested_orders(r: Roles) -> DataFrame:
@@ -540,6 +730,22 @@ def _ingested_orders(r: Roles) -> DataFrame:
     return store.read("bronze", "orders")
 
 
+def _replaced_from_itself(r: Roles) -> DataFrame:
+    """A path table that is replaced from itself, appended to by rows with one more column, and left by a failing write."""
+    store = tables.TableStore(r.spark, scratch_path(r.spark, "versions"))
+    orders = r.table("orders").select("o_orderkey", "o_orderstatus")
+    store.replace(orders, "bronze", "orders")
+    store.replace(store.read("bronze", "orders").where("o_orderstatus <> 'P'"), "bronze", "orders")
+    late = r.table("orders").where("o_orderstatus = 'P'").select("o_orderkey", F.col("o_orderpriority").alias("priority"))
+    store.append(late, "bronze", "orders")
+    broken = r.table("orders").selectExpr("o_orderkey", "CAST(o_orderpriority AS INT) AS n")
+    try:
+        store.replace(broken, "bronze", "orders")
+    except Exception:  # noqa: BLE001 - the table stays as it was
+        return store.read("bronze", "orders")
+    raise ValueError("the broken rows were written")
+
+
 def _sql_with_repeats(r: Roles) -> DataFrame:
     r.train.createOrReplaceTempView("silver_train")
     text = "SELECT sale_o, count_f, * FROM silver_train WHERE sale_o = 1"
@@ -559,15 +765,13 @@ def _sql_status(r: Roles) -> DataFrame:
     return back.withColumns({"good_status": F.lit(good.status), "bad_status": F.lit(bad.status)})
 
 
-SHEETS = {
-    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-}
-
 FILES = {
     "ingest_jobs": _ingest,
     "ingested_orders": _ingested_orders,
+    "ingested_sheet_orders": _ingested_sheet("orders"),
+    "ingested_sheet_customer": _ingested_sheet("customer"),
+    "torn_sheet": _torn_sheet,
+    "replaced_from_itself": _replaced_from_itself,
     "sql_with_repeats": _sql_with_repeats,
     "sql_status": _sql_status,
 }
