@@ -1,7 +1,7 @@
 """Mixing sources by temperature.
 
-Source shares of tokens are raised to an exponent between 1 (as they are) and 0 (all sources alike) and
-normalised. The exponent is bisected: the flattest mixture whose entropy stays within a target and that
+Source shares of tokens are raised to an exponent (1: as they are, 0: all sources alike, above 1: the large
+ones more) and normalised. The exponent is bisected: the flattest mixture whose entropy stays within a target and that
 repeats no source more often than allowed. Each source then has a token budget. Its documents are read
 in passes, each in a seeded permutation of its own, until the budget is used; the place in that stream
 says to which block a document goes, so every block of the result mixes the sources by their weights.
@@ -13,6 +13,7 @@ that no task holds a source, however large it is.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +29,8 @@ MAX_REPEATS = 4.0
 ENTROPY_SHARE = 0.98
 #: Exponents tried in one pass over the sources; each pass narrows the interval by as much.
 TRIED = 32
+#: The exponent grows up to this power of two.
+MAX_DOUBLINGS = 10
 
 
 @dataclass(frozen=True)
@@ -51,21 +54,42 @@ def source_totals(docs: DataFrame, source: str = "source", tokens: str = "tokens
     return docs.where(F.col(tokens) > 0).groupBy(source).agg(F.count("*").alias("docs"), F.sum(tokens).alias("tokens"))
 
 
-def find_exponent(totals: DataFrame, target: Target) -> tuple[float, float, int, int]:
-    """(exponent, sum of powered shares, all tokens, budget) of the flattest mixture within ``target``."""
-    whole, count = totals.agg(F.sum("tokens"), F.count("*")).first()
+@dataclass(frozen=True)
+class Temperature:
+    """The exponent found, the sum of powered shares ``z``, all tokens, the budget and the largest source's tokens.
+
+    ``met`` is false where no exponent has the entropy wanted within the repetition limit.
+    """
+
+    exponent: float
+    z: float
+    whole: int
+    budget: int
+    largest: int
+    met: bool
+
+
+def find_exponent(totals: DataFrame, target: Target) -> Temperature:
+    """The flattest mixture within ``target``.
+
+    Entropy falls as the exponent grows. Where the sources as they are (exponent 1) are flatter than wanted,
+    the exponent grows above 1, for as long as no source is repeated too often; sources that are all alike
+    stay so, and then the target is not met.
+    """
+    whole, count, largest = totals.agg(F.sum("tokens"), F.count("*"), F.max("tokens")).first()
     if not whole:
-        return 1.0, 1.0, 0, 0
+        return Temperature(1.0, 1.0, 0, 0, 1, True)
     budget = whole if target.budget is None else target.budget
     if budget > target.max_repeats * whole:
         raise ValueError(f"{budget} tokens need more than {target.max_repeats} repeats of {whole}")
     ceiling = math.inf if target.entropy is None else target.entropy
     if target.entropy_share is not None:
         ceiling = min(ceiling, target.entropy_share * math.log(count))
-    log_share = F.log(F.col("tokens") / F.lit(whole))
+    # relative to the largest source, so that no sum of powers vanishes
+    log_share = F.log(F.col("tokens") / F.lit(largest))
 
-    def measure(exponents: list[float]) -> list[tuple[float, float, float]]:
-        """Sum of powers, entropy and largest repetition for each exponent, in one pass."""
+    def measure(exponents: list[float]) -> list[tuple[float, bool, bool]]:
+        """Sum of powers, and whether entropy and repetition are within the target, in one pass."""
         sums = []
         for a in exponents:
             power = F.exp(a * log_share)
@@ -74,30 +98,48 @@ def find_exponent(totals: DataFrame, target: Target) -> tuple[float, float, int,
         out = []
         for k, a in enumerate(exponents):
             z, weighted, rate = row[3 * k : 3 * k + 3]
-            out.append((z, math.log(z) - a * weighted / z, rate / z * budget))
+            entropy = math.log(z) - a * weighted / z
+            out.append((z, entropy <= ceiling + 1e-12, rate / z * budget <= target.max_repeats * (1 + 1e-12)))
         return out
 
-    low, high = 0.0, 1.0
-    z = measure([1.0])[0][0]
-    for _ in range(8):
-        tried = [low + (high - low) * k / TRIED for k in range(TRIED + 1)]
-        found = measure(tried)
-        fits = [h <= ceiling + 1e-12 and most <= target.max_repeats * (1 + 1e-12) for _, h, most in found]
-        first = next((k for k, ok in enumerate(fits) if ok), TRIED)
-        low, high, z = tried[max(first - 1, 0)], tried[first], found[first][0]
-        if first == 0 or high - low < 1e-12:
-            break
-    return high, z, whole, budget
+    def narrowed(low: float, high: float, right: Callable[[tuple], bool]) -> float:
+        """The smallest exponent above ``low`` that is right, where ``high`` is and all above it are."""
+        for _ in range(12):
+            tried = [low + (high - low) * k / TRIED for k in range(TRIED + 1)]
+            first = next((k for k, found in enumerate(measure(tried)) if right(found)), TRIED)
+            low, high = tried[max(first - 1, 0)], tried[first]
+            if first == 0 or high - low < 1e-12 * max(high, 1.0):
+                break
+        return high
+
+    met = True
+    if measure([1.0])[0][1]:
+        exponent = narrowed(0.0, 1.0, lambda f: f[1] and f[2])
+    else:
+        grown = [2.0**k for k in range(1, MAX_DOUBLINGS + 1)]
+        enough = next((a for a, f in zip(grown, measure(grown)) if f[1]), None)
+        exponent = grown[-1] if enough is None else narrowed(enough / 2, enough, lambda f: f[1])
+        met = enough is not None
+        if not measure([exponent])[0][2]:
+            # the last exponent that repeats no source too often
+            exponent, met = narrowed(1.0, exponent, lambda f: not f[2]), False
+            exponent = max(1.0, exponent * (1 - 1e-9))
+        elif not met:
+            exponent = 1.0
+    z = measure([exponent])[0][0]
+    return Temperature(exponent, z * (largest / whole) ** exponent, whole, budget, largest, met)
 
 
 def weights(totals: DataFrame, target: Target) -> DataFrame:
-    """``totals`` with weight, budget (tokens of the source in the result) and repeats."""
-    exponent, z, whole, budget = find_exponent(totals, target)
-    weight = F.exp(exponent * F.log(F.col("tokens") / F.lit(max(whole, 1)))) / F.lit(z)
-    return totals.withColumn("weight", weight).withColumns(
+    """``totals`` with weight, exponent, met, budget (tokens of the source in the result) and repeats."""
+    found = find_exponent(totals, target)
+    power = F.exp(found.exponent * F.log(F.col("tokens") / F.lit(found.largest)))
+    z = totals.agg(F.sum(power)).first()[0] or 1.0
+    return totals.withColumn("weight", power / F.lit(z)).withColumns(
         {
-            "budget": F.floor(F.col("weight") * F.lit(budget)).cast("long"),
-            "exponent": F.lit(exponent),
+            "budget": F.floor(F.col("weight") * F.lit(found.budget)).cast("long"),
+            "exponent": F.lit(found.exponent),
+            "met": F.lit(found.met),
         }
     ).withColumn("repeats", F.col("budget") / F.col("tokens"))
 

@@ -24,7 +24,8 @@ def entropy(w):
 def test_exponent_meets_the_target(spark, share, repeats):
     tokens = {"a": 90_000, "b": 9_000, "c": 900, None: 100}
     totals = totals_of(spark, tokens)
-    exponent, z, whole, budget = mixing.find_exponent(totals, mixing.Target(entropy_share=share, max_repeats=repeats))
+    found = mixing.find_exponent(totals, mixing.Target(entropy_share=share, max_repeats=repeats))
+    exponent, z, whole, budget = found.exponent, found.z, found.whole, found.budget
     p = [n / whole for n in tokens.values()]
 
     def state(a):
@@ -34,9 +35,8 @@ def test_exponent_meets_the_target(spark, share, repeats):
 
     h, most = state(exponent)
     assert most <= repeats * (1 + 1e-6)
-    if h > share * math.log(4) + 1e-9:
-        assert exponent == 1.0  # flatter than wanted as it is
-    elif exponent > 0:
+    assert found.met and h <= share * math.log(4) + 1e-9
+    if exponent > 0:
         flatter_h, flatter_most = state(exponent - 1e-6)
         assert flatter_h > share * math.log(4) or flatter_most > repeats
     assert z == pytest.approx(sum(x**exponent for x in p))
@@ -44,6 +44,40 @@ def test_exponent_meets_the_target(spark, share, repeats):
         mixing.find_exponent(totals, mixing.Target(max_repeats=1.0, budget=whole + 1))
 
 
+@pytest.mark.parametrize("tokens", [{"a": 1000, "b": 990, "c": 980}, {k: 10_000 + 7 * k for k in range(50)}, {"a": 5, "b": 4}])
+def test_sources_flatter_than_wanted(spark, tokens):
+    """The exponent grows above 1 until the entropy is met."""
+    tokens = {str(k): n for k, n in tokens.items()}
+    share = 0.9
+    found = mixing.find_exponent(totals_of(spark, tokens), mixing.Target(entropy_share=share, max_repeats=1000.0))
+    assert found.met and found.exponent > 1
+    w = [(n / found.whole) ** found.exponent for n in tokens.values()]
+    assert entropy([x / sum(w) for x in w]) == pytest.approx(share * math.log(len(tokens)), abs=1e-6)
+    weighed = mixing.weights(totals_of(spark, tokens), mixing.Target(entropy_share=share, max_repeats=1000.0)).collect()
+    assert sum(r.weight for r in weighed) == pytest.approx(1.0) and all(r.met for r in weighed)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    # sources alike stay alike, whatever the exponent
+    alike = mixing.find_exponent(totals_of(spark, {"a": 50, "b": 50}), mixing.Target(entropy_share=0.5))
+    assert (alike.exponent, alike.met) == (1.0, False)
+    # the entropy would need more repeats than allowed: as far as those go
+    tokens = {"a": 1000, "b": 900, "c": 800}
+    tight = mixing.find_exponent(totals_of(spark, tokens), mixing.Target(entropy_share=0.2, max_repeats=1.5))
+    w = [(n / 2700) ** tight.exponent for n in tokens.values()]
+    most = max(x / sum(w) * 2700 / n for x, n in zip(w, tokens.values()))
+    assert not tight.met and most == pytest.approx(1.5, abs=1e-6)
+    one = mixing.find_exponent(totals_of(spark, {"a": 5}), mixing.Target(entropy_share=0.98))
+    assert one.met
+    assert mixing.find_exponent(totals_of(spark, {"a": 5}).limit(0), mixing.Target(entropy_share=0.98)).met
+
+
+def test_target_binds_on_the_given_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("source", mixing.count_tokens("text").alias("tokens"))
+    found = mixing.find_exponent(mixing.source_totals(docs), mixing.Target(entropy_share=mixing.ENTROPY_SHARE))
+    assert found.met and found.exponent != 1.0
+
+
 def brute(docs, target, block_tokens, seed_order):
     """Streams of the sources in the order of the operator's hash, cut by budget."""
     out = {}
