@@ -18,12 +18,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propense.llm.common import stored
+
 UNDETERMINED = "und"
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3, 4)
 PIECE = 1 << 20
 #: Labelled rows per language that a fit reads at most.
 PER_CLASS = 1000
+#: Times as many rows are kept for the exact choice.
+SPARE = 4
 #: Language families by ISO 639-1 code. A language that is not listed is its own family.
 FAMILIES = {
     "germanic": "af da de en is nl no sv".split(),
@@ -122,24 +126,43 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 5 == 0, F.lit(True))
 
 
+def _sample(rows: DataFrame, per_class: int) -> DataFrame:
+    """(lang, text) of the ``per_class`` smallest hashes of each language, every (id, text) once.
+
+    One count says below which hash a few times as many rows lie; only those are kept, ranked and, where
+    repeated rows have made the count too large, looked for further up. So what reaches the task of a
+    language does not grow with the table.
+    """
+    share = {r["lang"]: min(1.0, SPARE * per_class / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    while True:
+        cut = F.lit(None).cast("double")
+        for lang, s in share.items():
+            # the hash is even over all longs
+            cut = F.when(F.col("lang") == lang, F.lit(-(2.0**63) + s * 2.0**64)).otherwise(cut)
+        near = rows.where(F.col("hash") <= cut).withColumn("text_hash", F.xxhash64("text"))
+        near = stored(near.dropDuplicates(["id", "lang", "text_hash"]), "language-sample")
+        found = dict(near.groupBy("lang").agg(F.count("*")).collect())
+        few = [lang for lang, s in share.items() if s < 1 and found.get(lang, 0) < per_class]
+        if not few:
+            break
+        share |= {lang: min(1.0, share[lang] * 16) for lang in few}
+    best = Window.partitionBy("lang").orderBy("hash", "id", "text_hash")
+    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= per_class).select("text", "lang")
+
+
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", per_class: int = PER_CLASS) -> LanguageModel:
     """A model of the labelled rows of ``docs`` that are not held out.
 
     Rows with a null label or a text without letters teach nothing; without labelled rows the model knows
-    no language. Equal hashes of repeated ids are ordered by text.
+    no language. Rows that repeat an id and its text are one row of the sample; equal hashes of repeated ids
+    are ordered by text.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
     rows = rows.withColumn("hash", F.xxhash64(F.col("id").cast("string")))
-    # the sample is chosen on narrow rows; every task passes on no more than it keeps itself
-    ranked = rows.select("id", "lang", "hash").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
-    )
-    chosen = ranked.where(F.col("rank") <= per_class).select("id", "lang").distinct()
-    # no more rows than per_class for each language: small enough to send, so that no text moves
-    sample = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
+    sample = _sample(rows, per_class)
     languages: dict[str, list[str]] = {}
-    for r in chosen.select("lang").distinct().collect():
+    for r in sample.select("lang").distinct().collect():
         languages.setdefault(family(r["lang"]), []).append(r["lang"])
     languages = {f: sorted(names) for f, names in sorted(languages.items())}
     pairs = [(a, b, True) for a, b in combinations(languages, 2)]

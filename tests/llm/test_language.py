@@ -69,6 +69,73 @@ def test_svm_separates():
     assert (np.sign(x @ w[:-1] + w[-1]) == y).mean() > 0.95
 
 
+def newton(x, y, penalty):
+    """The same objective by Newton steps on all weights at once."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    share = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum())) * penalty
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        slack = np.maximum(1 - y * (x @ w), 0)
+        some = slack > 0
+        gradient = w - 2 * x.T @ (share * y * slack)
+        hessian = np.eye(len(w)) + 2 * (x[some] * share[some, None]).T @ x[some]
+        w = w - np.linalg.solve(hessian, gradient)
+    return w
+
+
+def test_svm_equals_a_reference_solver():
+    rng = np.random.default_rng(4)
+    for n, size in ((60, 4), (120, 10)):
+        x = rng.standard_normal((n, size)).astype(np.float32)
+        y = np.where(x[:, 0] + 0.5 * rng.standard_normal(n) > 0.4, 1, -1)
+        want, got = newton(x.astype(float), y, 10.0), language.fit_svm(x, y, rounds=3000)
+        assert np.abs(got - want).max() < 2e-3 * np.abs(want).max()
+
+
+def test_votes_by_hand(spark, sf_dir):
+    """All pairs of families, then all pairs of the languages of the best one, written out."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.fit(docs)
+
+    def best(x, names):
+        won, sure = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                margin = float(np.dot(x, model.machines[a, b][:-1]) + model.machines[a, b][-1])
+                chance = 1 / (1 + np.exp(-4 * min(max(margin, -8), 8)))
+                won[a if margin >= 0 else b] += 1
+                sure[a] += chance
+                sure[b] += 1 - chance
+        top = sorted(names, key=lambda c: (-won[c], -sure[c], c))[0]
+        return top, sure[top] / max(len(names) - 1, 1) if len(names) > 1 else 1.0
+
+    for r in language.identify(docs, model).collect():
+        x = language.features(r.text)
+        if x is None:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        group, sure = best(x, sorted(model.languages))
+        name, surer = best(x, model.languages[group])
+        assert r.lang_pred == name and r.score == pytest.approx(sure * surer, abs=1e-6)
+
+
+def test_the_sample_is_bounded_and_exact(spark, monkeypatch):
+    """Massively repeated ids and rows do not fill it; it is the rows with the smallest hashes."""
+    rows = [(k, f"text {k}", "en") for k in range(900)] + [(5, f"other text {k}", "en") for k in range(3000)]
+    rows += [(7, "the same", "de")] * 5000 + [(k, f"wort {k}", "de") for k in range(1000, 1040)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").repartition(7)
+    df = df.withColumn("hash", language.F.xxhash64(language.F.col("id").cast("string")))
+    hashes = {r.id: r.hash for r in df.select("id", "hash").distinct().collect()}
+    for spare in (4, 1):
+        monkeypatch.setattr(language, "SPARE", spare)
+        got = sorted((r.lang, r.text) for r in language._sample(df, 100).collect())
+        assert len(got) == 100 + 41
+        english = sorted({r for r in rows if r[2] == "en"}, key=lambda r: hashes[r[0]])
+        last = hashes[english[99][0]]
+        sure = {(r[2], r[1]) for r in english if hashes[r[0]] < last}
+        assert sure <= set(got) and {t for g, t in got if g == "de"} == {r[1] for r in rows if r[2] == "de"}
+
+
 def test_families_come_first():
     model = language.LanguageModel(
         {"family:germanic": ["de", "en"], "family:romance": ["es", "fr"]},
