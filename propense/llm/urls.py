@@ -29,6 +29,8 @@ TELLING = (
 COMMON = "best blog buy club deals free game games home info mail mobile money news online play shop store web win".split()
 KNOWN_COUNT = 100
 LONGEST_WORD = 24
+#: Letters of a name that are taken apart at a time.
+PART = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NUMBER = "#"
 
@@ -82,20 +84,31 @@ def split_name(name: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1]
 
 
+def _possible_words(names: DataFrame) -> DataFrame:
+    """(name_1, name_2, word): all pieces of each name up to the longest word, names by 128 bits of hash.
+
+    A long name is cut into parts of ``PART`` letters first, each with the letters of the next that a word may
+    reach into, so that neither time nor rows grow faster than the name.
+    """
+    part = F.regexp_extract_all("name", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+    reaching = F.transform("parts", lambda p, k: F.concat(p, F.coalesce(F.left(F.get("parts", k + 1), F.lit(LONGEST_WORD - 1)), F.lit(""))))
+    parts = names.withColumn("parts", part).select("name_1", "name_2", F.explode(reaching).alias("part"))
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.length("part")),
+        lambda b: F.transform(
+            F.sequence(F.lit(1), F.least(F.length("part") - b + 1, F.lit(LONGEST_WORD))),
+            lambda n: F.substring(F.col("part"), b, n),
+        ),
+    )
+    return parts.select("name_1", "name_2", F.explode(F.array_distinct(F.flatten(pieces))).alias("word"))
+
+
 def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
     """(name, words) of the distinct ``name``s; the words a name may hold are joined to it."""
     total = counts.agg(F.sum("n")).first()[0] or 1
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.length("name")),
-            lambda b: F.transform(
-                F.sequence(F.lit(1), F.least(F.length("name") - b + 1, F.lit(LONGEST_WORD))),
-                lambda n: F.substring(F.col("name"), b, n),
-            ),
-        )
-    )
-    held = names.select("name", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word")
-    known = held.groupBy("name").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("counts"))
+    names = names.select("name", F.xxhash64("name").alias("name_1"), F.xxhash64(F.lit(5), "name").alias("name_2"))
+    held = _possible_words(names).join(counts, "word")
+    known = held.groupBy("name_1", "name_2").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("counts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,7 +118,8 @@ def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
             ]
             yield pd.DataFrame({"name": batch["name"], "words": words})
 
-    return names.join(known, "name", "left").mapInPandas(run, "name string, words array<string>")
+    named = names.join(known, ["name_1", "name_2"], "left").select("name", "known", "counts")
+    return named.mapInPandas(run, "name string, words array<string>")
 
 
 def _letters(text: Column) -> Column:

@@ -76,6 +76,18 @@ def test_viterbi_equals_trying_all_splits():
         assert math.isclose(cost(urls.split_name(name, counts, total)), max(map(cost, splits)))
 
 
+def test_long_names_are_split_as_short_ones_are(spark):
+    """Words across the borders of parts, names around their size, letters of two code units, and a very long one."""
+    words = {"casino": 9, "win": 5, "garden": 4, "s": 1, "\U00010400x": 3, "abcdefghijklmnopqrstuvwx": 2}
+    counts = spark.createDataFrame(list(words.items()), "word string, n long")
+    names = [("casinowingardens" * 40)[k : k + n] for k in (0, 3) for n in (1, 255, 256, 257, 512, 530)]
+    names += ["abcdefghijklmnopqrstuvwx" * 30, "\U00010400x" * 200, "q" * 700, "casinoqwin" * 30_000]
+    found = urls.segment(spark.createDataFrame([(n,) for n in names], "name string"), counts).collect()
+    assert len(found) == len(names)
+    for r in found:
+        assert list(r["words"]) == urls.split_name(r["name"], words, sum(words.values()))
+
+
 def test_scores_equal_naive_bayes_by_hand(spark):
     rows = urls.judge(pages(spark), []).collect()
     counts = {r.word: r.n for r in urls.word_counts(pages(spark), "html").collect()}
