@@ -28,10 +28,10 @@ HEADLINES = (
 
 
 def saved_model(spark, sf_dir: str) -> dict:
-    """Scoring and attribution with a model that is there already; the fits have lines of their own."""
+    """Scoring and attribution with a model of 100 trees that is there already; the fits have lines of their own."""
     roles = registry.Roles(spark, sf_dir)
     spec = registry._propensity_spec()
-    final = training.fit_final(roles.train, spec, registry.FIXED_SETTINGS)
+    final = training.fit_final(roles.train, spec, {**registry.FIXED_SETTINGS, "n_estimators": 100})
     holdout = cut_lineage(roles.holdout)
     train = cut_lineage(roles.train)
     return {

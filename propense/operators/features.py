@@ -25,6 +25,8 @@ from propense.session import written
 MISSING_TEXT = "Unknown"
 MISSING_NUMBER = 0
 # Columns made for the model carry this prefix, in front of the feature's name.
+# Columns that a one-hot table is made of at most.
+MAX_COLUMNS = 10_000
 PREFIX = "z__"
 # Marks of the columns a category column goes through; no made name ends like this, as '%' is encoded.
 TEXT_MARK = "%text"
@@ -109,10 +111,13 @@ def standardize(df: DataFrame, columns: Sequence[str], std: str = "population")
     return df.withColumns(scaled)
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """Distinct values in sort order: the names of the columns to make."""
+def categories(df: DataFrame, column: str, most: int = MAX_COLUMNS) -> list[str]:
+    """Distinct values in sort order: the names of the columns to make, which no table has very many of."""
     values = df.where(ident(column).isNotNull()).select(ident(column).cast("string").alias("v")).distinct()
-    return sorted(r["v"] for r in values.collect())
+    found = sorted(r["v"] for r in values.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"'{column}' has more than {most} categories; FeaturePrep encodes them without columns")
+    return found
 
 
 def one_hot(df: DataFrame, column: str, known: Sequence[str] | None = None) -> DataFrame:

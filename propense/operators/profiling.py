@@ -25,6 +25,7 @@ from propense.functions.columns import (
 from propense.functions.columnwise import ALL, NON_ZERO, summarise
 from propense.functions.columnwise import Column as ColumnFacts
 from propense.functions.moments import sample_kurtosis, sample_skewness
+from propense.session import written
 
 # Statistics over all values, and again over the non-zero ones.
 ENDS = ("", "_non_zero")
@@ -264,19 +265,20 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def mean_baseline_error(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean absolute error of predicting each column's mean, over its non-zero values."""
-    require_columns(df, list(columns))
-    values = _long(df, columns, "double").where((F.col("value") != 0) & F.col("value").isNotNull())
-    # One mean per column.
-    means = values.groupBy("field_id").agg(F.avg("value").alias("mean_value"))
-    errors = (
-        values.join(F.broadcast(means), "field_id")
-        .groupBy("field_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.avg("value").alias("mean_value"),
-            F.avg(F.abs(F.col("value") - F.col("mean_value"))).alias("mae"),
-        )
-    )
-    return _fields(df, columns).join(F.broadcast(errors), "field_id").drop("field_id")
+    """Mean absolute error of predicting each column's mean, over its non-zero values.
 
+    ``df`` is computed once, into a table of these columns; the means and then the errors of all columns are
+    one aggregate each. A column without such values has no row.
+    """
+    columns = list(columns)
+    require_columns(df, columns)
+    cells = [F.when(ident(c).cast("double") != 0, ident(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)]
+    cells = written(df.select(*cells), "baseline")
+    names = cells.columns
+    # one number per column
+    means = cells.agg(*[F.avg(n) for n in names]).first()
+    errors = cells.agg(
+        *[F.count(n) for n in names], *[F.avg(F.abs(F.col(n) - F.lit(mean))) for n, mean in zip(names, means)]
+    ).first()
+    rows = [(c, errors[i], means[i], errors[len(names) + i]) for i, c in enumerate(columns) if errors[i]]
+    return df.sparkSession.createDataFrame(rows, "data_field_name string, rows long, mean_value double, mae double")

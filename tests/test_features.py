@@ -159,3 +159,10 @@ def test_ranks_read_their_input_once(spark, tmp_path):
     train, test = features.split(df, "id", 0.2, 7, strata="s")
     assert train.count() + test.count() == 500
     assert seen.value == 1000
+
+
+def test_one_hot_columns_are_bounded(spark):
+    df = spark.range(50).selectExpr("concat('c', id) AS c")
+    assert len(features.categories(df, "c")) == 50 == len(features.categories(df, "c", most=50))
+    with pytest.raises(ValueError, match="more than 49"):
+        features.categories(df, "c", most=49)

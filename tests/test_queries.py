@@ -51,5 +51,12 @@ def test_holds(name, spark, sf_dir, roles):
         assert len(rows) == 2 and {r["response_variable"] for r in rows} == {"sale_o", "sale_f"}
         assert rows[0]["latest_predictors"].startswith("segment,")
     if name == "feature_importance":
-        assert sorted(r["feature_importance_rank"] for r in rows) == list(range(1, len(rows) + 1))
-        assert sum(r["explained_variance"] for r in rows) == pytest.approx(1.0)
+        by_run = {}
+        for row in rows:
+            by_run.setdefault(row["iteration_id"], []).append(row)
+        assert len(by_run) == 6
+        for run in by_run.values():
+            assert sorted(r["feature_importance_rank"] for r in run) == list(range(1, len(run) + 1))
+            assert sum(r["explained_variance"] for r in run) == pytest.approx(1.0)
+    if name in ("top_settings", "search_top"):
+        assert {r["k_folds"] for r in rows} == {3, 4, 5} and {r["rank"] for r in rows} >= {1, 2}
