@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -106,6 +108,28 @@ def test_settings_that_differ_in_length_share_a_fit(rows, monkeypatch):
     assert both[0] == both[1]
 
 
+def test_folds_are_fitted_side_by_side(rows, monkeypatch):
+    together, fitted = threading.Barrier(3, timeout=120), training.staged_scores
+
+    def meet(*args):
+        together.wait()
+        return fitted(*args)
+
+    monkeypatch.setattr(training, "staged_scores", meet)
+    space = {"max_depth": [2], "n_estimators": [2], "learning_rate": [0.3]}
+    found = training.search(rows, SALE, space=space, k_folds=(3,), runs_per_k=1, n_iter=1)
+    assert not found.errors
+
+
+def test_parts_follow_the_cores_not_the_rows(spark, rows):
+    cores = spark.sparkContext.defaultParallelism
+    many = rows.selectExpr("*", "CAST(sale AS DOUBLE) AS label", "1D AS weight").repartition(3 * cores)
+    for n, fits, parts in [(400, 1, 1), (100 * cores * 20_000, 1, 4 * cores), (10 * cores * 20_000, 2, -(-cores // 2))]:
+        with training._prepared(SALE, n, many, many, fits=fits) as (_, (train, test)):
+            assert train.rdd.getNumPartitions() == min(parts, 3 * cores)
+            assert test.count() == 400
+
+
 def test_staged_drawing():
     space = training.SPACES["propensity"]
     drawn = training.draw_settings(space, 20, 3, staged=True)
