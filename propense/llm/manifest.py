@@ -73,7 +73,7 @@ def around(runs: list[list[str]], place: int) -> tuple[list[str], list[str]]:
 
 
 def copied(node: str, left: Sequence[str], right: Sequence[str]) -> list[str]:
-    """The ancestors that a version with another ``node`` has instead of the original ones, root last."""
+    """The ancestors of ``node`` made anew from the siblings on its way, root last; none for a lone node."""
     path = []
     for before, after in zip(left, right):
         node = _hash(before + node + after)
@@ -213,6 +213,40 @@ def _top_paths(roots: DataFrame) -> tuple[DataFrame, str | None]:
     return paths, first and first["root"]
 
 
+def followed(group: pa.Table, above: pa.Table, root: str | None) -> pa.Table:
+    """Every leaf of a block with its proof, folded with its siblings to the top: the changed leaf if there is one.
+
+    An unchanged leaf is folded as well, and what comes out is not taken from the tree: a wrong sibling shows.
+    """
+    group = group.sort_by("place")
+    nodes, levels = _sorted(group)
+    runs = build(nodes, levels)
+    upper_left, upper_right = above.column("left")[0].as_py(), above.column("right")[0].as_py()
+    upper = "".join(a + b for a, b in zip(upper_left, upper_right))
+    proofs, paths, folded = [], [], []
+    for k, other in enumerate(group.column("changed").to_pylist()):
+        left, right = around(runs, k)
+        proofs.append(_hash("".join(a + b for a, b in zip(left, right)) + upper))
+        leaf = nodes[k] if other is None else other
+        path = copied(leaf, left + upper_left, right + upper_right)
+        # nodes of an unchanged leaf are those of the original: none is copied
+        paths.append([] if other is None else path)
+        folded.append(path[-1] if path else leaf)
+    size = len(nodes)
+    return pa.table(
+        {
+            "id": group.column("id"),
+            "name": group.column("name"),
+            "leaf": group.column("leaf"),
+            "subroot": pa.array([above.column("subroot")[0].as_py()] * size, pa.string()),
+            "root": pa.array([root] * size, pa.string()),
+            "proof_sha256": pa.array(proofs, pa.string()),
+            "copied": pa.array(paths, pa.list_(pa.string())),
+            "folded_root": pa.array(folded, pa.string()),
+        }
+    )
+
+
 def versions(
     docs: DataFrame,
     fields: Sequence[str] = ("doc_id", "source", "lang", "n_chars", "text"),
@@ -224,8 +258,8 @@ def versions(
     """A row per row of ``docs``: id, group, leaf, subroot, root, proof_sha256, copied, folded_root, verified.
 
     Where ``tampered`` holds, the leaf is taken from the ``changes`` of columns instead: ``copied`` has the
-    nodes of that version that the original does not share, from the leaf's parent to the root, and
-    ``folded_root`` is the last one. Elsewhere nothing is copied and the root is the original one.
+    nodes of that version that the original does not share, from the leaf's parent to the root. Elsewhere nothing
+    is copied. ``folded_root`` is computed for every row from its leaf, changed or not, and the original siblings.
     proof_sha256 is of all siblings on the way from the leaf over its group's root to the root.
 
     Null groups are one group, the first; null ids come first in theirs. Rows that repeat an id are leaves
@@ -248,31 +282,7 @@ def versions(
     blocks = _block_paths(tiers, paths).join(roots.withColumnRenamed("root", "subroot"), "name")
 
     def follow(group: pa.Table, above: pa.Table) -> pa.Table:
-        group = group.sort_by("place")
-        nodes, levels = _sorted(group)
-        runs = build(nodes, levels)
-        upper_left, upper_right = above.column("left")[0].as_py(), above.column("right")[0].as_py()
-        upper = "".join(a + b for a, b in zip(upper_left, upper_right))
-        proofs, paths, folded = [], [], []
-        for k, other in enumerate(group.column("changed").to_pylist()):
-            left, right = around(runs, k)
-            proofs.append(_hash("".join(a + b for a, b in zip(left, right)) + upper))
-            path = [] if other is None else copied(other, left + upper_left, right + upper_right)
-            paths.append(path)
-            folded.append(root if other is None else path[-1] if path else other)
-        size = len(nodes)
-        return pa.table(
-            {
-                "id": group.column("id"),
-                "name": group.column("name"),
-                "leaf": group.column("leaf"),
-                "subroot": pa.array([above.column("subroot")[0].as_py()] * size, pa.string()),
-                "root": pa.array([root] * size, pa.string()),
-                "proof_sha256": pa.array(proofs, pa.string()),
-                "copied": pa.array(paths, pa.list_(pa.string())),
-                "folded_root": pa.array(folded, pa.string()),
-            }
-        )
+        return followed(group, above, root)
 
     kind = ordered.schema["id"].dataType.simpleString()
     columns = (

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +139,24 @@ def test_query(spark, sf_dir):
     got = queries.QUERIES[name](spark, sf_dir)
     assert differences(got, connect(sf_dir), queries.ORACLE_SQL[name]) == []
     assert got.where("NOT verified").count() > 0
+
+
+@pytest.mark.parametrize("upper", [[], [sha("u")]])
+def test_unchanged_leaves_are_folded_from_their_siblings(upper):
+    leaves = [sha(str(k)) for k in range(20)]
+    changed = [sha("new") if k == 3 else None for k in range(20)]
+    group = pa.table(
+        {
+            "id": list(range(20)), "name": ["=a"] * 20, "leaf": leaves, "changed": pa.array(changed, pa.string()),
+            "place": list(range(20)), "total": [20] * 20,
+        }
+    )
+    above = pa.table({"left": pa.array([[""] * len(upper)], pa.list_(pa.string())), "right": [upper], "subroot": ["s"]})
+    top = tree(leaves, 16)[-1][0]
+    for sibling in upper:
+        top = sha(top + sibling)
+    # the root that is handed in is a wrong one: no row may take it over
+    rows = manifest.followed(group, above, sha("wrong")).to_pylist()
+    assert [r["folded_root"] == top for r in rows] == [k != 3 for k in range(20)]
+    assert all(r["folded_root"] != r["root"] for r in rows)
+    assert [len(r["copied"]) for r in rows] == [2 + len(upper) if k == 3 else 0 for k in range(20)]
