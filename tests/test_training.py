@@ -130,6 +130,10 @@ def test_parts_follow_the_cores_not_the_rows(spark, rows):
             assert test.count() == 400
 
 
+def test_rows_keep_their_nodes_in_deep_trees_alone(spark):
+    assert [training.estimator(SALE, {"max_depth": d}, 100).getCacheNodeIds() for d in (5, 10, 11, 25)] == [False, False, True, True]
+
+
 def test_staged_drawing():
     space = training.SPACES["propensity"]
     drawn = training.draw_settings(space, 20, 3, staged=True)
