@@ -12,8 +12,9 @@ replicated and the even one stays at home.
 Equal fingerprints are one class from the start, so thousands of copies are one row in the comparison.
 
 ``keep_one`` asks for similar texts, not for near fingerprints: five-word shingle sets with a Jaccard
-similarity of at least 0.8. Such pairs differ in about 10 of 64 bits, too many to cover, so it takes several
-min-wise fingerprints per document for the candidates and compares the shingle sets of each bucket exactly.
+similarity of at least 0.8. Its candidates are the components of SimHash fingerprints, found by the same
+covering, and, since pairs at 0.8 differ in about 10 of 64 bits, too many to cover, those that share one of
+several min-wise fingerprints. The shingle sets of all candidates are compared exactly.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ GOLAY_BITS, GOLAY_RADIUS = 23, 3
 GOLAY_POLYNOMIAL = 0b101011100011
 #: Shingles of near copies, and the least part of their union that two of them share.
 COPY_WORDS, COPY_SHARE = 5, 0.8
+#: Bits in which the SimHashes of linked candidates may differ, and those that anchors cover. At 12 bits different
+#: texts of a small vocabulary are chained into large components, all of whose sets are compared.
+COPY_BITS, COVERED_BITS = 6, 3
 #: Min-wise fingerprints per document, and values in each. A pair with a Jaccard similarity of 0.8 has one in
 #: common with probability 1 - (1 - 0.8**5)**25 = 0.99995, a more similar one with a higher one.
 BANDS, BAND_ROWS = 25, 5
@@ -68,6 +72,21 @@ def _words(data: bytes) -> Iterator[list[bytes]]:
         at = stop
 
 
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    ones = np.zeros(64, dtype=np.int64)
+    for k in range(0, len(hashes), 4096):
+        bits = np.unpackbits(hashes[k : k + 4096].view(np.uint8).reshape(-1, 8), axis=1)
+        ones += bits.sum(axis=0, dtype=np.uint16)
+    return ones
+
+
+def _majority(ones: np.ndarray, total: int) -> int:
+    """The SimHash, as an unsigned number: bits that are set in over half of ``total`` hashes."""
+    # bytes are little-endian, the bits within a byte begin with the highest
+    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "little")
+
+
 def fingerprint(text: str | None, words: int = 3) -> int:
     """64-bit SimHash of the text's shingles, as an unsigned number; 0 without words."""
     ones, total, before = np.zeros(64, dtype=np.int64), 0, []
@@ -76,16 +95,12 @@ def fingerprint(text: str | None, words: int = 3) -> int:
         n = len(run) - words + 1
         if n > 0:
             shingles = map(b" ".join, zip(*(run[k:] for k in range(words))))
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-            for k in range(0, n, 4096):
-                bits = np.unpackbits(hashes[k : k + 4096].view(np.uint8).reshape(-1, 8), axis=1)
-                ones += bits.sum(axis=0, dtype=np.uint16)
+            ones += _ones(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n))
             total += n
         before = run[-(words - 1) :] if words > 1 else []
     if total == 0:
         return xxhash.xxh64_intdigest(b" ".join(before), SEED) if before else 0
-    # bytes are little-endian, the bits within a byte begin with the highest
-    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "little")
+    return _majority(ones, total)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -201,19 +216,23 @@ def _compare(frame: pd.DataFrame, threshold: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
-def links(prints: DataFrame, threshold: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def links(
+    prints: DataFrame, threshold: int = 2, block_rows: int = BLOCK_ROWS, covered: int | None = None
+) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints ``fp`` within ``threshold`` bits of each other.
 
     The edges span the same components as all links do; a group of g near fingerprints gives fewer than g
-    of them per anchor.
+    of them per anchor. With ``covered`` bits below the threshold, all links of so many bits are found (also
+    those with ``covered // 2`` in a half), and further ones where the two share an anchor.
     """
+    covered = threshold if covered is None else covered
 
     def replicate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = batch["fp"].to_numpy()
             for k in range(0, len(values), 10_000):
                 part = values[k : k + 10_000]
-                rows, names, homes, visited = anchors(part.view(np.uint64), threshold)
+                rows, names, homes, visited = anchors(part.view(np.uint64), covered)
                 yield pd.DataFrame({"bucket": names, "fp": part[rows], "home": homes, "visited": visited})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,8 +347,9 @@ def copy_components(
     """(id, component_id) per distinct id and shingle set of ``docs``, with links between near copies.
 
     Near copies have five-word shingle sets with a Jaccard similarity of at least 0.8; a text of fewer words
-    is one shingle. Candidates share a min-wise fingerprint (``BANDS``); every link is compared exactly, on
-    64-bit hashes of the shingles. Equal sets are one class, texts without words among them.
+    is one shingle. Candidates are in one component of SimHash fingerprints (of the sets) or share a
+    min-wise fingerprint (``BANDS``); every link is compared exactly, on 64-bit hashes of the shingles. Equal
+    sets are one class, texts without words among them.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
@@ -340,10 +360,10 @@ def copy_components(
             for text in batch["text"]:
                 hashes = shingle_set(text)
                 key = np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)
-                out.append((key, len(hashes), bands(hashes)))
-            yield pd.concat(
-                [batch[["id", "hash"]], pd.DataFrame(out, columns=["key", "shingles", "bands"], index=batch.index)], axis=1
-            )
+                fp = np.uint64(_majority(_ones(hashes), len(hashes))).view(np.int64)
+                out.append((key, fp, len(hashes), bands(hashes)))
+            columns = ["key", "fp", "shingles", "bands"]
+            yield pd.concat([batch[["id", "hash"]], pd.DataFrame(out, columns=columns, index=batch.index)], axis=1)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -356,17 +376,24 @@ def copy_components(
             yield pd.DataFrame({"a": a, "b": b})
 
     prints = stored(
-        rows.mapInPandas(sign, f"id {dict(rows.dtypes)['id']}, hash long, key long, shingles long, bands array<long>"),
+        rows.mapInPandas(
+            sign, f"id {dict(rows.dtypes)['id']}, hash long, key long, fp long, shingles long, bands array<long>"
+        ),
         "copies-prints",
     )
     classes = stored(
         prints.groupBy("key").agg(
-            F.min("id").alias("first_id"), F.min("hash").alias("hash"), F.first("shingles").alias("shingles"),
-            F.first("bands").alias("bands"),
+            F.min("id").alias("first_id"), F.min("hash").alias("hash"), F.first("fp").alias("fp"),
+            F.first("shingles").alias("shingles"), F.first("bands").alias("bands"),
         ),
         "copies-classes",
     )
-    buckets = classes.select("key", "hash", "shingles", F.explode("bands").alias("bucket"))
+    # a component of near fingerprints is a bucket like the min-wise ones; the set without shingles is in none
+    prints_of_sets = classes.where("shingles > 0").select("fp").distinct()
+    near = components(links(prints_of_sets, COPY_BITS, block_rows, COVERED_BITS), "copies-simhash")
+    named = classes.where("shingles > 0").join(near.withColumnRenamed("node", "fp"), "fp", "left")
+    places = F.concat("bands", F.array(F.coalesce("root", "fp")))
+    buckets = named.select("key", "hash", "shingles", F.explode(places).alias("bucket"))
     # a bucket of long texts has more blocks, but no more than rows
     by_length = F.least(F.ceil(F.sum("shingles") / BLOCK_SHINGLES), F.count("*") * block_rows)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.greatest(F.count("*"), by_length).alias("size"))

@@ -120,6 +120,27 @@ def test_copies_are_those_of_brute_force(spark, block_rows):
     assert sum(int(prints[i] ^ prints[i + 1]).bit_count() > 2 for i in range(0, 120, 2) if near[i][i + 1]) > 10
 
 
+def test_near_fingerprints_alone_find_copies(spark, monkeypatch):
+    """Without any min-wise fingerprint: copies in one SimHash component are linked, and no other texts."""
+    monkeypatch.setattr(simhash, "bands", lambda hashes: np.zeros(0, dtype=np.int64))
+    rng = np.random.default_rng(13)
+    texts = [t for pair in planted(rng, 40, 1) for t in pair]
+    line = " ".join(f"line{k}" for k in range(11))
+    texts += [" ".join(f"w{x}" for x in rng.integers(0, 5000, 200)) + (" " + line) * 100 for _ in range(4)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles_of(t) for t in texts]
+    prints = np.array([simhash._majority(simhash._ones(simhash.shingle_set(t)), len(simhash.shingle_set(t))) for t in texts], dtype=np.uint64)
+    found = {r.doc_id: r.component_id for r in simhash.copy_components(docs).collect()}
+    copies = [[len(a & b) / len(a | b) >= 0.8 for b in sets] for a in sets]
+    want = lowest_reachable(range(len(texts)), copies)
+    assert all(found[i] in (i, want[i]) for i in range(len(texts)))
+    differ = prints[:, None] ^ prints[None, :]
+    halves = np.minimum(np.bitwise_count(differ & np.uint64(2**32 - 1)), np.bitwise_count(differ >> np.uint64(32)))
+    near = (halves <= 1) & (np.bitwise_count(differ) <= simhash.COPY_BITS)
+    assert all(found[i] == found[j] for i in range(80) for j in range(80) if near[i, j] and copies[i][j])
+    assert sum(found[i + 1] == i for i in range(0, 80, 2)) > 5
+
+
 def test_a_repeated_line_does_not_make_copies(spark):
     rng = np.random.default_rng(12)
     line = " ".join(f"line{k}" for k in range(11))
