@@ -130,6 +130,13 @@ def test_parts_follow_the_cores_not_the_rows(spark, rows):
             assert test.count() == 400
 
 
+def test_final_fits_side_by_side_share_the_cores(rows, monkeypatch):
+    asked, parts = [], training._parts
+    monkeypatch.setattr(training, "_parts", lambda spark, n, fits=1: asked.append(fits) or parts(spark, n, fits))
+    training.fit_final(rows, SALE, {"max_depth": 1, "n_estimators": 1}, fits=3)
+    assert asked[0] == 3
+
+
 def test_rows_keep_their_nodes_in_deep_trees_alone(spark):
     assert [training.estimator(SALE, {"max_depth": d}, 100).getCacheNodeIds() for d in (5, 10, 11, 25)] == [False, False, True, True]
 
