@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from itertools import product
 from math import factorial
@@ -95,6 +96,18 @@ def test_staged_scores_are_those_of_fits_of_their_own(rows, spec):
         assert score == pytest.approx(alone[n], rel=1e-12)
 
 
+def test_staged_margins_stay_arrow_columns(rows):
+    train, test, data = _parts(rows, SALE)
+    model = training.estimator(SALE, {"max_depth": 2, "n_estimators": 3}, data.count).setParams(leafCol="_leaf").fit(train)
+    # more rows than a chunk, in batches of their own, and none at all
+    many = model.transform(test.crossJoin(F.broadcast(rows.sparkSession.range(20).coalesce(1)))).coalesce(1)
+    margins = many.select(training._staged(model, [1, 3], "_leaf").alias("m"), vector_to_array("rawPrediction")[1].alias("raw"))
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in margins._jdf.queryExecution().toString()
+    found = margins.agg(F.count("m"), F.max(F.abs(F.col("m")[1] - F.col("raw"))), F.min(F.size("m")), F.max(F.size("m"))).first()
+    assert found[0] == test.count() * 20 > 2048 and found[1] < 1e-12 and found[2] == found[3] == 2
+    assert margins.where("m[0] IS NULL").count() == 0
+
+
 def test_settings_that_differ_in_length_share_a_fit(rows, monkeypatch):
     fits = []
     make = training.estimator
