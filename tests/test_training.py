@@ -6,10 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.util import PythonEvalType
 
+from functools import lru_cache
 from itertools import product
 from math import factorial
 
 from propense.operators import attribution, training
+from propense.plans import registry
 
 SETTINGS = {"max_depth": 3, "n_estimators": 4, "learning_rate": 0.3}
 
@@ -108,6 +110,17 @@ def test_staged_margins_stay_arrow_columns(rows):
     assert margins.where("m[0] IS NULL").count() == 0
 
 
+def test_searches_of_both_kinds_share_the_training_table(spark, monkeypatch):
+    writes, searched = [], []
+    monkeypatch.setattr(registry, "written", lambda df: writes.append(df) or df)
+    monkeypatch.setattr(registry.training, "search", lambda df, spec, **_: searched.append(spec.kind))
+    for kept in (registry._search, registry._searched_rows):
+        monkeypatch.setattr(registry, kept.__name__, lru_cache(kept.__wrapped__))
+    for kind in ("propensity", "revenue"):
+        registry._search(spark, "/root/testdata/sf0.001", kind, "o", kind, 2)
+    assert searched == ["propensity", "revenue"] and len(writes) == 1
+
+
 def test_settings_that_differ_in_length_share_a_fit(rows, monkeypatch):
     fits = []
     make = training.estimator
